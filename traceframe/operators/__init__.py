@@ -1,0 +1 @@
+"""DataFrame -> DataFrame steps; combine them with ``df.transform(step(...))``."""

@@ -68,19 +68,20 @@ def _last(items: Column, kind: int, least: int) -> Column:
     return slice_bytes(item["Data"], 0, item["DataSize"])
 
 
+def _extract(items: Column, kind: int, least: int, rule) -> Column:
+    """One output field; most events lack most kinds, so look for the kind first."""
+    there = F.exists(items, lambda item: item["ExtType"] == kind)
+    found = let(_last(items, kind, least), lambda data: F.when(data.isNotNull(), rule(data)))
+    return F.when(there, found)
+
+
 def decode_extended(df: DataFrame) -> DataFrame:
     """Add ``EventExtendedData``; NULL unless the header announces extended items.
 
     Unknown kinds give nothing, and one bad item leaves the others alone.
     """
     items = F.col("ExtendedData")
-    fields = [
-        F.when(
-            F.exists(items, lambda item, k=kind: item["ExtType"] == k),
-            let(_last(items, kind, least), lambda d, r=rule: F.when(d.isNotNull(), r(d))),
-        ).alias(name)
-        for name, kind, least, rule in _ITEMS
-    ]
+    fields = [_extract(items, kind, least, rule).alias(name) for name, kind, least, rule in _ITEMS]
     announced = F.col("Flags").bitwiseAND(F.lit(C.FLAG_EXTENDED_INFO)) != 0
     return df.withColumn(
         "EventExtendedData",

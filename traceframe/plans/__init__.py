@@ -1,0 +1 @@
+"""Whole captures built from the operators."""

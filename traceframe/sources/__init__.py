@@ -1,0 +1 @@
+"""Where raw records and reference texts come from."""

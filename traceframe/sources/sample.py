@@ -481,3 +481,95 @@ def typed_manifest(spark: SparkSession) -> Manifest:
     ]
     maps = [(p, "RightBits", True, 1, "Read"), (p, "RightBits", True, 2, "Write"), (p, "RightBits", True, 4, "Run")]
     return Manifest.of(spark, events, properties, maps)
+
+
+# --------------------------------------------------------------------------------------
+# every kind of extended item
+# --------------------------------------------------------------------------------------
+
+
+def extended_raw_events(events: DataFrame) -> DataFrame:
+    """Records that carry all extended items, some twice and some too short to read."""
+    source = with_helpers(events)
+    k, user, event = F.col("k"), F.col("user_id"), F.col("event_id")
+    id_bytes = F.concat(le_bytes(event, 8), le_bytes(F.lit(0), 8))
+    items = F.array(
+        _item(C.EXT_RELATED_ACTIVITY, id_bytes),
+        _item(C.EXT_SID, _sid_bytes(user)),
+        _item(C.EXT_TS_ID, le_bytes(F.lit(4294967295), 4)),
+        _item(C.EXT_TS_ID, le_bytes(user, 4)),
+        _item(C.EXT_TS_ID, le_bytes(user, 2)),
+        _item(C.EXT_INSTANCE_INFO, F.concat(le_bytes(event, 4), le_bytes(k, 4), id_bytes)),
+        _item(C.EXT_STACK_TRACE32, F.concat(le_bytes(k, 8), le_bytes(event, 4), le_bytes(user, 4), le_bytes(k, 4))),
+        _item(C.EXT_STACK_TRACE64, F.concat(le_bytes(k, 8), le_bytes(F.lit(-1) - event, 8))),
+        _item(C.EXT_PEBS_INDEX, le_bytes(F.lit(-1) - k, 8)),
+        _item(C.EXT_PMC_COUNTERS, F.concat(le_bytes(event, 8), le_bytes(k, 8))),
+        _item(C.EXT_PSM_KEY, le_bytes(event, 8)),
+        _item(C.EXT_EVENT_KEY, le_bytes(event * 3, 8)),
+        _item(C.EXT_EVENT_SCHEMA_TL, le_bytes(event, 8)),
+        _item(C.EXT_PROV_TRAITS, le_bytes(event, 8)),
+        _item(C.EXT_PROCESS_START_KEY, F.when(k % 2 == 0, le_bytes(user, 8)).otherwise(le_bytes(user, 4))),
+        _item(0x7F, le_bytes(event, 8)),
+    )
+    announced = F.when(k % 10 == 0, 0).otherwise(C.FLAG_EXTENDED_INFO)
+    return _record(
+        source,
+        Flags=announced + C.FLAG_64_BIT_HEADER,
+        ProviderId=F.lit(TYPES_PROVIDER),
+        Id=F.lit(FIXED_COUNT),
+        ExtendedData=items,
+        UserData=_kind_payload(FIXED_COUNT),
+    )
+
+
+# --------------------------------------------------------------------------------------
+# event text
+# --------------------------------------------------------------------------------------
+
+
+def dump_blocks(events: DataFrame) -> DataFrame:
+    """One text block of a web-client event dump per row of ``events``."""
+    source = with_helpers(events)
+    k, user, cents = F.col("k"), F.col("user_id"), F.col("cents")
+
+    def block(task: str, *lines) -> Column:
+        parts = [F.lit(task)]
+        for name, value in lines:
+            value = value if isinstance(value, Column) else F.lit(value)
+            parts.append(F.concat(F.lit(f"{name}: "), value.cast("string")))
+        return F.concat_ws("\n", *parts)
+
+    handle = F.concat(F.lit("0x"), F.hex(user + F.when(k % 13 == 0, F.lit(1 << 33)).otherwise(0)))
+    ip = F.concat(F.lit("10.0."), k * 3, F.lit("."), user % 256)
+    verb = F.when(k % 6 == 0, F.lit("PATCH")).otherwise(F.lit("GET"))
+    port = 53000 + user
+    text = _by_type(
+        block(
+            "WININET_DNS_QUERY",
+            ("_HostNameLength", F.length(_host())), ("HostName", _host()), ("RequestHandle", handle),
+            ("_AddressListLength", F.length(F.concat(ip, F.lit(";"))) + F.when(k % 8 == 0, 1).otherwise(0)),
+            ("AddressList", F.concat(ip, F.lit(";"))),
+        ),
+        click=block("WININET_READDATA", ("Request", handle), ("Size", k * 170)),
+        view=block(
+            "WININET_CONNECT",
+            ("Request", handle), ("Socket", port), ("Protocol", "HTTP"), ("LocalAddressLength", 16),
+            ("LocalAddress", F.concat(ip, F.lit(":"), port + F.when(k % 5 == 0, 1).otherwise(0))),
+            ("RemoteAddressLength", 16), ("RemoteAddress", F.concat(F.lit("fe80::"), F.hex(k + 1), F.lit(":80"))),
+        ),
+        signup=block(
+            "WININET_HTTP_RESPONSE",
+            ("ResponseCode", 195 + k % 40), ("RequestHandle", handle), ("SocketHandle", "0x328"),
+            ("_VerbLength", 3), ("Verb", verb),
+            ("_ContentLengthStrLength", F.length(cents.cast("string"))), ("ContentLength", cents),
+        ),
+        purchase=F.when(
+            k % 4 == 0,
+            block("MICROSOFT-WINDOWS-WININET-CAPTURE", ("SessionId", user), ("SequenceNumber", k), ("Flags", "0x1"),
+                  ("PayloadByteLength", k % 3), ("Note", "a: b")),
+        ).otherwise(
+            block("MICROSOFT-WINDOWS-WININET-CAPTURE", ("SessionId", user), ("SequenceNumber", k), ("Flags", "0x1"),
+                  ("PayloadByteLength", k % 3), ("Payload", "00FF"), ("Note", "first"), ("Note", "a: b"))
+        ),
+    )
+    return source.select(F.col("event_id").alias("record_id"), text.alias("value"))

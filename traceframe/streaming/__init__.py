@@ -1,0 +1 @@
+"""Structured Streaming: live captures, replay, changing rules, sinks."""
