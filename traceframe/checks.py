@@ -449,7 +449,7 @@ query(
 )(_preset("wininet", level="verbose"))
 query(
     "preset_process",
-    "SELECT record_id, id AS event_id, task AS task_name FROM t WHERE event_type = 'signup'",
+    "SELECT record_id, id AS event_id, task AS task_name FROM t WHERE event_type IN ('signup', 'purchase')",
 )(_preset("process", any_keywords=["WINEVENT_KEYWORD_PROCESS"]))
 query(
     "preset_remote_desktop",
@@ -858,9 +858,9 @@ def extended_items_on_errors(spark, sf_dir):
     x = F.col("EventExtendedData")
     low = F.conv(F.substring(x["RelatedActivityID"], 2, 8), 16, 10).cast("bigint")
     stack = F.concat(
-        x["StackTrace64.MatchId"].cast("string"),
+        x["StackTrace64"]["MatchId"].cast("string"),
         F.lit(":"),
-        F.array_join(x["StackTrace64.Address"].cast("array<string>"), ","),
+        F.array_join(x["StackTrace64"]["Address"].cast("array<string>"), ","),
     )
     return decode_extended(_raw(spark, sf_dir)).select(
         "record_id", x["TSID"].alias("tsid"), low.alias("related_low"), stack.alias("stack")
@@ -882,13 +882,13 @@ def extended_items_of_all_kinds(spark, sf_dir):
     x = F.col("EventExtendedData")
 
     def stack(name: str):
-        addresses = F.array_join(x[f"{name}.Address"].cast("array<string>"), ",")
-        return F.concat(x[f"{name}.MatchId"].cast("string"), F.lit(":"), addresses)
+        addresses = F.array_join(x[name]["Address"].cast("array<string>"), ",")
+        return F.concat(x[name]["MatchId"].cast("string"), F.lit(":"), addresses)
 
     return decode_extended(_extended_raw(spark, sf_dir)).select(
         "record_id", x["SID"].alias("sid"), x["TSID"].alias("tsid"),
-        x["InstanceInfo.InstanceId"].alias("instance_id"),
-        x["InstanceInfo.ParentInstanceId"].cast("int").alias("parent_instance_id"),
+        x["InstanceInfo"]["InstanceId"].alias("instance_id"),
+        x["InstanceInfo"]["ParentInstanceId"].cast("int").alias("parent_instance_id"),
         stack("StackTrace32").alias("stack32"), stack("StackTrace64").alias("stack64"),
         x["PebsIndex"].cast("string").alias("pebs_index"),
         F.array_join(x["PMCCounters"].cast("array<string>"), ",").alias("counters"),
@@ -940,7 +940,7 @@ def quarantine_split(spark, sf_dir):
     path = os.path.join(live.shared_folder(spark, "quarantine"), "events")
     modes.write_quarantine(_decoded(spark, sf_dir, mode=2), path)
     return (
-        spark.read.parquet(path)
+        modes.read_quarantine(spark, path)
         .groupBy("quarantined", "task_name")
         .agg(F.count("*").alias("n"), F.count("UserData").alias("with_bytes"))
     )

@@ -17,8 +17,6 @@ predicates on header columns still reach the scan.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +24,7 @@ from traceframe import constants as C
 from traceframe.functions import bits, fields
 from traceframe.functions.bits import let
 from traceframe.functions.fields import Source
+from traceframe.functions.reuse import per_application
 from traceframe.operators.manifest import Layout, Manifest, Property, attach_manifest, local_table
 
 # A carried or referenced length above this cannot fit any payload.
@@ -561,9 +560,8 @@ def _record() -> _Record:
     return _Record(F.col("UserData"), F.col("_size"), F.col("_pointer"))
 
 
-@lru_cache(maxsize=1)
-def _fold_expression(application_id: str) -> Column:
-    """The fold depends on column names only: build it once per application."""
+@per_application
+def _fold_expression() -> Column:
     return _table_driven(_record(), F.col("_properties"))
 
 
@@ -617,7 +615,7 @@ def decode_payload(manifest: Manifest, tasks=None, table_driven: bool | None = N
         if by_table:
             staged["_folded"] = F.when(
                 some & F.col("_properties").isNotNull(),
-                _fold_expression(manifest.spark.sparkContext.applicationId),
+                _fold_expression(),
             )
         tails = [(layout_id, x.tail) for layout_id, x in layouts if x.tail is not None]
         if tails:

@@ -9,6 +9,7 @@ from traceframe import constants as C
 from traceframe import schema
 from traceframe.functions import guid_text, sid_text
 from traceframe.functions.bits import le_uint, let, slice_bytes, unsigned_decimal
+from traceframe.functions.reuse import per_application
 from traceframe.functions.text import sid_size
 
 
@@ -80,10 +81,12 @@ def decode_extended(df: DataFrame) -> DataFrame:
 
     Unknown kinds give nothing, and one bad item leaves the others alone.
     """
+    return df.withColumn("EventExtendedData", _extended_struct())
+
+
+@per_application
+def _extended_struct() -> Column:
     items = F.col("ExtendedData")
     fields = [_extract(items, kind, least, rule).alias(name) for name, kind, least, rule in _ITEMS]
     announced = F.col("Flags").bitwiseAND(F.lit(C.FLAG_EXTENDED_INFO)) != 0
-    return df.withColumn(
-        "EventExtendedData",
-        F.when(announced, F.struct(*fields)).cast(schema.EXTENDED_DATA.strip()),
-    )
+    return F.when(announced, F.struct(*fields)).cast(schema.EXTENDED_DATA.strip())

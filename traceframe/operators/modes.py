@@ -13,7 +13,7 @@ mode  id/pid filters  task filter   payload              UserData
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from traceframe import constants as C
@@ -93,3 +93,8 @@ def write_quarantine(df: DataFrame, path: str) -> None:
         .partitionBy("quarantined")
         .parquet(path)
     )
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """The table again; a filter on ``quarantined`` reads one side only."""
+    return spark.read.parquet(path).withColumn("quarantined", F.col("quarantined").cast("boolean"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from traceframe import constants as C
 from traceframe.functions import guid_bytes, le_bytes, utf16_bytes
+from traceframe.functions.reuse import per_application
 from traceframe.operators.manifest import Manifest, local_table
 
 # A provider of our own whose event kinds cover every payload type.
@@ -97,7 +98,7 @@ def _error_items() -> Column:
     return F.when(F.col("event_type") == "error", items).otherwise(F.filter(items, lambda _: F.lit(False)))
 
 
-def _record(source: DataFrame, **columns) -> DataFrame:
+def _record(**columns) -> list[Column]:
     """Raw record columns in table order; whatever is not given is 0 or null-id."""
     zero = F.lit(0)
     shape = {
@@ -124,21 +125,22 @@ def _record(source: DataFrame, **columns) -> DataFrame:
         "ExtendedData": (None, None),
         "UserData": (None, None),
     }
-    return source.select(
-        *[
-            (columns.get(name, default).cast(kind) if kind else columns[name]).alias(name)
-            for name, (kind, default) in shape.items()
-        ]
-    )
+    return [
+        (columns.get(name, default).cast(kind) if kind else columns[name]).alias(name)
+        for name, (kind, default) in shape.items()
+    ]
 
 
 def raw_events(events: DataFrame, kernel: bool = False) -> DataFrame:
     """One raw record per row of ``events``."""
-    source = with_helpers(events)
+    return with_helpers(events).select(*_raw_columns(kernel))
+
+
+@per_application
+def _raw_columns(kernel: bool) -> list[Column]:
     width = F.when(F.col("event_id") % 10 == 0, C.FLAG_32_BIT_HEADER).otherwise(C.FLAG_64_BIT_HEADER)
     unknown = (F.col("event_type") == "error") & (F.col("k") % 5 == 0)
     return _record(
-        source,
         is_kernel=F.lit(kernel),
         Flags=width + _by_type(0, error=C.FLAG_EXTENDED_INFO),
         ProviderId=_by_type(
@@ -368,14 +370,17 @@ def _kind_payload(kind: int) -> Column:
 
 def typed_raw_events(events: DataFrame, kind: int) -> DataFrame:
     """One record of the given kind per row of ``events``."""
-    source = with_helpers(events)
+    return with_helpers(events).select(*_typed_columns(kind))
+
+
+@per_application
+def _typed_columns(kind: int) -> list[Column]:
     width = F.when(F.col("event_id") % 10 == 0, C.FLAG_32_BIT_HEADER).otherwise(C.FLAG_64_BIT_HEADER)
     no_items = F.expr("filter(array(named_struct('ExtType', 0, 'DataSize', 0, 'Data', X'')), x -> false)")
     payload = _kind_payload(kind)
     if kind == NUMBERS:
         payload = _narrow_pointers(payload)
     return _record(
-        source,
         Flags=width,
         ProviderId=F.lit(TYPES_PROVIDER),
         Id=F.lit(kind),
@@ -490,7 +495,11 @@ def typed_manifest(spark: SparkSession) -> Manifest:
 
 def extended_raw_events(events: DataFrame) -> DataFrame:
     """Records that carry all extended items, some twice and some too short to read."""
-    source = with_helpers(events)
+    return with_helpers(events).select(*_extended_columns())
+
+
+@per_application
+def _extended_columns() -> list[Column]:
     k, user, event = F.col("k"), F.col("user_id"), F.col("event_id")
     id_bytes = F.concat(le_bytes(event, 8), le_bytes(F.lit(0), 8))
     items = F.array(
@@ -513,7 +522,6 @@ def extended_raw_events(events: DataFrame) -> DataFrame:
     )
     announced = F.when(k % 10 == 0, 0).otherwise(C.FLAG_EXTENDED_INFO)
     return _record(
-        source,
         Flags=announced + C.FLAG_64_BIT_HEADER,
         ProviderId=F.lit(TYPES_PROVIDER),
         Id=F.lit(FIXED_COUNT),
