@@ -25,6 +25,7 @@ from traceframe.functions import bits, fields
 from traceframe.functions.bits import let
 from traceframe.functions.fields import Source
 from traceframe.functions.reuse import per_application
+from traceframe.functions.text import is_int_text
 from traceframe.operators.manifest import Layout, Manifest, Property, attach_manifest, local_table
 
 # A carried or referenced length above this cannot fit any payload.
@@ -180,7 +181,11 @@ def _read_field(record: _Record, at: Column, carry: Column | None, number_of, pr
             good = text.isNotNull()
             converted, failed = _convert(prop, text)
             step = F.when(good, read["used"]).otherwise(declared)
-            new_carry = text.try_cast("bigint")
+            # Whole numbers too large for a BIGINT still carry: as a length that never fits.
+            new_carry = F.coalesce(
+                text.try_cast("bigint"),
+                F.when(is_int_text(text), F.lit(LENGTH_LIMIT + 1).cast("bigint")),
+            )
             if isinstance(prop.carries, Column):
                 new_carry = F.when(prop.carries & good, new_carry).otherwise(carried)
             else:

@@ -1,8 +1,9 @@
 """Data-quality rules over decoded events.
 
 A rule belongs to a task and is a truth-valued column over ``payload``. The report is
-one pass: each event gives the verdicts of its own task's rules, which are counted per
-rule. Counting happens map-side first, so a task that holds most events is no hot spot.
+one pass: the verdicts of an event's own rules are packed into a few bits, and events are
+counted by task and bits. That count is made map-side first and has few groups, so a task
+that holds most events is no hot spot; rules are told apart only on the counts.
 """
 
 from __future__ import annotations
@@ -154,37 +155,63 @@ def read_size(task: str, name: str) -> Rule:
 # --- the report -----------------------------------------------------------------------
 
 
+# Rules per BIGINT: two bits each, below the sign.
+_PACK = 31
+_SKIPPED, _PASSED, _FAILED = 0, 1, 2
+
+
+def _packed(rules: list[Rule]) -> Column:
+    """Verdicts of one task's rules: two bits each, as many BIGINTs as needed."""
+    words = []
+    for first in range(0, len(rules), _PACK):
+        word = F.lit(0).cast("bigint")
+        for i, rule in enumerate(rules[first : first + _PACK]):
+            verdict = (
+                F.when(~rule.applies, _SKIPPED << 2 * i)
+                .when(rule.test, _PASSED << 2 * i)
+                .otherwise(_FAILED << 2 * i)
+            )
+            word = word + verdict
+        words.append(word)
+    return F.array(*words)
+
+
 def validate(rules: list[Rule]):
     """One row per task and rule: how many events were checked and how many failed."""
+    by_task: dict[str, list[Rule]] = {}
+    for rule in rules:
+        by_task.setdefault(rule.task, []).append(rule)
+    verdicts = None
+    for task, own in sorted(by_task.items()):
+        test = (F.col("task_name") == task) & F.col("payload").isNotNull()
+        packed = _packed(own)
+        verdicts = F.when(test, packed) if verdicts is None else verdicts.when(test, packed)
+    places = [
+        (task, rule.name, i // _PACK, 2 * (i % _PACK))
+        for task, own in by_task.items()
+        for i, rule in enumerate(own)
+    ]
 
     def apply(df: DataFrame) -> DataFrame:
-        verdicts = None
-        for task in sorted({r.task for r in rules}):
-            own = F.array(
-                *[
-                    F.struct(
-                        F.lit(r.name).alias("rule"),
-                        r.applies.alias("applies"),
-                        F.coalesce(r.test, F.lit(False)).alias("ok"),
-                    )
-                    for r in rules
-                    if r.task == task
-                ]
-            )
-            test = F.col("task_name") == task
-            verdicts = F.when(test, own) if verdicts is None else verdicts.when(test, own)
         counted = (
-            df.where(F.col("payload").isNotNull())
-            .select("task_name", F.explode(verdicts).alias("v"))
-            .where("v.applies")
-            .groupBy(F.col("task_name").alias("task"), F.col("v.rule").alias("rule"))
-            .agg(F.count("*").alias("checked"), F.count_if(~F.col("v.ok")).alias("failed"))
+            df.select(F.col("task_name").alias("task"), verdicts.alias("words"))
+            .groupBy("task", "words")
+            .agg(F.count("*").alias("n"))
+        )
+        names = local_table(
+            df.sparkSession, places, "task STRING, rule STRING, word INT, shift INT"
         )
-        names = local_table(df.sparkSession, [(r.task, r.name) for r in rules], "task STRING, rule STRING")
-        return names.join(counted, ["task", "rule"], "left").select(
-            "task",
-            "rule",
-            *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("checked", "failed")],
+        bits = F.call_function(
+            "shiftright", F.get(F.col("words"), F.col("word")), F.col("shift")
+        ).bitwiseAND(F.lit(3))
+        return (
+            names.join(counted, "task", "left")
+            .withColumn("verdict", bits)
+            .groupBy("task", "rule")
+            .agg(
+                F.coalesce(F.sum(F.when(F.col("verdict") != _SKIPPED, F.col("n"))), F.lit(0)).alias("checked"),
+                F.coalesce(F.sum(F.when(F.col("verdict") == _FAILED, F.col("n"))), F.lit(0)).alias("failed"),
+            )
         )
 
     return apply
@@ -271,8 +298,11 @@ def catalog_conformance(catalog: DataFrame):
 
     def apply(df: DataFrame) -> DataFrame:
         seen = (
-            df.where(F.col("payload").isNotNull())
-            .select(base_task(F.col("task_name")).alias("task"), F.explode(F.map_keys("payload")).alias("field"))
+            df.select(
+                base_task(F.col("task_name")).alias("task"),
+                F.explode_outer(F.map_keys("payload")).alias("field"),
+            )
+            .where(F.col("field").isNotNull())
             .distinct()
         )
         known = catalog.select(base_task(F.col("task")).alias("task"), "field").distinct()

@@ -12,8 +12,14 @@ def _blocks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _lines(block: Column) -> Column:
-    trimmed = F.regexp_replace(F.regexp_replace(block, "\r", ""), r"^\s+|\s+$", "")
-    return F.split(trimmed, "\n")
+    return F.split(F.trim(F.translate(block, "\r", ""), F.lit(_BLANK)), "\n")
+
+
+_BLANK = " \t\r\n"
+
+
+def _not_blank(block: Column) -> Column:
+    return F.trim(block, F.lit(_BLANK)) != ""
 
 
 def last_value_wins(entries: Column) -> Column:
@@ -34,21 +40,29 @@ def parse_event_dump(df: DataFrame, block: str = "value") -> DataFrame:
     ``Name: value`` become fields of their own.
     """
     others = [c for c in df.columns if c != block]
-    lined = df.where(F.regexp_replace(F.col(block), r"\s+", "") != "").select(
+    lined = df.where(_not_blank(F.col(block))).select(
         *others, _lines(F.col(block)).alias("_lines")
     )
-    entries = F.transform(
-        F.slice("_lines", 2, F.size("_lines")),
-        lambda line: F.struct(
-            F.regexp_extract(line, r"^(.*?)(?:: ?(.*))?$", 1).alias("key"),
-            F.when(line.contains(":"), F.regexp_extract(line, r"^(.*?): ?(.*)$", 2)).alias("value"),
-        ),
-    )
-    return lined.withColumn("_entries", entries).select(
+    body = F.slice("_lines", 2, F.size("_lines"))
+    split = lined.select(
         *others,
         F.upper(F.trim(F.get("_lines", F.lit(0)))).alias("task_name"),
-        last_value_wins(F.col("_entries")).alias("payload"),
+        F.transform(body, lambda line: F.substring_index(line, ":", 1)).alias("_keys"),
+        F.transform(body, _after_colon).alias("_values"),
     )
+    keys, values = F.col("_keys"), F.col("_values")
+    entries = F.arrays_zip(keys.alias("key"), values.alias("value"))
+    payload = F.when(
+        F.size(F.array_distinct(keys)) == F.size(keys), F.map_from_arrays(keys, values)
+    ).otherwise(last_value_wins(entries))
+    return split.select(*others, "task_name", payload.alias("payload"))
+
+
+def _after_colon(line: Column) -> Column:
+    """Text after the first colon and one blank; NULL without a colon."""
+    at = F.instr(line, ":")
+    blank = F.when(F.substring(line, at + 1, F.lit(1)) == " ", 2).otherwise(1)
+    return F.when(at > 0, F.substring(line, at + blank, F.length(line)))
 
 
 def read_event_dump(spark: SparkSession, path: str) -> DataFrame:
@@ -57,13 +71,13 @@ def read_event_dump(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_field_catalog(df: DataFrame, block: str = "value") -> DataFrame:
     """Blocks of a task line and ``- field`` lines to ``task``, ``ordinal``, ``field``."""
-    lined = df.where(F.regexp_replace(F.col(block), r"\s+", "") != "").select(
+    lined = df.where(_not_blank(F.col(block))).select(
         _lines(F.col(block)).alias("_lines")
     )
     return lined.select(
         F.trim(F.get("_lines", F.lit(0))).alias("task"),
-        F.posexplode(F.slice("_lines", 2, F.size("_lines"))).alias("ordinal", "line"),
-    ).select("task", "ordinal", F.regexp_replace("line", r"^\s*-\s*|\s+$", "").alias("field"))
+        F.posexplode_outer(F.slice("_lines", 2, F.size("_lines"))).alias("ordinal", "line"),
+    ).where(F.col("line").isNotNull()).select("task", "ordinal", F.regexp_replace("line", r"^\s*-\s*|\s+$", "").alias("field"))
 
 
 def read_field_catalog(spark: SparkSession, path: str) -> DataFrame:
