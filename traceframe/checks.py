@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from traceframe import constants as C
 from traceframe.functions import guid_bytes, guid_norm, guid_text, is_null_guid, to_bool
-from traceframe.functions.text import utf16_bytes  # noqa: F401
 from traceframe.operators import descriptors as desc
 from traceframe.operators import filters, header, lookup, modes, sinks, validate
 from traceframe.operators.decode import decode_payload, declared_fields, event_view

@@ -382,6 +382,16 @@ def read_inline(src: Source, in_type: int, out: int, bitmap: bool, entries) -> C
     return None
 
 
+def inline_fits(src: Source, in_type: int) -> Column:
+    """Whether the bytes of a field that :func:`read_inline` reads are there."""
+    if in_type in POINTER_TYPES:
+        return src.left >= src.pointer
+    width = FIXED_WIDTH.get(in_type)
+    if width is None and in_type in (C.IN_UNICODESTRING, C.IN_ANSISTRING):
+        width = src.length * (2 if in_type == C.IN_UNICODESTRING else 1)
+    return src.left >= width if width else F.lit(True)
+
+
 # --------------------------------------------------------------------------------------
 # types as data
 # --------------------------------------------------------------------------------------

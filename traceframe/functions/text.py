@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from traceframe.constants import UNIX_EPOCH_TICKS
-from traceframe.functions.bits import be_uint, le_uint, let, slice_bytes, unsigned_text
+from traceframe.functions.bits import be_uint, le_uint, let, unsigned_text
 
 NUL = "\0"
 TICKS_PER_SECOND = 10_000_000

@@ -247,17 +247,26 @@ class _CompiledLayout:
         self.ordinals = [p.ordinal for p in layout.top]
         self.head: list[tuple[str, Column]] = []
         self.unread: list[Column] = []
-        at, i = F.lit(0).cast("bigint"), 0
-        while i < len(self.props) and self._inline(i, at):
+        # Bytes and pointers before the next field; a plain number as long as it can be.
+        const, pointers, i = 0, 0, 0
+
+        def at():
+            return record.pointer * pointers + const if pointers else const
+
+        while i < len(self.props) and self._inline(i, at()):
             prop = self.props[i]
-            pointer = prop.in_type in fields.POINTER_TYPES
-            at = at + (record.pointer if pointer else F.lit(prop.width or 0))
+            if prop.in_type in fields.POINTER_TYPES:
+                pointers += 1
+            else:
+                const += prop.width or 0
             i += 1
-        self.tail = self._values(i, at, None, [], {}) if i < len(self.props) else None
+        self.tail = None
+        if i < len(self.props):
+            self.tail = self._values(i, bits.as_col(at()).cast("bigint"), None, [], {})
         self.tail_names = [p.name for p in self.props[i:] if p.out_type != C.OUT_NOPRINT]
         self.tail_column = tail
 
-    def _inline(self, i: int, at: Column) -> bool:
+    def _inline(self, i: int, at: Column | int) -> bool:
         """Take field ``i`` into the head if it can be read on its own."""
         prop, later = self.props[i], self.props[i + 1 :]
         referenced = any(p.length_ref == self.ordinals[i] for p in later)
@@ -274,7 +283,7 @@ class _CompiledLayout:
             return False
         if prop.out_type == C.OUT_NOPRINT:
             return True
-        fits = (left > 0) & fields.read_field(source, prop.in_type, prop.out_type).fits
+        fits = (left > 0) & fields.inline_fits(source, prop.in_type)
         value = fields.convert(F.when(fits, shown), prop.out_type)[0]
         self.head.append((prop.name, value))
         invalid = prop.in_type in fields.MAY_BE_INVALID
@@ -591,9 +600,8 @@ def decode_payload(manifest: Manifest, tasks=None, table_driven: bool | None = N
             x for x in manifest.layouts
             if tasks is None or (x.task_name or "").strip().upper() in tasks
         ]
-        by_table = [
-            x for x in wanted if table_driven or x.layout_id not in manifest.compiled_ids
-        ]
+        in_code = frozenset() if table_driven else manifest.compiled_ids(wanted)
+        by_table = [x for x in wanted if x.layout_id not in in_code]
         compiled = [x for x in wanted if x not in by_table]
 
         columns = df.columns

@@ -102,7 +102,8 @@ class Manifest:
     """Manifest tables of a set of providers.
 
     ``events``, ``properties``, ``maps`` and ``keywords`` are DataFrames with the
-    schemas of :mod:`traceframe.schema`.
+    schemas of :mod:`traceframe.schema`. ``prefer`` lists ``(ProviderId, Id, Version)`` of
+    frequent event kinds: they are compiled first when there are more layouts than can be.
     """
 
     def __init__(
@@ -111,13 +112,13 @@ class Manifest:
         properties: DataFrame,
         maps: DataFrame,
         keywords: DataFrame | None = None,
+        prefer=(),
     ):
         self.spark = events.sparkSession
         self.keywords = keywords
         self.layouts = self._load(events, properties, maps)
         self.compiled: dict = {}
-        compiled = [x.layout_id for x in self.layouts if x.compilable]
-        self.compiled_ids = frozenset(compiled[:MAX_COMPILED_LAYOUTS])
+        self.prefer = {(norm_guid(p), i, v) for p, i, v in prefer}
 
     @classmethod
     def read(cls, spark: SparkSession, path: str) -> Manifest:
@@ -173,9 +174,11 @@ class Manifest:
             }
         return layouts
 
-    def table_driven(self, force: bool = False) -> list[Layout]:
-        """Layouts that are decoded from their property rows, not from code."""
-        return [x for x in self.layouts if force or x.layout_id not in self.compiled_ids]
+    def compiled_ids(self, wanted: list[Layout]) -> frozenset:
+        """Which of the layouts in use become code; the others are decoded as data."""
+        able = [x for x in wanted if x.compilable]
+        able.sort(key=lambda x: (x.key not in self.prefer, x.layout_id))
+        return frozenset(x.layout_id for x in able[:MAX_COMPILED_LAYOUTS])
 
     def lookup(self) -> DataFrame:
         """One row per event kind: key, layout id, names, kernel group."""
