@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import compare, database
+from traceframe import checks
 from tests.conftest import SF_DIR
 
 NAMES = [
@@ -14,7 +15,8 @@ NAMES = [
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(checks.QUERIES) == set(checks.SQL)
+    assert set(checks.QUERIES) <= set(contract.queries()) & set(contract.oracle_sql())
 
 
 def test_entry(spark):
