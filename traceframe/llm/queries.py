@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traceframe.llm import bpe, decontaminate, langid, quality
+from traceframe.llm import bpe, decontaminate, html_text, langid, quality, sharding, urls
 from traceframe.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,72 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text"), prototypes).select(
         "doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score"
     )
+
+
+@query
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_text.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+#: The rules of the contract, and the listed sites: canonical URLs of their pages make the list.
+RULES = (
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+)
+SITES = r"(^|[.])(spam-farm|cheap-pills|casino-win|ads-track|free-bets|adult-x)[.]"
+
+
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.where(urls.host_of(F.col("url")).rlike(SITES)).select("url")
+    return urls.judge(pages, listed, RULES).select("page_id", "host", "path", "rule", "verdict", "listed")
+
+
+# The exact answer needs no filter: a page is listed if its canonical URL is that of a listed page.
+SQL["op2_url_filter"] = r"""
+WITH p AS (
+    SELECT page_id, trim(url) AS url,
+        coalesce(lower(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's')), '') AS host,
+        coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
+    FROM pages
+), c AS (
+    SELECT *, regexp_replace(regexp_replace(regexp_replace(host, '^[^@]*@', ''), ':(80|443)?$', ''), '^www[.]', '')
+        || regexp_replace(path, '/+$', '')
+        || coalesce('?' || nullif(array_to_string(list_sort(list_filter(
+            string_split(regexp_extract(url, '^[^?#]*[?]([^#]*)', 1, 's'), '&'),
+            lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|gclid|fbclid)(=|$)'))), '&'), ''), '') AS key,
+        contains(url, '://') AS whole
+    FROM p
+), listed AS (
+    SELECT DISTINCT key FROM c
+    WHERE whole AND regexp_matches(host, '(^|[.])(spam-farm|cheap-pills|casino-win|ads-track|free-bets|adult-x)[.]')
+), rules(verdict, rhost, rpath) AS (
+    VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+        ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), fits AS (
+    SELECT c.page_id, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
+        arg_max(rules.verdict, length(rhost || rpath)) AS verdict
+    FROM c JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+    GROUP BY c.page_id
+)
+SELECT c.page_id, c.host, c.path, fits.rule,
+    coalesce(fits.verdict, CASE WHEN listed.key IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
+    listed.key IS NOT NULL AS listed
+FROM c LEFT JOIN fits USING (page_id) LEFT JOIN listed ON c.whole AND c.key = listed.key
+"""
+
+
+@query
+def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("bigint").alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+    )
+    dealt = sharding.external_shuffle(docs, id_col="doc_id", size=F.col("size"), shards=24)
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
