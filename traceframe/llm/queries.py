@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traceframe.llm import bpe, decontaminate, html_text, langid, quality, sharding, urls
+from traceframe.llm import ann, bpe, decontaminate, html_text, langid, quality, sharding, urls
 from traceframe.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,9 @@ def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     dealt = sharding.external_shuffle(docs, id_col="doc_id", size=F.col("size"), shards=24)
     return dealt.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ann.search(read(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), F.col("distance").alias("score"))
