@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traceframe.llm import ann, bpe, decontaminate, html_text, langid, quality, sharding, urls
+from traceframe.llm import ann, bpe, decontaminate, html_text, jaccard, langid, quality, sharding, urls
 from traceframe.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,11 +32,39 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
         decontaminate.digest(F.col("item_ids")).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"), "spans",
+        (F.col("n_hit") > 0).alias("contaminated"),
     )
 
 
-_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# Windows of items, found where a document has the same words in a row.
+SQL["op10_decontaminate"] = rf"""
+WITH d AS (
+    SELECT doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS n, unnest(list_transform(
+        range(1, greatest(len(w) - 8, 2)), lambda i: array_to_string(w[i:i + 9], ' '))) AS key
+    FROM b WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT n FROM windows), keys AS (
+    SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS pos, unnest(list_transform(
+        range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS key
+    FROM d, sizes WHERE len(w) >= n
+), found AS (
+    SELECT DISTINCT doc_id, pos, n, item_id FROM keys JOIN windows USING (n, key)
+), hits AS (
+    SELECT doc_id, count(*) AS n_hit FROM (
+        SELECT DISTINCT doc_id, unnest(range(pos, pos + n)) AS place FROM found
+    ) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
 
 
 @query
@@ -132,3 +160,36 @@ def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ann.search(read(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), F.col("distance").alias("score"))
+
+
+@query
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+SQL["op9_jaccard"] = rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), grams AS (
+    SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END) AS gram
+    FROM d
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), pairs AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS same
+    FROM grams x JOIN grams y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * same >= 80 * (x.n + y.n - same)
+), reach AS (
+    SELECT doc_id AS node, doc_id AS seen FROM d
+    UNION
+    SELECT node, b FROM reach JOIN links ON a = seen
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT node AS doc_id, min(seen) AS component_id FROM reach GROUP BY node) USING (doc_id)
+"""
