@@ -1,33 +1,103 @@
-"""A corpus through five operators, each stage written as Parquet and read again by the next."""
+"""A corpus through five operators, each stage written as Parquet and read again by the next.
+
+Repeated ids, NULLs and empty texts: a stage judges rows as its operator defines. Documents with
+NULL id are never duplicates. Of the rows of one id that has duplicates among its own rows one stays.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from traceframe.llm import bpe, decontaminate, jaccard, line_dedup, quality
+from traceframe.llm.common import column, crc_mod, read, shared_folder
+
+#: Documents with a lower probability of label 1 are rejected.
+QUALITY = 0.3
+#: Ids that may be broadcast, 32 MB; more are joined by shuffle.
+IDS = 4_000_000
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    labels = read(spark, sf_dir, "labels").select("doc_id", "quality").where(crc_mod("doc_id", 5) != 0)
+    scored = quality.score(_aside(docs, quality.OUTPUTS), quality.fit(docs.select("doc_id", "text"), labels))
+    return _back(scored.where(F.col("score") >= QUALITY), docs)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the blocks that earlier ones hold; those of which nothing is left go."""
+    cut = line_dedup.dedup(_aside(docs, [line_dedup.OUT]))
+    changed = F.size(line_dedup.OUT) > 0
+    cut = cut.where(~changed | (F.trim("text") != ""))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        cut = cut.withColumn("n_chars", F.when(changed, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return _back(cut, docs)
 
-from traceframe.llm import bpe, decontaminate
-from traceframe.llm.common import column, read, shared_folder
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates."""
+    found = jaccard.near_duplicates(docs.select("doc_id", "text")).where("n > 0 AND id IS NOT NULL")
+    rows = found.groupBy(F.col("id").alias("__id")).agg(
+        F.count(F.lit(1)).alias("__rows"), F.min(F.col("component") == F.col("id")).alias("__first")
+    )
+    rows = rows.where("__rows > 1 OR NOT __first")
+    if rows.count() <= IDS:
+        rows = F.broadcast(rows)
+    joined = docs.join(rows, docs["doc_id"] == F.col("__id"), "left")
+    one = joined.where(F.col("__id").isNull())
+    again = joined.where("__first").dropDuplicates(["doc_id"])
+    return _back(one, docs).unionByName(_back(again, docs))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any word of a benchmark window."""
-    found = decontaminate.mark(docs, read(spark, sf_dir, "benchmark"))
-    return found.where("n_hit = 0").select(*[column(found, c) for c in docs.columns])
+    found = decontaminate.mark(_aside(docs, decontaminate.OUTPUTS), read(spark, sf_dir, "benchmark"))
+    return _back(found.where("n_hit = 0"), docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each whole text, and whether they decode to it."""
-    return bpe.encode(docs.select("doc_id", "text"))
+    made = bpe.decode(bpe.encode(docs.select("doc_id", "text")))
+    whole = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return made.select("doc_id", F.size("token_ids").alias("n_tokens"), "token_ids", whole.alias("lossless"))
+
+
+def _aside(docs: DataFrame, names) -> DataFrame:
+    """``docs`` with columns that an operator would replace under another name."""
+    taken = {n.lower() for n in names}
+    return docs.select(*[column(docs, c).alias(_other(c) if c.lower() in taken else c) for c in docs.columns])
+
+
+def _back(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, under their names."""
+    return df.select(*[column(df, _other(c) if _other(c) in df.columns else c).alias(c) for c in docs.columns])
+
+
+def _other(name: str) -> str:
+    return f"__own_{name}"
 
 
-STAGES = [("decontaminate", clean), ("tokens", tokens)]
+STAGES = [
+    ("quality", good),
+    ("line_dedup", lines),
+    ("near_duplicates", distinct),
+    ("decontaminate", clean),
+    ("tokens", tokens),
+]
+#: Neither the classifier nor the tokenizer can be put in SQL; tests/llm compares with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn, each written under ``spark.checkpoint.dir``; the last one's rows."""
     docs = read(spark, sf_dir, "documents")
-    folder = f"{shared_folder(spark)}/pipeline"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         path = f"{folder}/{name}"
-        stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
+        stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traceframe.llm import ann, bpe, decontaminate, html_text, jaccard, langid, quality, sharding, urls
+from traceframe.llm import ann, bpe, decontaminate, html_text, jaccard, langid, line_dedup, quality, sharding, urls
 from traceframe.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -193,3 +193,10 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM d LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT node AS doc_id, min(seen) AS component_id FROM reach GROUP BY node) USING (doc_id)
 """
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = F.aggregate("deleted", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
+    return found.select("doc_id", "text", count.alias("n_deleted"), "deleted")
