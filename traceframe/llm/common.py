@@ -67,3 +67,18 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
 def column(df: DataFrame, name: str) -> Column:
     """A column by its exact name, also where the name holds dots or back-ticks."""
     return df["`" + name.replace("`", "``") + "`"]
+
+
+def merged_spans(spans: Column, kind: str = "bigint") -> Column:
+    """Structs (start, end) in order, those that overlap or share an end as one."""
+    empty = F.array().cast(f"array<struct<start:{kind},end:{kind}>>")
+
+    def add(done: Column, s: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        rest = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(
+            (F.size(done) > 0) & (s["start"] <= last["end"]), F.concat(rest, F.array(joined))
+        ).otherwise(F.concat(done, F.array(s)))
+
+    return F.aggregate(F.array_sort(spans), empty, add)

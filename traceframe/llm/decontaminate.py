@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from traceframe.llm.common import column, visible, without
+from traceframe.llm.common import column, merged_spans, visible, without
 
 #: Bytes to words: A-Z lower-cased, ASCII other than digits and letters to a space.
 FOLD = bytes(
@@ -162,7 +162,7 @@ def mark(
         out = out.withColumn(f"__hit{k}", _scanner(block, window, True)(text))
         parts.append(F.col(f"__hit{k}"))
     ids = F.array_sort(F.array_distinct(F.flatten(F.array(*[p["item_ids"] for p in parts]))))
-    merged = out.withColumn("__spans", _merged(F.flatten(F.array(*[p["spans"] for p in parts]))))
+    merged = out.withColumn("__spans", merged_spans(F.flatten(F.array(*[p["spans"] for p in parts]))))
     counted = merged.withColumn("__n", _hit_words(text, F.col("__spans")))
     return counted.select(
         *[column(counted, c) for c in kept], parts[0]["n_words"].alias("n_words"),
@@ -170,22 +170,6 @@ def mark(
     )
 
 
-def _merged(spans: Column) -> Column:
-    """Overlapping and touching spans as one."""
-    empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
-
-    def add(done: Column, s: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
-        rest = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
-        return F.when(
-            (F.size(done) > 0) & (s["start"] <= last["end"]),
-            F.concat(rest, F.array(joined)),
-        ).otherwise(F.concat(done, F.array(s)))
-
-    return F.aggregate(F.array_sort(spans), empty, add)
-
-
 def _hit_words(text: Column, spans: Column) -> Column:
     @F.arrow_udf(LongType())
     def count(texts: pa.Array, spans: pa.Array) -> pa.Array:

@@ -1,11 +1,14 @@
 """Line dedup by pairwise alignment.
 
-Documents overlap where they share a line. A line held by at most ``RARE`` documents pairs all of
-them; a more frequent one pairs each with its first holder only, so pairs grow with the lines and
-no group makes all its pairs. Each pair is aligned with patience diff over the lines that any two
-documents share; a run of lines that are next to each other in both, of at least ``min_words``
-words, is a common block and is deleted from the later document. Earlier and later go by id; the
-first holder of a block keeps it.
+A line alone is often frequent; with its neighbours it is rare. So each line gets two rare line
+hashes: of the shortest runs of lines that begin and that end with it and have ``min_words`` words.
+Documents overlap where they share such a hash, and each is paired with the first holder of each
+of its hashes: pairs grow with the lines, and no group makes all its pairs. Any common block of two
+documents is covered by such runs, so the pairs with first holders find all its lines.
+
+Each pair is aligned with patience diff over the lines of shared runs; a run of lines that are next to each
+other in both, of at least ``min_words`` words, is a common block and is deleted from the later
+document. Earlier and later go by id; the first holder of a block keeps it.
 
 Lines are compared trimmed, by a 64-bit hash; blank lines separate nothing and go with the block
 around them.
@@ -22,18 +25,18 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from traceframe.llm.common import column, stored, visible, without
+from traceframe.llm.common import column, merged_spans, stored, visible, without
 
 MIN_WORDS = 50
-RARE = 4
-#: Rows of deletions that may be broadcast; beyond, texts are shuffled to them.
-BROADCAST_ROWS = 1_000_000
+#: Line ranges, at most as many documents, that may be broadcast; beyond, texts are shuffled to them.
+BROADCAST_RANGES = 400_000
 OUT = "deleted"
 RANGES = "array<struct<first:int,last:int>>"
 
@@ -124,90 +127,139 @@ def cut(text: str, ranges: list[dict]) -> str:
     return "\n".join(x for i, x in enumerate(lines) if i not in gone)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """One row a line: ``k`` (document), ``seq`` (among lines not blank), ``at``, ``h``, ``w``."""
+def runs(count: list[int], min_words: int) -> set[tuple[int, int]]:
+    """The shortest runs of lines with ``min_words`` words, from each line on and up to each line."""
+    found = set()
+    words, a = 0, 0
+    for b, n in enumerate(count):
+        words += n
+        while words - count[a] >= min_words:
+            words -= count[a]
+            a += 1
+        if words >= min_words:
+            found.add((a, b))
+    words, b = 0, len(count) - 1
+    for a in range(len(count) - 1, -1, -1):
+        words += count[a]
+        while words - count[b] >= min_words:
+            words -= count[b]
+            b -= 1
+        if words >= min_words:
+            found.add((a, b))
+    return found
+
+
+def hashed(text: str) -> tuple[list[int], list[int], list[int]]:
+    """Number, hash and word count of each line that is not blank."""
+    at, h, w = [], [], []
+    for i, line in lines_of(text):
+        at.append(i)
+        h.append(xxhash.xxh3_64_intdigest(line.encode("utf-8", "replace")) - (1 << 63))
+        w.append(len(line.split()))
+    return at, h, w
+
+
+def _runs(docs: DataFrame, min_words: int) -> DataFrame:
+    """One row a run: document ``k``, hash ``h``, first and last line ``a`` and ``b``."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: dict[str, list] = {c: [] for c in ("n", "seq", "at", "h", "w")}
-            for n, text in enumerate(batch["text"]):
-                for seq, (at, line) in enumerate(lines_of(text.as_py())):
-                    rows["n"].append(n)
-                    rows["seq"].append(seq)
-                    rows["at"].append(at)
-                    rows["h"].append(xxhash.xxh3_64_intdigest(line.encode("utf-8", "replace")) - (1 << 63))
-                    rows["w"].append(len(line.split()))
-                    if len(rows["n"]) == 100_000:
-                        yield made(batch, rows)
-                        rows = {c: [] for c in rows}
-            yield made(batch, rows)
-
-    def made(batch: pa.RecordBatch, rows: dict[str, list]) -> pa.RecordBatch:
-        n = pa.array(rows["n"], pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [
-                batch["id"].take(n), batch["th"].take(n), pa.array(rows["seq"], pa.int32()),
-                pa.array(rows["at"], pa.int32()), pa.array(rows["h"], pa.int64()), pa.array(rows["w"], pa.int32()),
-            ],
-            ["id", "th", "seq", "at", "h", "w"],
-        )
+            n, h, a, b = [], [], [], []
+            for i, text in enumerate(batch["text"]):
+                _, lines, count = hashed(text.as_py())
+                raw = np.array(lines, np.int64)
+                for first, last in runs(count, min_words):
+                    n.append(i)
+                    h.append(xxhash.xxh3_64_intdigest(raw[first : last + 1].tobytes()) - (1 << 63))
+                    a.append(first)
+                    b.append(last)
+                if len(n) > 100_000:
+                    yield made(batch, n, h, a, b)
+                    n, h, a, b = [], [], [], []
+            yield made(batch, n, h, a, b)
+
+    def made(batch: pa.RecordBatch, n: list[int], h: list[int], a: list[int], b: list[int]) -> pa.RecordBatch:
+        at = pa.array(n, pa.int64())
+        ends = [pa.array(a, pa.int32()), pa.array(b, pa.int32())]
+        columns = [batch["id"].take(at), batch["th"].take(at), pa.array(h, pa.int64()), *ends]
+        return pa.RecordBatch.from_arrays(columns, ["id", "th", "h", "a", "b"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    rows = docs.mapInArrow(split, f"id {kind}, th bigint, seq int, at int, h bigint, w int")
-    return rows.select(F.struct("id", "th").alias("k"), "seq", "at", "h", "w")
+    rows = docs.mapInArrow(split, f"id {kind}, th bigint, h bigint, a int, b int")
+    return rows.select(F.struct("id", "th").alias("k"), "h", "a", "b")
+
+
+LINES = "array<struct<seq:int,at:int,h:bigint,w:int>>"
+LINES_ARROW = pa.list_(pa.struct([("seq", pa.int32()), ("at", pa.int32()), ("h", pa.int64()), ("w", pa.int32())]))
+
+
+def _sketches(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """``k``, ``lines``: the lines of each document that lie in shared runs."""
+    named = marks.select(F.col("k.id").alias("__id"), F.col("k.th").alias("__th"), "ranges")
+    found = docs.join(named, (docs["id"] == F.col("__id")) & (docs["th"] == F.col("__th")))
+
+    @F.arrow_udf(LINES)
+    def sketch(texts: pa.Array, ranges: pa.Array) -> pa.Array:
+        rows = []
+        for text, own in zip(texts, ranges, strict=True):
+            at, h, w = hashed(text.as_py())
+            inside = sorted({i for r in own.as_py() for i in range(r["start"], r["end"] + 1)})
+            rows.append([{"seq": i, "at": at[i], "h": h[i], "w": w[i]} for i in inside])
+        return pa.array(rows, LINES_ARROW)
+
+    lines = sketch.asNondeterministic()("text", "ranges")
+    return found.select(F.struct("id", "th").alias("k"), lines.alias("lines")).dropDuplicates(["k"])
 
 
 def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     """``id``, ``th``, ``deleted`` (line ranges) of the documents (``id``, ``th``, ``text``) that lose lines."""
-    lines = _lines(docs)
-    held = lines.groupBy("h").agg(
-        F.min("k").alias("first"), F.max("k").alias("last"), F.count(F.lit(1)).alias("times")
+    found = _runs(docs, min_words)
+    held = found.groupBy("h").agg(F.min("k").alias("first"), F.max("k").alias("last"))
+    shared = found.join(held.where("first < last").select("h", "first"), "h")
+    marks = shared.groupBy("k").agg(
+        F.collect_set(F.struct(F.col("a").alias("start"), F.col("b").alias("end"))).alias("ranges"),
+        F.collect_set("first").alias("firsts"),
     )
-    held = held.where("first < last").drop("last")
-    shared = lines.join(held, "h")
-    line = F.struct("seq", "at", "h", "w", "first", "times")
-    sketches = shared.groupBy("k").agg(F.array_sort(F.collect_list(line)).alias("lines"), F.sum("w").alias("words"))
-    # A document with a common block shares its words, whichever side of the pair it is.
-    sketches = stored(sketches.where(F.col("words") >= min_words).select("k", "lines"))
-    at = sketches.select("k", F.explode("lines").alias("x")).select("k", "x.h", "x.first", "x.times")
-    pairs = at.where("first < k").select("k", F.col("first").alias("k2"))
-    rare = at.where(F.col("times") <= RARE).select("k", "h")
-    other = rare.select(F.col("k").alias("k2"), "h")
-    pairs = pairs.unionByName(rare.join(other, "h").where("k2 < k").select("k", "k2")).distinct()
-    seen = F.transform("lines", lambda x: F.struct(x["seq"].alias("seq"), x["at"].alias("at"), x["h"].alias("h"), x["w"].alias("w")))
-    whole = sketches.select("k", seen.alias("lines"))
-    both = pairs.join(whole, "k").join(whole.select(F.col("k").alias("k2"), F.col("lines").alias("lines2")), "k2")
+    marks = stored(marks.select("k", merged_spans(F.col("ranges"), "int").alias("ranges"), "firsts"))
+    small = _small(marks, "ranges")
+    sketches = stored(_sketches(docs, F.broadcast(marks.drop("firsts")) if small else marks.drop("firsts")))
+    pairs = marks.select("k", F.explode("firsts").alias("k2")).where("k2 < k")
+    both = pairs.join(sketches, "k").join(sketches.select(F.col("k").alias("k2"), F.col("lines").alias("lines2")), "k2")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, found = [], []
+            keep, cuts = [], []
             for n in range(batch.num_rows):
                 ranges = blocks(batch["lines"][n].as_py(), batch["lines2"][n].as_py(), min_words)
                 keep += [n] * len(ranges)
-                found += [{"first": a, "last": b} for a, b in ranges]
+                cuts += [{"first": a, "last": b} for a, b in ranges]
             n = pa.array(keep, pa.int64())
             kind = pa.struct([("first", pa.int32()), ("last", pa.int32())])
-            yield pa.RecordBatch.from_arrays([batch["id"].take(n), batch["th"].take(n), pa.array(found, kind)], ["id", "th", "r"])
+            yield pa.RecordBatch.from_arrays([batch["id"].take(n), batch["th"].take(n), pa.array(cuts, kind)], ["id", "th", "r"])
 
     kind = docs.schema["id"].dataType.simpleString()
     rows = both.select("k.id", "k.th", "lines", "lines2").mapInArrow(align, f"id {kind}, th bigint, r struct<first:int,last:int>")
     return rows.groupBy("id", "th").agg(F.array_sort(F.collect_set("r")).alias(OUT))
 
 
+def _small(df: DataFrame, ranges: str) -> bool:
+    return (df.agg(F.sum(F.size(ranges))).first()[0] or 0) <= BROADCAST_RANGES
+
+
 def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with common blocks cut out of ``text_col``, and ``deleted``: the line ranges cut."""
     visible(docs.sparkSession)
     base = without(docs, [OUT])
     kept = base.columns
     text, id_ = column(base, text_col).cast("string"), column(base, id_col)
-    hashed = F.xxhash64(text)
-    narrow = base.select(id_.alias("id"), hashed.alias("th"), text.alias("text"))
+    key = F.xxhash64(text)
+    narrow = base.select(id_.alias("id"), key.alias("th"), text.alias("text"))
     narrow = narrow.where("id IS NOT NULL AND text IS NOT NULL AND text <> ''")
     gone = stored(deletions(narrow, min_words=min_words))
     gone = gone.select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col(OUT).alias("__deleted"))
-    if gone.count() <= BROADCAST_ROWS:
+    if _small(gone, "__deleted"):
         gone = F.broadcast(gone)
-    joined = base.join(gone, (id_ == F.col("__id")) & (hashed == F.col("__th")), "left")
+    joined = base.join(gone, (id_ == F.col("__id")) & (key == F.col("__th")), "left")
 
     @F.arrow_udf(StringType())
     def without_lines(texts: pa.Array, ranges: pa.Array) -> pa.Array:
