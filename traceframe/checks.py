@@ -168,7 +168,7 @@ def merged_sessions(spark, sf_dir):
 
 @query(
     "kernel_logger_default_groups",
-    "SELECT record_id, opcode AS event_id, kgroup AS kernel_group FROM r WHERE NOT unknown AND kgroup & 65795 <> 0",
+    "SELECT record_id, id AS event_id, kgroup AS kernel_group FROM r WHERE NOT unknown AND kgroup & 65795 <> 0",
 )
 def kernel_logger_default_groups(spark, sf_dir):
     manifest = _manifest(spark)
@@ -184,7 +184,7 @@ def kernel_logger_default_groups(spark, sf_dir):
 
 @query(
     "kernel_logger_chosen_groups",
-    "SELECT record_id, opcode AS event_id FROM r WHERE NOT unknown AND kgroup & 131073 <> 0",
+    "SELECT record_id, id AS event_id FROM r WHERE NOT unknown AND kgroup & 131073 <> 0",
 )
 def kernel_logger_chosen_groups(spark, sf_dir):
     mask = C.KERNEL_GROUPS["registry"] | C.KERNEL_GROUPS["process"]
@@ -303,12 +303,28 @@ def header_flags(spark, sf_dir):
 
 @query(
     "effective_event_id",
-    """SELECT record_id, kernel AS is_kernel, CASE WHEN kernel THEN opcode ELSE id END AS event_id
+    """SELECT record_id, kernel AS is_kernel, CASE WHEN kernel THEN 0 ELSE id END AS id, id AS event_id
        FROM r, (VALUES (true), (false)) v(kernel)""",
 )
 def effective_event_id(spark, sf_dir):
     both = merge_sessions(_raw(spark, sf_dir), _raw(spark, sf_dir, kernel=True))
-    return header.with_event_id(both).select("record_id", "is_kernel", "event_id")
+    return header.with_event_id(both).select("record_id", "is_kernel", *_h("Id"), "event_id")
+
+
+@query(
+    "kernel_decode",
+    """SELECT record_id, task AS task_name, unknown AS record_parse_error,
+         CASE WHEN event_type = 'click' THEN CAST(k AS VARCHAR) END AS size,
+         CASE WHEN event_type IN ('signup', 'purchase') THEN CAST(pid AS VARCHAR) END AS process_id,
+         CASE WHEN event_type = 'signup' THEN 'proc' || k || '.exe' END AS image_name FROM t""",
+)
+def kernel_decode(spark, sf_dir):
+    """System-logger records, whose Id is 0, decoded by their opcode."""
+    out = _raw(spark, sf_dir, kernel=True).transform(Trace(_manifest(spark)))
+    fields = {"size": "Size", "process_id": "ProcessID", "image_name": "ImageName"}
+    return out.select(
+        "record_id", "task_name", "record_parse_error", *[F.col("payload")[f].alias(n) for n, f in fields.items()]
+    )
 
 
 @query(

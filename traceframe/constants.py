@@ -112,7 +112,6 @@ MAX_DESCRIPTOR_EVENT_IDS = 64
 PROP_STRUCT = 0x1
 PROP_PARAM_LENGTH = 0x2
 PROP_PARAM_COUNT = 0x4
-PROP_PARAM_FIXED_LENGTH = 0x10
 PROP_PARAM_FIXED_COUNT = 0x20
 
 # --- payload in-types -------------------------------------------------------------
@@ -179,7 +178,6 @@ OUT_IPV6 = 24
 OUT_SOCKETADDRESS = 25
 OUT_CIMDATETIME = 26
 OUT_ETWTIME = 27
-OUT_XML = 28
 OUT_ERRORCODE = 29
 OUT_WIN32ERROR = 30
 OUT_NTSTATUS = 31
@@ -266,5 +264,4 @@ HTTP_STATUS_CODES = (
     500, 501, 502, 503, 504, 505, 506, 507, 508, 510, 511,
 )
 MAX_PORT = 65535
-MAX_HANDLE = 4294967295
 MAX_READ_SIZE = 16384

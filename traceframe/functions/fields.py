@@ -350,6 +350,15 @@ def _plain_number(src: Source, in_type: int, out, entries) -> Column:
     return shown
 
 
+def is_whole_number(in_type: int) -> bool:
+    """Types that value maps and bitmaps apply to."""
+    others = (
+        C.IN_NULL, C.IN_FLOAT, C.IN_DOUBLE, C.IN_GUID, C.IN_FILETIME, C.IN_SYSTEMTIME,
+        C.IN_UNICODECHAR, C.IN_ANSICHAR,
+    )
+    return in_type in POINTER_TYPES or (in_type in FIXED_WIDTH and in_type not in others)
+
+
 def read_inline(src: Source, in_type: int, out: int, bitmap: bool, entries) -> Column | None:
     """Text of a field that needs no binding; None when it has to be read step by step.
 
@@ -357,11 +366,7 @@ def read_inline(src: Source, in_type: int, out: int, bitmap: bool, entries) -> C
     """
     special = (C.OUT_PORT, C.OUT_IPV4, *_TIME_OUT)
     if width_of(in_type) is not None:
-        number = in_type in POINTER_TYPES or (
-            in_type not in (C.IN_NULL, C.IN_FLOAT, C.IN_DOUBLE, C.IN_GUID, C.IN_FILETIME,
-                            C.IN_SYSTEMTIME, C.IN_UNICODECHAR, C.IN_ANSICHAR)
-        )
-        if number and out not in special and not bitmap:
+        if is_whole_number(in_type) and out not in special and not bitmap:
             return _plain_number(src, in_type, out, entries)
         return None if entries else read_field(src, in_type, out).text()
     if isinstance(src.length, Column) or entries:
@@ -396,8 +401,6 @@ def inline_fits(src: Source, in_type: int) -> Column:
 # types as data
 # --------------------------------------------------------------------------------------
 
-READER_COLUMNS = "reader STRING, form STRING, width INT, unit INT, conversion STRING"
-
 _STRINGS = {
     C.IN_UNICODESTRING: ("string", 2), C.IN_ANSISTRING: ("string", 1),
     C.IN_COUNTEDSTRING: ("counted", 2), C.IN_COUNTEDANSISTRING: ("counted", 1),

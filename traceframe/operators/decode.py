@@ -30,8 +30,6 @@ from traceframe.operators.manifest import Layout, Manifest, Property, attach_man
 
 # A carried or referenced length above this cannot fit any payload.
 LENGTH_LIMIT = 1 << 27
-# A payload holds at most 64 KiB, hence never more elements than this.
-MAX_ELEMENTS = 65535
 
 PAYLOAD_TYPE = "map<string,string>"
 
@@ -85,13 +83,13 @@ class _RowProperty:
 class _StaticProperty:
     """A property of a layout that is being compiled."""
 
-    def __init__(self, prop: Property, maps: dict):
+    def __init__(self, prop: Property, label_map: tuple | None):
         self.name, self.in_type, self.out_type = prop.name, prop.in_type, prop.out_type
         ipv6 = prop.in_type == C.IN_BINARY and prop.out_type == C.OUT_IPV6
         self.length = 16 if ipv6 else prop.length
         self.length_ref = _length_ref(prop)
         self.carries = prop.name.lower().endswith("length")
-        self.map = maps.get(prop.map_name)
+        self.map = label_map
 
     @property
     def label(self):
@@ -243,7 +241,7 @@ class _CompiledLayout:
 
     def __init__(self, layout: Layout, record: _Record, tail: Column):
         self.record = record
-        self.props = [_StaticProperty(p, layout.maps) for p in layout.top]
+        self.props = [_StaticProperty(p, layout.map_of(p)) for p in layout.top]
         self.ordinals = [p.ordinal for p in layout.top]
         self.head: list[tuple[str, Column]] = []
         self.unread: list[Column] = []
@@ -383,7 +381,7 @@ PROPERTY_ROWS = """
 def _property_rows(layout: Layout) -> list[dict]:
     out = []
     for p in layout.properties:
-        is_bitmap, entries = layout.maps.get(p.map_name, (False, []))
+        is_bitmap, entries = layout.map_of(p) or (False, [])
         ipv6 = p.in_type == C.IN_BINARY and p.out_type == C.OUT_IPV6
         out.append(
             {
@@ -526,7 +524,7 @@ def _table_driven(record: _Record, properties: Column) -> Column:
             )
 
         def with_count(n: Column) -> Column:
-            impossible = n.isNull() | (n > MAX_ELEMENTS) | (is_struct & prop.fixed_count)
+            impossible = n.isNull() | (n > record.size) | (is_struct & prop.fixed_count)
             return F.when(impossible, record_error()).otherwise(
                 let(F.aggregate(_steps(n), start, read_element), add)
             )
@@ -590,12 +588,15 @@ def decode_payload(manifest: Manifest, tasks=None, table_driven: bool | None = N
     """Add ``payload``, ``record_parse_error`` and ``field_parse_error``.
 
     Rows whose event kind is unknown keep an empty payload and are flagged. ``tasks``
-    (upper case) limits the layouts that are compiled when the rows are known to be of
-    those tasks; ``table_driven`` forces that path (``True``) for all layouts.
+    (upper case) keeps rows of those tasks and unknown ones, and decodes only their
+    layouts; ``table_driven`` forces that path (``True``) for all layouts.
     """
 
     def apply(df: DataFrame) -> DataFrame:
         df = attach_manifest(manifest)(df)
+        if tasks is not None:
+            name = F.upper(F.regexp_replace(F.coalesce("TaskName", "ProviderName"), r"^\s+|\s+$", ""))
+            df = df.where(F.col("manifest_missing") | name.isin(*tasks))
         wanted = [
             x for x in manifest.layouts
             if tasks is None or (x.task_name or "").strip().upper() in tasks

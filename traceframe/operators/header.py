@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from traceframe import constants as C
 from traceframe.functions import guid_norm, ticks_to_timestamp
-from traceframe.operators.manifest import Manifest, attach_manifest, drop_manifest
-
-
-def effective_event_id() -> Column:
-    """System-logger events carry their id in ``Opcode``; all others in ``Id``."""
-    return F.when(F.col("is_kernel"), F.col("Opcode").cast("int")).otherwise(F.col("Id"))
+from traceframe.operators.manifest import (
+    Manifest,
+    attach_manifest,
+    drop_manifest,
+    effective_event_id,
+)
 
 
 def with_event_id(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from traceframe import constants as C
@@ -18,9 +18,11 @@ from traceframe import schema
 from traceframe.functions import fields
 from traceframe.functions.guid import norm_guid
 
-# More manifest rows than this are refused: the tables would no longer be a safe
-# broadcast. Whole operating systems register some tens of thousands of event kinds.
+# By default, more event kinds than this are refused: the table would no longer be a safe
+# broadcast. Whole operating systems register some tens of thousands of event kinds. Their
+# properties and map entries, many for each kind, may be ``ROWS_PER_KIND`` times as many.
 MAX_MANIFEST_ROWS = 500_000
+ROWS_PER_KIND = 20
 
 # At most this many layouts become generated code; see decode.py.
 MAX_COMPILED_LAYOUTS = 24
@@ -83,6 +85,10 @@ class Layout:
     properties: list[Property] = field(default_factory=list)
     maps: dict[str, tuple[bool, list[tuple[int, str]]]] = field(default_factory=dict)
 
+    def map_of(self, p: Property) -> tuple[bool, list[tuple[int, str]]] | None:
+        """The labels of a field. Only whole numbers have any."""
+        return self.maps.get(p.map_name) if fields.is_whole_number(p.in_type) else None
+
     @property
     def top(self) -> list[Property]:
         return [p for p in self.properties if p.top_level]
@@ -104,6 +110,7 @@ class Manifest:
     ``events``, ``properties``, ``maps`` and ``keywords`` are DataFrames with the
     schemas of :mod:`traceframe.schema`. ``prefer`` lists ``(ProviderId, Id, Version)`` of
     frequent event kinds: they are compiled first when there are more layouts than can be.
+    ``max_rows`` bounds the event kinds that are read to the driver.
     """
 
     def __init__(
@@ -113,9 +120,11 @@ class Manifest:
         maps: DataFrame,
         keywords: DataFrame | None = None,
         prefer=(),
+        max_rows: int = MAX_MANIFEST_ROWS,
     ):
         self.spark = events.sparkSession
         self.keywords = keywords
+        self.max_rows = max_rows
         self.layouts = self._load(events, properties, maps)
         self.compiled: dict = {}
         self.prefer = {(norm_guid(p), i, v) for p, i, v in prefer}
@@ -138,7 +147,7 @@ class Manifest:
 
     def _load(self, events, properties, maps) -> list[Layout]:
         self._event_rows = sorted(
-            bounded_rows(events, MAX_MANIFEST_ROWS, "manifest_event"),
+            bounded_rows(events, self.max_rows, "manifest_event"),
             key=lambda r: (norm_guid(r.ProviderId), r.Id, r.Version),
         )
         layouts, by_key = [], {}
@@ -149,12 +158,12 @@ class Manifest:
             by_key[key] = Layout(i, key, row.TaskName or row.ProviderName)
             layouts.append(by_key[key])
         by_provider: dict[str, dict] = {}
-        for row in bounded_rows(maps, MAX_MANIFEST_ROWS, "manifest_map"):
+        for row in bounded_rows(maps, self.max_rows * ROWS_PER_KIND, "manifest_map"):
             named = by_provider.setdefault(norm_guid(row.ProviderId), {})
             named.setdefault(row.map_name, (bool(row.is_bitmap), []))[1].append(
                 (row.value, row.label)
             )
-        for row in bounded_rows(properties, MAX_MANIFEST_ROWS, "manifest_property"):
+        for row in bounded_rows(properties, self.max_rows * ROWS_PER_KIND, "manifest_property"):
             layout = by_key.get((norm_guid(row.ProviderId), row.Id, row.Version))
             if layout is None:
                 continue
@@ -169,7 +178,8 @@ class Manifest:
         for layout in layouts:
             layout.properties.sort(key=lambda p: p.ordinal)
             layout.maps = {
-                name: (is_bitmap, sorted(entries))
+                # A value that is listed twice has its first label.
+                name: (is_bitmap, sorted(entries) if is_bitmap else sorted(dict(sorted(entries, reverse=True)).items()))
                 for name, (is_bitmap, entries) in by_provider.get(layout.key[0], {}).items()
             }
         return layouts
@@ -195,6 +205,11 @@ class Manifest:
         )
 
 
+def effective_event_id() -> Column:
+    """System-logger events carry their id in ``Opcode``; all others in ``Id``."""
+    return F.when(F.col("is_kernel"), F.col("Opcode").cast("int")).otherwise(F.col("Id"))
+
+
 MANIFEST_COLUMNS = (
     "layout_id", "ProviderName", "TaskName", "EventMessage", "kernel_group", "manifest_missing",
 )
@@ -203,16 +218,22 @@ MANIFEST_COLUMNS = (
 def attach_manifest(manifest: Manifest):
     """Add layout id and names of each row's event kind; unknown kinds are kept.
 
-    A left broadcast join: the manifest is bounded by ``MAX_MANIFEST_ROWS``, so no
-    shuffle of the events is needed and a hot provider costs nothing extra.
+    A left broadcast join: the manifest is bounded by its ``max_rows``, so no
+    shuffle of the events is needed and a hot provider costs nothing extra. System-logger
+    events, whose ``Id`` is 0, are found by their opcode.
     """
 
     def apply(df: DataFrame) -> DataFrame:
         if "manifest_missing" in df.columns:
             return df
-        joined = df.join(
-            F.broadcast(manifest.lookup()), ["ProviderId", "Id", "Version"], "left"
+        key = {c: f"_{c}" for c in ("ProviderId", "Id", "Version")}
+        kinds = manifest.lookup().withColumnsRenamed(key)
+        same = (
+            (df["ProviderId"] == F.col("_ProviderId"))
+            & (effective_event_id() == F.col("_Id"))
+            & (df["Version"] == F.col("_Version"))
         )
+        joined = df.join(F.broadcast(kinds), same, "left")
         return joined.select(
             *[df[c] for c in df.columns],
             *MANIFEST_COLUMNS[:-1],

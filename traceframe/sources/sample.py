@@ -132,7 +132,7 @@ def _record(**columns) -> list[Column]:
 
 
 def raw_events(events: DataFrame, kernel: bool = False) -> DataFrame:
-    """One raw record per row of ``events``."""
+    """One raw record per row of ``events``; those of the system logger have ``Id`` 0."""
     return with_helpers(events).select(*_raw_columns(kernel))
 
 
@@ -148,10 +148,10 @@ def _raw_columns(kernel: bool) -> list[Column]:
             click=C.WEB_CLIENT_PROVIDER, view=C.WEB_CLIENT_PROVIDER,
             signup=C.PROCESS_PROVIDER, purchase=C.PROCESS_PROVIDER,
         ),
-        Id=_by_type(3, click=1, view=2, signup=1, purchase=2),
+        Id=F.lit(0) if kernel else _by_type(3, click=1, view=2, signup=1, purchase=2),
         Version=F.when(unknown, 9).otherwise(0),
         Level=_by_type(2, click=4, view=5, signup=4, purchase=3),
-        Opcode=_by_type(0, view=1, signup=1, purchase=2),
+        Opcode=_by_type(3, click=1, view=2, signup=1, purchase=2) if kernel else _by_type(0, view=1, signup=1, purchase=2),
         Keyword=_by_type(
             F.lit(-(2**63)), click=0x1, view=0x2, signup=0x10, purchase=0x30
         ),
