@@ -11,6 +11,7 @@ from traceframe.operators import descriptors, filters, lookup, modes, sinks
 from traceframe.operators.extended import decode_extended
 from traceframe.operators.manifest import bounded_rows
 from traceframe.plans.trace import Trace, preset
+from traceframe.sources.records import read_events_by_date, write_events
 
 
 def plan(df):
@@ -44,25 +45,26 @@ def test_allow_list_switches_deny_list_off(raw):
     assert raw.transform(filters.pid_filter(allow=[], deny=[])).count() == raw.count()
 
 
-def test_long_lists_join_broadcast_or_salted(spark, raw):
+def test_long_lists_are_joined(spark, raw):
     long = list(range(5, 3000))
     kept = raw.transform(filters.pid_filter(allow=long))
     assert "BroadcastHashJoin" in plan(kept)
     table = spark.range(5, 3000).toDF("pid")
     want = sorted(r.record_id for r in raw.where("ProcessId >= 5").select("record_id").collect())
     for keep in (True, False):
-        got = filters.member_join(raw, F.col("ProcessId"), table, keep, small=False)
-        assert "_salt" in plan(got)
+        got = filters.member_join(raw, F.col("ProcessId"), table, keep)
         ids = sorted(r.record_id for r in got.select("record_id").collect())
         assert ids == want if keep else not set(ids) & set(want)
         assert got.columns == raw.columns
 
 
-def test_hot_process_is_spread_by_the_salt(spark):
-    hot = records(spark, [b""] * 400)
-    table = spark.createDataFrame([(4,)], "pid bigint")
-    got = filters.member_join(hot, F.col("ProcessId"), table, True, small=False)
-    assert got.count() == 400
+def test_null_process_is_in_no_list(spark):
+    df = records(spark, [b"", b""]).withColumn("ProcessId", F.when(F.col("record_id") == 0, F.lit(7).cast("bigint")))
+    table = spark.range(8, 2000).toDF("pid")
+    for some in ([8], list(range(8, 2000)), table):
+        assert df.transform(filters.pid_filter(deny=some)).count() == 2
+        assert df.transform(filters.pid_filter(allow=some)).count() == 0
+    assert df.transform(filters.pid_filter(deny=table.limit(0))).count() == 2
 
 
 def test_level_names_and_mask_signs():
@@ -156,13 +158,48 @@ def test_lookups(raw, manifest):
     assert ordered == sorted(ordered)
 
 
+def test_lookups_filter_below_the_decode(raw, manifest):
+    trace = Trace(manifest)
+    lean = plan(raw.transform(lookup.all_events("PROCESSSTART", trace)))
+    assert len(lean) < len(plan(raw.transform(trace).transform(lookup.all_events("PROCESSSTART")))) / 2
+    first = raw.transform(lookup.first_event("PROCESSSTART", trace)).collect()
+    assert first == raw.transform(trace).transform(lookup.first_event("PROCESSSTART")).collect()
+    other = Trace(manifest, task_names=("PROCESSSTOP",))
+    assert raw.transform(lookup.all_events("PROCESSSTART", other)).count() == 0
+
+
+def test_day_and_provider_prune_folders(raw, spark, tmp_path):
+    low = raw.withColumn("ProviderId", F.lower("ProviderId"))
+    write_events(low, str(tmp_path / "log"), by_date=True)
+    log = read_events_by_date(spark, str(tmp_path / "log"))
+    assert {r[0] for r in log.select("ProviderId").distinct().collect()} == {r[0] for r in raw.select("ProviderId").distinct().collect()}
+    day = log.agg(F.min("event_date")).first()[0]
+    kept = log.where((F.col("event_date") == F.lit(day)) & (F.col("ProviderId") == C.PROCESS_PROVIDER))
+    filtered = plan(kept).split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "event_date" in filtered and "ProviderId" in filtered
+    ticks = F.col("TimeStamp") - C.UNIX_EPOCH_TICKS
+    same = raw.where(F.date_from_unix_date(F.floor(ticks / 864_000_000_000).cast("int")) == F.lit(day))
+    assert log.where(F.col("event_date") == F.lit(day)).count() == same.count() > 0
+
+
+def test_console_prints_every_event(raw, manifest, capsys):
+    sinks.to_console(raw.transform(Trace(manifest)).limit(57))
+    assert sum(line[:1].isdigit() and line.endswith(")") for line in capsys.readouterr().out.splitlines()) == 57
+
+
+def test_event_line_has_each_key_once(spark, raw, manifest):
+    df = raw.transform(Trace(manifest)).limit(1)
+    df = df.withColumn("payload", F.create_map(F.lit("Description"), F.lit("payload"), F.lit("Other"), F.lit("x")))
+    line = sinks.format_event(df).first().line
+    assert line.count('"Description"') == 1 and '"Other":"x"' in line
+
+
 def test_log_appends(raw, manifest, tmp_path, spark):
     events = raw.transform(Trace(manifest, mode=2))
     for times in (1, 2):
         sinks.to_log(events, str(tmp_path / "log"))
         heads = spark.read.text(str(tmp_path / "log")).where(F.col("value").rlike(r"^\d+ \(")).count()
         assert heads == times * raw.count()
-    sinks.to_console(events, 1)
 
 
 def test_quarantine(raw, manifest, spark, tmp_path):

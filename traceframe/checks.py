@@ -7,6 +7,7 @@ records made of them must give.
 from __future__ import annotations
 
 import os
+import time
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -24,7 +25,12 @@ from traceframe.plans.trace import Trace, preset
 from traceframe.schema import PROVIDERS
 from traceframe.sources import sample
 from traceframe.sources.records import merge_sessions, read_events, read_events_stream, write_events
-from traceframe.sources.text import parse_event_dump, parse_field_catalog
+from traceframe.sources.text import (
+    parse_event_dump,
+    parse_field_catalog,
+    read_event_dump,
+    read_field_catalog,
+)
 from traceframe.streaming import capture as live
 from traceframe.streaming.rules import PidRules, live_rules
 
@@ -156,6 +162,57 @@ def several_providers(spark, sf_dir):
     return kept.select("record_id", *_h("ProviderId", "Level", "Keyword"))
 
 
+@query(
+    "two_thousand_providers",
+    f"SELECT record_id, provider AS provider_id FROM r WHERE provider = '{C.PROCESS_PROVIDER}' AND level <= 3",
+)
+def two_thousand_providers(spark, sf_dir):
+    """A config table of any length; all but one of its providers have no events."""
+    others = spark.range(2000).select(
+        F.lit("p").alias("name"),
+        F.format_string("{00000000-0000-0000-0001-%012x}", F.col("id")).alias("ProviderId"),
+        F.lit(5).cast("smallint").alias("level"), F.lit(0).cast("bigint").alias("any_mask"),
+        F.lit(0).cast("bigint").alias("all_mask"),
+    )
+    mine = local_table(spark, [("process", C.PROCESS_PROVIDER, 3, 0, 0)], PROVIDERS)
+    kept = _raw(spark, sf_dir).transform(filters.provider_filter(others.toDF(*mine.columns).unionByName(mine)))
+    return kept.select("record_id", *_h("ProviderId"))
+
+
+@query(
+    "deny_lists_keep_records_without_process",
+    """SELECT record_id, length FROM (SELECT record_id, CASE WHEN k % 3 = 0 THEN NULL ELSE pid END AS p FROM r),
+         (VALUES ('short'), ('long')) v(length) WHERE p IS NULL OR p NOT IN (2, 3)""",
+)
+def deny_lists_keep_records_without_process(spark, sf_dir):
+    """A NULL process is in no list, however long the list is."""
+    source = sample.with_helpers(sample.read_source(spark, sf_dir)).select(F.col("event_id").alias("record_id"), "k")
+    raw = _raw(spark, sf_dir).join(source, "record_id")
+    raw = raw.withColumn("ProcessId", F.when(F.col("k") % 3 != 0, F.col("ProcessId")))
+    lists = {"short": [2, 3], "long": [2, 3, *range(10**9, 10**9 + 3000)]}
+    short, long_ = [
+        raw.transform(filters.pid_filter(deny=pids)).select("record_id", F.lit(name).alias("length"))
+        for name, pids in lists.items()
+    ]
+    return short.unionByName(long_)
+
+
+@query(
+    "mixed_descriptors",
+    f"""SELECT record_id, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS stacks FROM r
+        WHERE provider <> '{C.PROCESS_PROVIDER}' OR (pid % 10 IN (1, 8) AND id = 1)""",
+)
+def mixed_descriptors(spark, sf_dir):
+    """Descriptors of unlike kinds on one provider, by way of the trace."""
+    processes = sample.process_table(sample.read_source(spark, sf_dir))
+    listed = [
+        desc.exe_descriptor(["proc1.exe", "proc8.exe"], processes), desc.stack_filter([1]),
+        desc.event_id_descriptor(True, [1]),
+    ]
+    trace = Trace(_manifest(spark), mode=8, provider_params={C.PROCESS_PROVIDER.lower(): (listed, None)})
+    return _item_counts(trace(_raw(spark, sf_dir))).select("record_id", "stacks")
+
+
 @query(
     "merged_sessions",
     """SELECT provider AS provider_id, kernel AS is_kernel, CAST(count(*) AS BIGINT) AS n
@@ -269,6 +326,47 @@ SQL["event_dump_text"] = _DUMP + """
   FROM d"""
 
 
+def _written(spark: SparkSession, blocks: DataFrame, name: str, end: str) -> str:
+    """Text files of the blocks, with the given line end and a separator line with a blank now and then."""
+    path = os.path.join(live.shared_folder(spark, name), "text")
+    gap = F.when(F.crc32(F.col("value").cast("binary")) % 3 == 0, f"{end} ").otherwise(end)
+    text = F.concat(F.regexp_replace("value", "\n", end), gap)
+    blocks.select(text).write.option("lineSep", end).text(path)
+    return path
+
+
+@query("event_dump_files")
+def event_dump_files(spark, sf_dir):
+    """Dump files with either line end, through the reader."""
+    blocks = sample.dump_blocks(sample.read_source(spark, sf_dir))
+    found = [
+        read_event_dump(spark, _written(spark, blocks, f"dump-{name}", end), end + end).withColumn("ends", F.lit(name))
+        for name, end in (("lf", "\n"), ("crlf", "\r\n"))
+    ]
+    return (
+        found[0].unionByName(found[1]).groupBy("ends", "task_name")
+        .agg(F.count("*").alias("n"), F.sum(F.size("payload")).alias("n_fields"),
+             F.sum(F.col("payload")["Size"].cast("bigint")).alias("sizes"),
+             F.count_if(F.col("payload")["Verb"] == "PATCH").alias("patches"))
+    )
+
+
+SQL["event_dump_files"] = _DUMP + """
+  SELECT ends, dump_task AS task_name, CAST(count(*) AS BIGINT) AS n,
+    CAST(sum(CASE event_type WHEN 'click' THEN 2 WHEN 'view' THEN 7 WHEN 'signup' THEN 7
+      WHEN 'purchase' THEN CASE WHEN k % 4 = 0 THEN 5 ELSE 6 END ELSE 5 END) AS BIGINT) AS n_fields,
+    CAST(sum(CASE WHEN event_type = 'click' THEN k * 170 END) AS BIGINT) AS sizes,
+    CAST(count(*) FILTER (event_type = 'signup' AND verb = 'PATCH') AS BIGINT) AS patches
+  FROM d, (VALUES ('lf'), ('crlf')) v(ends) GROUP BY 1, 2"""
+
+
+@query("field_catalog_files", SQL["field_catalog_text"].removeprefix(WITH))
+def field_catalog_files(spark, sf_dir):
+    """The catalog as CR LF files, through the reader."""
+    path = _written(spark, _catalog_blocks(_decoded(spark, sf_dir)), "catalog", "\r\n")
+    return read_field_catalog(spark, path, "\r\n\r\n").groupBy("task", "ordinal", "field").agg(F.count("*").alias("n"))
+
+
 # --- header projections ---------------------------------------------------------------
 
 
@@ -438,7 +536,7 @@ def pid_deny_table_shuffled(spark, sf_dir):
     processes = sample.process_table(sample.read_source(spark, sf_dir))
     denied = processes.where(F.col("image_name").isin("proc3.exe", "proc4.exe")).select("pid")
     raw = _raw(spark, sf_dir)
-    return _kept(filters.member_join(raw, F.col("ProcessId"), denied, keep=False, small=False))
+    return _kept(filters.member_join(raw, F.col("ProcessId"), denied, keep=False))
 
 
 @query(
@@ -562,7 +660,7 @@ query("package_app_descriptor", _KEPT + "WHERE pid % 6 IN (0, 5)")(
     "SELECT record_id, cents AS amount FROM r WHERE event_type = 'purchase' AND cents >= 2000 AND k % 2 = 1",
 )
 def payload_filter(spark, sf_dir):
-    view = _decoded(spark, sf_dir).transform(
+    view = _decoded(spark, sf_dir, task_names=("PROCESSSTOP",)).transform(
         event_view("PROCESSSTOP", {"Amount": "bigint", "Elevated": "boolean"})
     )
     kept = view.transform(desc.payload_filter("Amount >= 2000 AND Elevated"))
@@ -1056,13 +1154,13 @@ def events_in_memory(spark, sf_dir):
     "SELECT record_id, ticks AS time_stamp FROM r WHERE event_type = 'signup' ORDER BY ticks, record_id LIMIT 1",
 )
 def first_event_of_task(spark, sf_dir):
-    first = _decoded(spark, sf_dir).transform(lookup.first_event("PROCESSSTART"))
+    first = _raw(spark, sf_dir).transform(lookup.first_event("PROCESSSTART", Trace(_manifest(spark))))
     return first.select("record_id", F.col("EventHeader.TimeStamp").alias("time_stamp"))
 
 
 @query("all_events_of_task", "SELECT record_id, pid AS process_id FROM r WHERE event_type = 'purchase'")
 def all_events_of_task(spark, sf_dir):
-    found = _decoded(spark, sf_dir).transform(lookup.all_events("PROCESSSTOP"))
+    found = _raw(spark, sf_dir).transform(lookup.all_events("PROCESSSTOP", Trace(_manifest(spark))))
     return found.select("record_id", F.col("EventHeader.ProcessId").alias("process_id"))
 
 
@@ -1091,7 +1189,7 @@ def _run(spark, records, transform, **more) -> DataFrame:
         batch.write.mode("overwrite").parquet(f"{folder}/events/batch={batch_id}")
 
     session = live.Capture(
-        records, transform, save, trigger={"availableNow": True}, strict=True, **more
+        records, transform, save, trigger={"availableNow": True}, **more
     )
     session.start()
     session.wait()
@@ -1110,17 +1208,71 @@ def live_capture(spark, sf_dir):
     return _streamed(_run(spark, _stream(spark, sf_dir), Trace(_manifest(spark), event_ids=(1, 3))))
 
 
+def _dropped(spark: SparkSession, sf_dir: str) -> str:
+    """The records in four files, each a batch of a throttled stream."""
+    path = os.path.join(live.shared_folder(spark, "drop"), "raw_events")
+    _raw(spark, sf_dir).repartition(4).write.parquet(path)
+    return path
+
+
 @query("file_drop_stream", _STREAMED)
 def file_drop_stream(spark, sf_dir):
-    path = os.path.join(live.shared_folder(spark, "drop"), "raw_events")
-    _raw(spark, sf_dir).write.parquet(path)
+    path = _dropped(spark, sf_dir)
     return _streamed(_run(spark, read_events_stream(spark, path, 1), Trace(_manifest(spark))))
 
 
-@query("throttled_capture", _STREAMED)
+@query(
+    "throttled_capture",
+    "SELECT count(*) AS n, 4 AS batches, CAST(sum(record_id) AS BIGINT) AS ids, true AS paced FROM t",
+)
 def throttled_capture(spark, sf_dir):
-    options, _ = live.throttle(1, "1 second")
-    return _streamed(_run(spark, _stream(spark, sf_dir, **options), Trace(_manifest(spark))))
+    """One file a trigger: as many batches as files, none sooner than the interval allows."""
+    options, trigger = live.throttle(1, "1 second")
+    folder = live.shared_folder(spark, "throttled")
+    starts: list[float] = []
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        starts.append(time.monotonic())
+        batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+
+    records = read_events_stream(spark, _dropped(spark, sf_dir), options["maxFilesPerTrigger"])
+    with live.Capture(records, Trace(_manifest(spark)), save, trigger=trigger):
+        pass
+    done = spark.read.parquet(folder)
+    paced = starts[-1] - starts[0] >= 2
+    return done.agg(
+        F.count("*").alias("n"), F.count_distinct("batch").cast("int").alias("batches"),
+        F.sum("record_id").alias("ids"),
+    ).withColumn("paced", F.lit(paced))
+
+
+@query(
+    "rules_between_batches",
+    "SELECT count(*) > 0 AS free_first, true AS no_rule_first, true AS only_allowed_later FROM r WHERE pid = 3",
+)
+def rules_between_batches(spark, sf_dir):
+    """No rules at the start; an allow list from the second batch on."""
+    rules = PidRules(spark, os.path.join(live.shared_folder(spark, "rules"), "pid_rules"))
+    folder = live.shared_folder(spark, "ruled")
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        if batch_id == 0:
+            rules.add("allow", 3)
+
+    records = read_events_stream(spark, _dropped(spark, sf_dir), 1)
+    session = live.Capture(
+        records, lambda raw: raw.select("record_id", "ProcessId"), save, trigger={"availableNow": True},
+        batch_filter=live_rules(rules.path),
+    )
+    session.start()
+    session.wait()
+    done = spark.read.parquet(folder)
+    first, mine = F.col("batch") == 0, F.col("ProcessId") == 3
+    return done.agg(
+        (F.count_if(first) > 0).alias("free_first"), (F.count_if(first & ~mine) > 0).alias("no_rule_first"),
+        (F.count_if(~first & ~mine) == 0).alias("only_allowed_later"),
+    )
 
 
 @query("live_pid_rules", _STREAMED + "WHERE pid IN (1, 4)")
@@ -1137,22 +1289,25 @@ def live_pid_rules(spark, sf_dir):
 
 @query(
     "capture_counters",
-    """SELECT CAST(count(*) AS BIGINT) AS input_rows, CAST(count(*) AS BIGINT) AS events,
+    """SELECT CAST(4 AS BIGINT) AS batches, CAST(count(*) AS BIGINT) AS input_rows,
+         CAST(count(*) FILTER (id <> 2) AS BIGINT) AS events, CAST(count(*) FILTER (id = 2) AS BIGINT) AS dropped,
          CAST(count(*) FILTER (unknown) AS BIGINT) AS record_errors,
-         CAST(count(*) FILTER (field_error) AS BIGINT) AS field_errors FROM t""",
+         CAST(count(*) FILTER (field_error AND id <> 2) AS BIGINT) AS field_errors FROM t""",
 )
 def capture_counters(spark, sf_dir):
-    trace = Trace(_manifest(spark))
+    """Several batches, some rows dropped by a filter."""
+    trace = Trace(_manifest(spark), event_ids=(1, 3))
     session = live.Capture(
-        _stream(spark, sf_dir),
+        read_events_stream(spark, _dropped(spark, sf_dir), 1),
         lambda raw: live.observed(trace(raw)),
         lambda batch, _: batch.write.format("noop").mode("overwrite").save(),
         trigger={"availableNow": True},
     )
-    query_ = session.start()
+    session.start()
     session.wait()
-    names = ("input_rows", "events", "record_errors", "field_errors")
-    return live.capture_progress(query_, spark).agg(*[F.sum(c).cast("bigint").alias(c) for c in names])
+    names = ("input_rows", "events", "dropped", "record_errors", "field_errors")
+    batches = F.count("*").alias("batches")
+    return session.counters().agg(batches, *[F.sum(c).cast("bigint").alias(c) for c in names])
 
 
 @query("stream_replay", _STREAMED)

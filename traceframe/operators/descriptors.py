@@ -1,14 +1,13 @@
-"""Provider-side filter descriptors, as predicates scoped to a provider.
+"""Provider-side filter descriptors, as row filters scoped to a provider.
 
 Several descriptors of one provider are combined with AND. A descriptor is a function
-``DataFrame -> DataFrame``; those that are pure predicates also offer it as a Column, so
-that :func:`provider_params` can scope them.
+``DataFrame -> DataFrame`` over all rows; ``apply(df, scope)`` limits it to the rows for
+which ``scope`` holds and passes the others untouched. Those of :func:`provider_params`
+may be of any kind.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,13 +24,47 @@ class Descriptor:
     def __init__(self, test: Column, manifest: Manifest | None = None):
         self.test, self.manifest = test, manifest
 
-    def __call__(self, df: DataFrame) -> DataFrame:
+    def apply(self, df: DataFrame, scope: Column) -> DataFrame:
+        keep = F.when(scope, F.coalesce(self.test, F.lit(False))).otherwise(True)
         if self.manifest is None:
-            return df.where(self.test)
+            return df.where(keep)
         attached = "manifest_missing" in df.columns
-        out = attach_manifest(self.manifest)(df).where(self.test)
+        out = attach_manifest(self.manifest)(df).where(keep)
         return out if attached else drop_manifest(out)
 
+    def __call__(self, df: DataFrame) -> DataFrame:
+        if self.manifest is None:
+            return df.where(self.test)
+        return self.apply(df, F.lit(True))
+
+
+class Members(Descriptor):
+    """Rows of the processes in a table."""
+
+    def __init__(self, members: DataFrame):
+        self.members = members
+
+    def apply(self, df: DataFrame, scope: Column) -> DataFrame:
+        member = self.members.toDF("_member").distinct().withColumn("_in", F.lit(True))
+        looked_up = df.join(member, (F.col("ProcessId") == F.col("_member")) & scope, "left")
+        return looked_up.where(F.coalesce(~scope, F.lit(True)) | F.col("_in")).select(df.columns)
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return member_join(df, F.col("ProcessId"), self.members, keep=True)
+
+
+class Change(Descriptor):
+    """A change of some columns, made only in scope; no row is dropped."""
+
+    def __init__(self, change: dict[str, Column]):
+        self.change = change
+
+    def apply(self, df: DataFrame, scope: Column) -> DataFrame:
+        return df.withColumns({c: F.when(scope, new).otherwise(F.col(c)) for c, new in self.change.items()})
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return df.withColumns(self.change)
+
 
 def event_id_descriptor(filter_in: bool, ids) -> Descriptor:
     """Include or exclude up to 64 event ids."""
@@ -76,61 +109,42 @@ def package_app_descriptor(ids, processes: DataFrame):
 
 
 def _by_process(column: str, values, processes: DataFrame):
-    """Semi join to the matching processes; broadcast only after counting them."""
-    members = processes.where(F.col(column).isin(*values)).select("pid")
-    return lambda df: member_join(df, F.col("ProcessId"), members, keep=True)
+    """Semi join to the matching processes; Spark broadcasts them by their size."""
+    return Members(processes.where(F.col(column).isin(*values)).select("pid"))
 
 
-def payload_filter(condition: Column | str):
+def payload_filter(condition: Column | str) -> Descriptor:
     """A predicate on decoded payload columns (a typed view or the payload map)."""
-    return lambda df: df.where(condition)
+    return Descriptor(F.expr(condition) if isinstance(condition, str) else condition)
 
 
 def _without_items(items: Column, kinds) -> Column:
     return F.filter(items, lambda item: ~item["ExtType"].isin(*kinds))
 
 
-def stack_filter(ids):
+def stack_filter(ids) -> Descriptor:
     """Keep stack items only on events with these ids; no row is dropped."""
-
-    def apply(df: DataFrame) -> DataFrame:
-        items = F.col("ExtendedData")
-        bare = _without_items(items, (C.EXT_STACK_TRACE32, C.EXT_STACK_TRACE64))
-        return df.withColumn(
-            "ExtendedData", F.when(effective_event_id().isin(*ids), items).otherwise(bare)
-        )
-
-    return apply
+    items = F.col("ExtendedData")
+    bare = _without_items(items, (C.EXT_STACK_TRACE32, C.EXT_STACK_TRACE64))
+    return Change({"ExtendedData": F.when(effective_event_id().isin(*ids), items).otherwise(bare)})
 
 
-def enable_properties(mask: int):
+def enable_properties(mask: int) -> Descriptor:
     """Keep the optional extended items that the mask asks for; others are not optional."""
     removed = [
         kind for bit, kinds in C.PROPERTY_ITEMS.items() if not mask & bit for kind in kinds
     ]
-
-    def apply(df: DataFrame) -> DataFrame:
-        if not removed:
-            return df
-        return df.withColumn("ExtendedData", _without_items(F.col("ExtendedData"), removed))
-
-    return apply
+    return Change({"ExtendedData": _without_items(F.col("ExtendedData"), removed)} if removed else {})
 
 
 def provider_params(provider_id: str, descriptors: list[Descriptor], properties: int | None = None):
     """All descriptors of one provider; events of other providers pass untouched."""
     mine = F.col("ProviderId") == norm_guid(provider_id)
-    hit = reduce(lambda a, b: a & b, [d.test for d in descriptors], F.lit(True))
-    manifest = next((d.manifest for d in descriptors if d.manifest is not None), None)
-    keep = Descriptor(F.when(mine, hit).otherwise(True), manifest)
+    more = [] if properties is None else [enable_properties(properties)]
 
     def apply(df: DataFrame) -> DataFrame:
-        df = keep(df)
-        if properties is None:
-            return df
-        limited = enable_properties(properties)(df.withColumn("_all", F.col("ExtendedData")))
-        return limited.withColumn(
-            "ExtendedData", F.when(mine, F.col("ExtendedData")).otherwise(F.col("_all"))
-        ).drop("_all")
+        for d in [*descriptors, *more]:
+            df = d.apply(df, mine)
+        return df
 
     return apply

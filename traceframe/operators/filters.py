@@ -1,8 +1,8 @@
 """Row filters: event ids, processes, tasks, levels, keywords, providers.
 
 All are plain predicates on header columns where the list is short, so Parquet row
-groups can be skipped; long lists become joins. A joined list is broadcast only when it
-was counted and is small, else it is shuffled with the hot keys spread by a salt.
+groups can be skipped; long lists become semi or anti joins. Adaptive execution broadcasts
+a joined list by its measured size, and splits a hot key of a shuffled one.
 """
 
 from __future__ import annotations
@@ -11,40 +11,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from traceframe import constants as C
-from traceframe.functions import norm_guid
+from traceframe.functions import guid_norm, norm_guid
 from traceframe.operators.header import resolved_name, with_event_id
-from traceframe.operators.manifest import Manifest, attach_manifest, drop_manifest
+from traceframe.operators.manifest import Manifest, attach_manifest, drop_manifest, local_table
 
 # Longest list written into the plan as a literal.
 MAX_LITERAL_LIST = 1000
-# Most rows of a list that is broadcast: 1M numbers are some tens of megabytes.
-MAX_BROADCAST_ROWS = 1_000_000
-# Ways in which each key of a shuffled list is spread.
-SALT = 16
 
 
-def is_small(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether a table has at most ``limit`` rows; stops counting there."""
-    return df.limit(limit + 1).count() <= limit
-
-
-def member_join(
-    df: DataFrame, key: Column, members: DataFrame, keep: bool, small: bool | None = None
-) -> DataFrame:
+def member_join(df: DataFrame, key: Column, members: DataFrame, keep: bool) -> DataFrame:
     """Rows whose ``key`` is (``keep``) or is not in the one-column ``members``.
 
     A row that matches several copies of a member is still one row: these are semi and
-    anti joins. In the shuffled form a key that holds a third of all rows is dealt to
-    ``SALT`` tasks.
+    anti joins. A NULL key is in no list. No job runs while planning.
     """
-    how = "left_semi" if keep else "left_anti"
-    member = members.toDF("_member").where(F.col("_member").isNotNull()).distinct()
-    if small if small is not None else is_small(member):
-        return df.join(F.broadcast(member), key == F.col("_member"), how)
-    salted = member.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    dealt = df.withColumn("_deal", F.pmod(F.xxhash64("record_id"), F.lit(SALT)).cast("int"))
-    test = (key == F.col("_member")) & (F.col("_deal") == F.col("_salt"))
-    return dealt.join(salted, test, how).drop("_deal")
+    member = members.toDF("_member").where(F.col("_member").isNotNull())
+    return df.join(member, key == F.col("_member"), "left_semi" if keep else "left_anti")
+
+
+def member_test(key: Column, members, keep: bool) -> Column:
+    """The same for a short list. A NULL key is in no list."""
+    hit = F.coalesce(key.isin(*members), F.lit(False))
+    return key.isin(*members) if keep else ~hit
 
 
 # --- consumer tier --------------------------------------------------------------------
@@ -83,28 +71,25 @@ def pid_filter(allow=None, deny=None):
     """
 
     def apply(df: DataFrame) -> DataFrame:
-        chosen, keep = (allow, True) if _given(allow) else (deny, False)
-        if not _given(chosen):
-            return df
-        if isinstance(chosen, DataFrame):
+        for chosen, keep in ((allow, True), (deny, False)):
+            table = isinstance(chosen, DataFrame)
+            pids = _first(chosen) if table else sorted(set(chosen or ()))
+            if not pids:
+                continue
+            if len(pids) <= MAX_LITERAL_LIST:
+                return df.where(member_test(F.col("ProcessId"), pids, keep))
+            if not table:
+                chosen = local_table(df.sparkSession, [(p,) for p in pids], "pid BIGINT")
             return member_join(df, F.col("ProcessId"), chosen, keep)
-        pids = sorted(set(chosen))
-        if len(pids) > MAX_LITERAL_LIST:
-            from traceframe.operators.manifest import local_table
-
-            table = local_table(df.sparkSession, [(p,) for p in pids], "pid BIGINT")
-            small = len(pids) <= MAX_BROADCAST_ROWS
-            return member_join(df, F.col("ProcessId"), table, keep, small=small)
-        test = F.col("ProcessId").isin(*pids)
-        return df.where(test if keep else ~test)
+        return df
 
     return apply
 
 
-def _given(pids) -> bool:
-    if pids is None:
-        return False
-    return not pids.isEmpty() if isinstance(pids, DataFrame) else len(pids) > 0
+def _first(members: DataFrame) -> list:
+    """The members of a table, or enough of them to see that they are many: one small job."""
+    named = members.toDF("pid").where("pid IS NOT NULL").distinct()
+    return [r.pid for r in named.limit(MAX_LITERAL_LIST + 1).collect()]
 
 
 def task_name_filter(names, manifest: Manifest):
@@ -183,21 +168,22 @@ def keyword_filter(any: int = 0, all: int = 0):  # noqa: A002
 def provider_filter(providers: DataFrame):
     """Events of the providers in a config table, each with its own level and masks.
 
-    The table is configuration: it is counted and then becomes one predicate, so the
-    provider ids reach the scan and prune its partitions.
+    A semi join with the table, of any length; Spark broadcasts it by its size. Where there
+    are few providers their ids are also written into the plan and prune partitions.
     """
-    from traceframe.operators.manifest import bounded_rows
-
-    test, ids = F.lit(False), []
-    for row in bounded_rows(providers, MAX_LITERAL_LIST, "providers"):
-        mine = F.col("ProviderId") == norm_guid(row.ProviderId)
-        ids.append(norm_guid(row.ProviderId))
-        if row.level is not None:
-            mine = mine & level_test(row.level)
-        test = test | (mine & keyword_test(row.any_mask or 0, row.all_mask or 0))
+    rules = providers.select(
+        guid_norm(F.col("ProviderId")).alias("_provider"), F.col("level").alias("_level"),
+        F.coalesce("any_mask", F.lit(0)).alias("_any"), F.coalesce("all_mask", F.lit(0)).alias("_all"),
+    )
+    ids = _first(rules.select("_provider"))
 
     def apply(df: DataFrame) -> DataFrame:
-        return df.where(F.col("ProviderId").isin(*ids) & test) if ids else df.where(F.lit(False))
+        if len(ids) <= MAX_LITERAL_LIST:
+            df = df.where(F.col("ProviderId").isin(*ids))
+        level = F.col("_level").isNull() | (F.col("Level") <= F.col("_level"))
+        some = (F.col("_any") == 0) | (F.col("Keyword").bitwiseAND(F.col("_any")) != 0)
+        every = F.col("Keyword").bitwiseAND(F.col("_all")) == F.col("_all")
+        return df.join(rules, (F.col("ProviderId") == F.col("_provider")) & level & some & every, "left_semi")
 
     return apply
 

@@ -15,7 +15,9 @@ def event_json() -> Column:
     """One event as one JSON object: header, payload fields at top level, the rest."""
     keep_nulls = {"ignoreNullFields": "false"}
     head = F.to_json(F.struct(F.col("EventHeader"), F.col("task_name").alias("Task Name")))
-    payload = F.to_json(F.col("payload"), keep_nulls)
+    # The event's own members win over payload fields of the same name.
+    own = ("EventHeader", "Task Name", "Description", "EventExtendedData", "UserData")
+    payload = F.to_json(F.map_filter("payload", lambda name, _: ~name.isin(*own)), keep_nulls)
     rest = F.to_json(
         F.struct(
             F.col("description").alias("Description"),
@@ -42,8 +44,10 @@ def to_log(df: DataFrame, path: str) -> None:
     lines.write.mode("append").text(path)
 
 
-def to_console(df: DataFrame, rows: int = 20) -> None:
-    format_event(df).select("line").show(rows, truncate=False)
+def to_console(df: DataFrame) -> None:
+    """Print every event; the driver holds one partition at a time."""
+    for row in format_event(df).select("line").toLocalIterator():
+        print(row.line)
 
 
 def to_memory(df: DataFrame, name: str) -> DataFrame:

@@ -7,12 +7,12 @@ no join at all.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 
 from traceframe import constants as C
-from traceframe.operators import filters
+from traceframe.operators import descriptors, filters
 from traceframe.operators.decode import decode_payload
 from traceframe.operators.extended import decode_extended
 from traceframe.operators.manifest import Manifest, attach_manifest, local_table
@@ -31,14 +31,24 @@ class Trace:
     pid_allow: object = None
     pid_deny: object = None
     task_names: tuple = ()
+    # Per provider: (descriptors, enabled properties or None); see operators.descriptors.
+    provider_params: dict = field(default_factory=dict)
     mode: int = C.MODE_DECODED
 
     def __post_init__(self):
         check_mode(self.mode)
 
+    def only(self, task: str) -> Trace:
+        """This trace without other tasks, so that only ``task`` is decoded. Unknown events stay."""
+        if self.task_names and task not in self.task_names:
+            return replace(self, task_names=(task,), event_ids=(-1,))
+        return replace(self, task_names=(task,))
+
     def __call__(self, raw: DataFrame) -> DataFrame:
         if self.providers is not None:
             raw = raw.transform(filters.provider_filter(self.providers))
+        for provider, (listed, properties) in self.provider_params.items():
+            raw = raw.transform(descriptors.provider_params(provider, listed, properties))
         if self.mode == C.MODE_UNFORMATTED:
             return raw.transform(output_mode(self.mode))
         kept = (

@@ -6,9 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _blocks(spark: SparkSession, path: str) -> DataFrame:
-    """One row per block. The files stay splittable: the separator is the record end."""
-    return spark.read.option("lineSep", "\n\n").text(path)
+def _blocks(spark: SparkSession, path: str, separator: str) -> DataFrame:
+    """One row per block. The files stay splittable: the separator is the record end.
+
+    Blocks that are parted by other blank lines (blanks in them, the other line end) come
+    apart afterwards.
+    """
+    rows = spark.read.option("lineSep", separator).text(path)
+    parts = F.split(F.translate("value", "\r", ""), r"\n(?:[ \t]*\n)+")
+    return rows.select(F.explode(parts).alias("value"))
 
 
 def _lines(block: Column) -> Column:
@@ -65,8 +71,9 @@ def _after_colon(line: Column) -> Column:
     return F.when(at > 0, F.substring(line, at + blank, F.length(line)))
 
 
-def read_event_dump(spark: SparkSession, path: str) -> DataFrame:
-    return parse_event_dump(_blocks(spark, path))
+def read_event_dump(spark: SparkSession, path: str, separator: str = "\n\n") -> DataFrame:
+    """Events of dump files; ``separator`` is ``"\\r\\n\\r\\n"`` where lines end in CR LF."""
+    return parse_event_dump(_blocks(spark, path, separator))
 
 
 def parse_field_catalog(df: DataFrame, block: str = "value") -> DataFrame:
@@ -80,5 +87,6 @@ def parse_field_catalog(df: DataFrame, block: str = "value") -> DataFrame:
     ).where(F.col("line").isNotNull()).select("task", "ordinal", F.regexp_replace("line", r"^\s*-\s*|\s+$", "").alias("field"))
 
 
-def read_field_catalog(spark: SparkSession, path: str) -> DataFrame:
-    return parse_field_catalog(_blocks(spark, path))
+def read_field_catalog(spark: SparkSession, path: str, separator: str = "\n\n") -> DataFrame:
+    """Fields of catalog files; ``separator`` as for :func:`read_event_dump`."""
+    return parse_field_catalog(_blocks(spark, path, separator))

@@ -2,42 +2,52 @@
 
 from __future__ import annotations
 
+import contextlib
 import logging
 import os
 import tempfile
+import threading
+import time
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from traceframe.operators.manifest import local_table
-from traceframe.operators.sinks import format_event
+from traceframe.operators.sinks import format_event, to_console
 
 logger = logging.getLogger(__name__)
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder that all executors can reach.
+def shared_folder(spark: SparkSession, purpose: str, name: str | None = None) -> str:
+    """A folder that all executors can reach: a new one, or always the same for a ``name``.
 
-    On a cluster it lies under ``spark.checkpoint.dir``; only where that is not set, as
-    in local tests, a temporary folder is used.
+    It lies under ``spark.checkpoint.dir``. Only on a local master, as in tests, may that be
+    unset; then a temporary folder is used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return os.path.join(base, f"{purpose}-{uuid.uuid4()}")
-    return tempfile.mkdtemp(prefix=f"{purpose}-")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = os.path.join(tempfile.gettempdir(), f"traceframe-{spark.sparkContext.applicationId}")
+    return os.path.join(base, f"{purpose}-{name or uuid.uuid4()}")
 
 
-def guarded(fn: Callable[[DataFrame, int], None]):
-    """A batch function whose failure is logged and does not end the capture."""
+def with_dead_letters(fn: Callable[[DataFrame, int], None], path: str):
+    """A batch function whose failing batches are kept under ``path`` and do not end the capture.
+
+    Each such batch is stored whole, as ``batch=<id>``, with the error logged. What cannot
+    even be stored, as when decoding itself fails, does end it.
+    """
 
     def call(batch: DataFrame, batch_id: int) -> None:
         try:
             fn(batch, batch_id)
         except Exception:
-            logger.exception("callback failed on batch %d", batch_id)
+            logger.exception("batch %d goes to %s", batch_id, path)
+            batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return call
 
@@ -61,7 +71,11 @@ class Capture:
     raw records, for rules that may change meanwhile.
 
     A running query of the same name is reused as it is, and is not stopped by this
-    session; with ``reuse=False`` it is an error.
+    session; with ``reuse=False`` it is an error. A named session's checkpoint is found
+    again by its name, so that a new start goes on where the last one ended.
+
+    A batch that ``on_batch`` fails on ends the capture, to be run again at the next start;
+    with ``dead_letters`` it is stored in that folder and the capture goes on.
     """
 
     def __init__(
@@ -74,14 +88,15 @@ class Capture:
         trigger: dict | None = None,
         batch_filter: Callable[[DataFrame], DataFrame] | None = None,
         reuse: bool = True,
-        strict: bool = False,
+        dead_letters: str | None = None,
     ):
         self.records, self.transform, self.on_batch = records, transform, on_batch
         self.name = name or f"capture-{uuid.uuid4()}"
-        self.checkpoint = checkpoint or shared_folder(records.sparkSession, "checkpoint")
+        self.checkpoint = checkpoint or shared_folder(records.sparkSession, "checkpoint", name)
         self.trigger = trigger or {"processingTime": "1 second"}
         self.batch_filter, self.reuse = batch_filter, reuse
-        self.strict = strict
+        self.dead_letters = dead_letters
+        self.progress = ProgressLog()
         self.query: StreamingQuery | None = None
         self.started_here = False
 
@@ -94,7 +109,7 @@ class Capture:
                 raise RuntimeError(f"a capture named {self.name} is running")
             self.query = running[0]
             return self.query
-        fn = self.on_batch if self.strict else guarded(self.on_batch)
+        fn = with_dead_letters(self.on_batch, self.dead_letters) if self.dead_letters else self.on_batch
         if self.batch_filter is None:
             stream, step = self.transform(self.records), fn
         else:
@@ -104,6 +119,8 @@ class Capture:
             def step(batch: DataFrame, batch_id: int) -> None:
                 fn(self.transform(self.batch_filter(batch)), batch_id)
 
+        self.progress.name = self.name
+        self.records.sparkSession.streams.addListener(self.progress)
         self.query = (
             stream.writeStream.queryName(self.name)
             .option("checkpointLocation", self.checkpoint)
@@ -117,15 +134,38 @@ class Capture:
     def wait(self, seconds: int | None = None) -> None:
         """Wait for a query that ends by itself (a replay)."""
         self.query.awaitTermination(seconds) if seconds else self.query.awaitTermination()
+        if not self.query.isActive:
+            self._close()
+
+    def stop(self, seconds: float = 600) -> None:
+        """Finish the work that is there, for ``seconds`` at most, then stop.
 
-    def stop(self) -> None:
-        """Finish the work that is there, then stop, if this session started it."""
+        Only if this session started it. What is not done by then is done at the next start.
+        """
         if self.query is None or not self.started_here:
             return
         if self.query.isActive:
-            self.query.processAllAvailable()
+            end = time.monotonic() + seconds
+            work = threading.Thread(target=self._finish, daemon=True)
+            work.start()
+            work.join(max(0.0, end - time.monotonic()))
             self.query.stop()
         self.query.awaitTermination()
+        self._close()
+
+    def _finish(self) -> None:
+        # A query that fails or is stopped meanwhile tells so in awaitTermination.
+        with contextlib.suppress(Exception):
+            self.query.processAllAvailable()
+
+    def _close(self) -> None:
+        spark = self.records.sparkSession
+        self.progress.wait_for(self.query)
+        spark.streams.removeListener(self.progress)
+
+    def counters(self) -> DataFrame:
+        """One row a batch of this session; see :data:`PROGRESS`."""
+        return local_table(self.records.sparkSession, self.progress.rows, PROGRESS)
 
     def __enter__(self) -> Capture:
         self.start()
@@ -160,42 +200,65 @@ def throttle(files_per_trigger: int, interval: str) -> tuple[dict, dict]:
     return {"maxFilesPerTrigger": files_per_trigger}, {"processingTime": interval}
 
 
-def chronological_batches(fn: Callable[[DataFrame, int], None]):
-    """Deliver each micro-batch in time order; order holds within a batch only."""
-    from traceframe.operators.lookup import chronological
-
-    return lambda batch, batch_id: fn(chronological(batch), batch_id)
-
-
 PROGRESS = """
     batch_id BIGINT, input_rows BIGINT, input_rows_per_second DOUBLE,
-    processed_rows_per_second DOUBLE, events BIGINT, record_errors BIGINT,
+    processed_rows_per_second DOUBLE, events BIGINT, dropped BIGINT, record_errors BIGINT,
     field_errors BIGINT
 """
 
 
-def capture_progress(query: StreamingQuery, spark: SparkSession) -> DataFrame:
-    """Counters of the recent batches; error counts need :func:`observed` events."""
-    rows = []
-    for p in query.recentProgress:
+class ProgressLog(StreamingQueryListener):
+    """Counters of all batches of the query called ``name``: a few numbers each.
+
+    ``dropped`` are rows that filters kept from the output; error counts need
+    :func:`observed` events.
+    """
+
+    def __init__(self, name: str | None = None):
+        self.name, self.rows, self.last = name, [], -1
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        if p.name != self.name or p.batchId <= self.last:
+            return
         seen = p.observedMetrics.get("trace")
         counts = seen.asDict() if seen is not None else {}
-        rows.append(
-            (p.batchId, p.numInputRows, p.inputRowsPerSecond, p.processedRowsPerSecond,
-             counts.get("events"), counts.get("record_errors"), counts.get("field_errors"))
+        events = counts.get("events")
+        self.rows.append(
+            (p.batchId, p.numInputRows, p.inputRowsPerSecond, p.processedRowsPerSecond, events,
+             None if events is None else p.numInputRows - events,
+             counts.get("record_errors"), counts.get("field_errors"))
         )
-    return local_table(spark, rows, PROGRESS)
+        self.last = p.batchId
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def wait_for(self, query: StreamingQuery, seconds: float = 30) -> None:
+        """Wait until the last batch of an ended query has been reported here."""
+        done = query.lastProgress
+        end = time.monotonic() + seconds
+        while done is not None and self.last < done.batchId and time.monotonic() < end:
+            time.sleep(0.05)
 
 
 # --- sinks ----------------------------------------------------------------------------
 
 
-def to_callback(stream: DataFrame, fn, checkpoint: str, trigger: dict | None = None):
-    """Hand each micro-batch of events to ``fn(events, batch_id)``."""
+def to_callback(
+    stream: DataFrame, fn, checkpoint: str, trigger: dict | None = None, dead_letters: str | None = None
+):
+    """Hand each micro-batch of events to ``fn(events, batch_id)``; failures as in :class:`Capture`."""
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 second"}))
-        .foreachBatch(guarded(fn))
+        .foreachBatch(with_dead_letters(fn, dead_letters) if dead_letters else fn)
         .start()
     )
 
@@ -213,15 +276,9 @@ def to_log_stream(stream: DataFrame, path: str, checkpoint: str, trigger: dict |
     )
 
 
-def to_console_stream(stream: DataFrame, trigger: dict | None = None):
-    return (
-        format_event(stream)
-        .select("line")
-        .writeStream.format("console")
-        .option("truncate", False)
-        .trigger(**(trigger or {"processingTime": "1 second"}))
-        .start()
-    )
+def to_console_stream(stream: DataFrame, checkpoint: str, trigger: dict | None = None):
+    """Print every event of every micro-batch."""
+    return to_callback(stream, lambda batch, _: to_console(batch), checkpoint, trigger)
 
 
 def to_memory_stream(stream: DataFrame, name: str, trigger: dict | None = None):

@@ -36,13 +36,28 @@ class PidRules:
     def _append(self, kind: str, action: str, pids) -> None:
         if kind not in ("allow", "deny"):
             raise ValueError(f"kind is allow or deny, not {kind!r}")
-        seq = time.time_ns()
+        # Later than all that is there, whatever this writer's clock says.
+        last = self.changes().agg(F.max("seq")).first()[0] or 0
+        seq = max(time.time_ns(), last + 1)
         rows = [(seq, kind, action, pid) for pid in pids]
         local_table(self.spark, rows, CHANGES).coalesce(1).write.mode("append").parquet(self.path)
 
     def current(self) -> DataFrame:
         """``kind`` and ``pid`` of the lists as they stand."""
-        return current_rules(self.spark.read.schema(CHANGES).parquet(self.path))
+        return current_rules(self.changes())
+
+    def changes(self) -> DataFrame:
+        """The log; empty before the first change."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            return local_table(self.spark, [], CHANGES)
+        return self.spark.read.schema(CHANGES).parquet(self.path)
+
+    def compact(self) -> None:
+        """Replace the log by the lists as they stand. Not while others write changes."""
+        now = [(1, r.kind, "add", r.pid) for r in self.current().collect()]
+        local_table(self.spark, now, CHANGES).coalesce(1).write.mode("overwrite").parquet(self.path)
 
 
 def current_rules(changes: DataFrame) -> DataFrame:
