@@ -178,3 +178,21 @@ def test_random_layouts_round_trip_both_ways(spark, seed):
         got[by_table] = [tuple(r) for r in rows]
     assert [g[0] for g in got[None][:30]] == wanted
     assert got[None] == got[True]
+
+
+def test_maps_give_one_result_by_both_ways(spark):
+    """A value with two labels, and a map on a field that is no whole number."""
+    maps = [(PROVIDER, "M", False, 1, "one"), (PROVIDER, "M", False, 1, "uno"), (PROVIDER, "M", False, 0, "none")]
+    props = [
+        prop("N", C.IN_UINT32, 0, length=4, map_name="M"),
+        prop("When", C.IN_FILETIME, C.OUT_DATETIME, length=8, map_name="M"),
+    ]
+    data = struct.pack("<IQ", 1, 0)
+    code, table = (decode(spark, props, data, by_table=way, maps=maps) for way in (None, True))
+    assert code.payload == table.payload and code.payload["N"] == "one" and code.payload["When"].startswith("1601")
+
+
+def test_tasks_keep_whole_rows(spark, raw, manifest):
+    out = raw.transform(decode_payload(manifest, tasks=frozenset(["PROCESSSTART"])))
+    lost = out.where("size(payload) = 0 AND NOT record_parse_error AND NOT field_parse_error AND length(UserData) > 0")
+    assert lost.count() == 0 and 0 < out.count() < raw.count()

@@ -110,3 +110,36 @@ def test_addresses_agree_with_the_standard_library(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = {r.t: r.ok for r in df.select("t", v.is_ip(F.col("t")).alias("ok")).collect()}
     assert got == {t: valid(t) for t in texts}
+
+
+def test_variants_and_addresses(spark):
+    def event(i, task, **payload):
+        return (i, task, payload, None)
+
+    rows = [
+        event(0, "WININET_CONNECT", Request="0x1"),
+        event(1, "WININET_CONNECT", Socket="80"),
+        event(2, "WININET_CONNECT", Request="0x1", RemoteAddressLength="16", RemoteAddress="10.0.0.1:99999"),
+        event(3, "WININET_CONNECT", Socket="80", Protocol="x", LocalAddressLength="0", LocalAddress="", RemoteAddressLength="16",
+              RemoteAddress="10.0.0.1:443"),
+        event(4, "WININET_DNS_QUERY", a="1", b="2", c="3", Error="5"),
+        event(5, "WININET_DNS_QUERY", a="1", b="2", c="3", d="5"),
+        event(6, "WININET_DNS_QUERY", a="1", b="2", c="3", _AddressListLength="1", AddressList=";"),
+        event(7, "WININET_DNS_QUERY", a="1", b="2", c="3", d="1", e=";"),
+        event(8, "WININET_HTTP_RESPONSE", ContentLength="-1"),
+    ]
+    df = spark.createDataFrame(rows, "record_id long, task_name string, payload map<string,string>, EventExtendedData string")
+    report = {(r.task, r.rule): (r.checked, r.failed) for r in df.transform(v.validate(v.standard_rules())).collect()}
+    assert report["WININET_CONNECT", "required_fields_of_variant"] == (4, 2)
+    assert report["WININET_CONNECT", "address:RemoteAddress"] == (2, 1)
+    assert report["WININET_CONNECT", "address_port:LocalAddress"] == (0, 0)
+    assert report["WININET_DNS_QUERY", "required_fields_of_variant"] == (4, 2)
+    assert report["WININET_HTTP_RESPONSE", "between:ContentLength"] == (1, 1)
+
+
+def test_blocks_of_windows_files(spark, tmp_path):
+    text = "task_a\r\nX: 1\r\n\r\ntask_b\r\nX: 2\r\n \r\ntask_c\r\nX: 3\r\n"
+    (tmp_path / "dump.txt").write_bytes(text.encode())
+    for separator in ("\r\n\r\n", "\n\n"):
+        rows = read_event_dump(spark, str(tmp_path / "dump.txt"), separator).collect()
+        assert sorted((r.task_name, r.payload["X"]) for r in rows) == [("TASK_A", "1"), ("TASK_B", "2"), ("TASK_C", "3")]

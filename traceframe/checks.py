@@ -1356,7 +1356,11 @@ def _verdicts() -> str:
         ("WININET_CONNECT", "field_count", "true", "false"),
         ("WININET_CONNECT", "handle:Request", "true", big),
         ("WININET_CONNECT", "port:Socket", "true", "(53000 + user_id > 65535)"),
-        ("WININET_CONNECT", "address_port:LocalAddress", "true", f"({bad_ip} OR k % 5 = 0)"),
+        ("WININET_CONNECT", "required_fields_of_variant", "true", "false"),
+        ("WININET_CONNECT", "address_port:LocalAddress", "(k % 6 <> 0)", f"({bad_ip} OR k % 5 = 0)"),
+        ("WININET_CONNECT", "address:RemoteAddress", "(k % 4 <> 0)", "(k % 9 = 1)"),
+        ("WININET_DNS_QUERY", "required_fields_of_variant", "true", "false"),
+        ("WININET_HTTP_RESPONSE", "between:ContentLength", "true", "(cents < 0)"),
         ("WININET_CONNECT", "ip:Protocol", "true", "true"),
         ("WININET_DNS_QUERY", "field_count", "true", "false"),
         ("WININET_DNS_QUERY", "required_fields", "true", "false"),

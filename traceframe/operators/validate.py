@@ -120,7 +120,38 @@ def address_port_matches(task: str, address: str, port: str) -> Rule:
     test = is_ip(F.regexp_replace(value(address), ":[^:]*$", "")) & (
         F.substring_index(value(address), ":", -1) == value(port)
     )
-    return Rule(task, f"address_port:{address}", test, present(address) & present(port))
+    return Rule(task, f"address_port:{address}", test, present(address) & present(port) & _has_length(address))
+
+
+def address_valid(task: str, address: str) -> Rule:
+    """``ip:port`` text with a valid ip and a valid port."""
+    port = F.substring_index(value(address), ":", -1).try_cast("bigint")
+    test = is_ip(F.regexp_replace(value(address), ":[^:]*$", "")) & port.between(0, 65535)
+    return Rule(task, f"address:{address}", F.coalesce(test, F.lit(False)), present(address) & _has_length(address))
+
+
+def _has_length(name: str) -> Column:
+    """Whether the field's length is not 0; without a length field it is taken to have one."""
+    return F.coalesce(value(f"{name}Length").try_cast("bigint") != 0, F.lit(True))
+
+
+def required_of_variant(task: str, variants: dict[int | None, tuple[str, ...]]) -> Rule:
+    """Fields that an event must have by the number of its fields; ``None``: any other number."""
+    test = F.lit(True)
+    for n, names in variants.items():
+        if n is not None:
+            test = test & ((field_count() != n) | all_present(names))
+    if None in variants:
+        numbered = [n for n in variants if n is not None]
+        test = test & (field_count().isin(*numbered) | all_present(variants[None]))
+    return Rule(task, "required_fields_of_variant", test)
+
+
+def all_present(names) -> Column:
+    test = F.lit(True)
+    for name in names:
+        test = test & present(name)
+    return test
 
 
 def address_list(task: str, name: str) -> Rule:
@@ -256,12 +287,19 @@ def standard_rules() -> list[Rule]:
         count_between(connect, 2, 8),
         handle_valid(connect, "Request"),
         port_valid(connect, "Socket"),
+        required_of_variant(
+            connect,
+            {2: ("Request",),
+             None: ("Socket", "Protocol", "LocalAddressLength", "LocalAddress", "RemoteAddressLength", "RemoteAddress")},
+        ),
         address_port_matches(connect, "LocalAddress", "Socket"),
+        address_valid(connect, "RemoteAddress"),
         count_between(dns, 4, 6),
         required_fields(dns, ("_HostNameLength", "HostName", "RequestHandle")),
         length_matches(dns, "HostName"),
         number_between(dns, "_HostNameLength", 0, 255),
         handle_valid(dns, "RequestHandle"),
+        required_of_variant(dns, {5: ("Error",), 6: ("_AddressListLength", "AddressList")}),
         length_matches(dns, "AddressList"),
         address_list(dns, "AddressList"),
         required_fields(
@@ -275,6 +313,7 @@ def standard_rules() -> list[Rule]:
         http_verb(response, "Verb"),
         length_matches(response, "Verb"),
         length_matches(response, "ContentLength", "_ContentLengthStrLength"),
+        number_between(response, "ContentLength", 0, None),
         required_fields(capture, ("SessionId", "SequenceNumber", "Flags", "PayloadByteLength")),
         count_between(capture, 4, 6),
         payload_bytes(capture, "PayloadByteLength", "Payload"),

@@ -561,9 +561,10 @@ def dump_blocks(events: DataFrame) -> DataFrame:
         click=block("WININET_READDATA", ("Request", handle), ("Size", k * 170)),
         view=block(
             "WININET_CONNECT",
-            ("Request", handle), ("Socket", port), ("Protocol", "HTTP"), ("LocalAddressLength", 16),
+            ("Request", handle), ("Socket", port), ("Protocol", "HTTP"), ("LocalAddressLength", F.when(k % 6 == 0, 0).otherwise(16)),
             ("LocalAddress", F.concat(ip, F.lit(":"), port + F.when(k % 5 == 0, 1).otherwise(0))),
-            ("RemoteAddressLength", 16), ("RemoteAddress", F.concat(F.lit("fe80::"), F.hex(k + 1), F.lit(":80"))),
+            ("RemoteAddressLength", F.when(k % 4 == 0, 0).otherwise(16)),
+            ("RemoteAddress", F.concat(F.lit("fe80::"), F.hex(k + 1), F.when(k % 9 == 1, F.lit(":70000")).otherwise(F.lit(":80")))),
         ),
         signup=block(
             "WININET_HTTP_RESPONSE",
