@@ -9,7 +9,7 @@ fragment counts on its own, and the counts are summed by document or by pair:
    ``alone`` counts those over the first ``SHARE`` of the order, fragment by fragment.
 3. Of the few classes left, those with an equal minimum under one of ``HUBS`` hash functions are
    compared with one of them, their hub: pairs grow with the classes, not with a group's square.
-   Partial overlaps are counted by fragment and summed per pair (``overlaps``). Linked classes make
+   Exact bounds (``may_link``) drop nearly all pairs that are not similar enough. Of the others partial overlaps are counted by fragment and summed per pair (``overlaps``). Linked classes make
    components.
 4. What is still missing are links between components. Step 2 is repeated with components in the
    place of classes. Classes that remain are joined exactly, by the prefix filter, rarest n-grams
@@ -46,6 +46,8 @@ FRAGMENT = 1 << 21
 #: Fragments in which overlaps of pairs are counted.
 FRAGMENTS = 4
 HUBS = 3
+#: Words of 64 bits of a class's bitmap.
+BITMAP = tuple(f"w{i}" for i in range(16))
 IDS = 4_000_000  # 32 MB of ids may be broadcast
 FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -182,10 +184,11 @@ SCHEMA = pa.schema([("fragment", pa.int64())] + [(c, pa.binary()) for c in ("gra
 
 
 def hopeful(classes: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
-    """Classes (``c``, ``n``) that may have a partner."""
+    """Classes (``c``, ``n``) that may have a partner, and ``most``, the largest overlap it may have."""
     joined = classes.join(counts, classes.c == counts.owner, "left")
-    left = F.coalesce("alone", F.lit(0))
-    return joined.where((F.col("n") - left) * 100 >= F.col("n") * percent).select(*classes.columns)
+    most = F.col("n") - F.coalesce("alone", F.lit(0))  # that it may have in common
+    kept = joined.where(most * 100 >= F.col("n") * percent)
+    return kept.select(*[c for c in classes.columns if c != "most"], most.alias("most"))
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -204,19 +207,37 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (``a``, ``na``, ``b``, ``nb``) that are similar enough, as ``a``, ``b``."""
-    near = pairs.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-    near = stored(near)
+    near = stored(pairs.where(may_link(percent)).select("a", "na", "b", "nb").distinct())
     union = F.col("na") + F.col("nb") - F.col("same")
     both = near.join(overlaps(near, sets), ["a", "b"])
     return both.where(F.col("same") * 100 >= union * percent).select("a", "b")
 
 
+def may_link(percent: int) -> Column:
+    """Whether ``a`` and ``b`` may be similar enough; exact bounds only.
+
+    By the overlap that each may have at most (``oa``, ``ob``), and by their bitmaps: each n-gram
+    that only one of them has turns at most one bit.
+    """
+    both = F.col("na") + F.col("nb")
+    turned = sum(F.bit_count(F.col(f"wa.{w}").bitwiseXOR(F.col(f"wb.{w}"))) for w in BITMAP)
+    return (F.least("oa", "ob") * (100 + percent) >= both * percent) & (turned * (100 + percent) <= both * (100 - percent))
+
+
 def hub_pairs(sets: DataFrame) -> DataFrame:
-    """Each class with the smallest one that has an equal minimum, for each hash function."""
-    keys = sets.select("c", "n", F.posexplode("lows").alias("i", "low"))
-    hubs = keys.groupBy("i", "low").agg(F.min(F.struct("c", "n")).alias("h"), F.count(F.lit(1)).alias("m"))
+    """Each class with the hub among those of an equal minimum, for each hash function.
+
+    The hub is the class with the fewest n-grams of its own: in a group of near copies the one
+    that is nearest to the text that they were made from.
+    """
+    keys = sets.select("c", "n", "most", "bits", F.posexplode("lows").alias("i", "low"))
+    own = F.struct((F.col("n") - F.col("most")).alias("own"), "c", "n", "most", "bits")
+    hubs = keys.groupBy("i", "low").agg(F.min(own).alias("h"), F.count(F.lit(1)).alias("m"))
     met = keys.join(hubs.where("m > 1"), ["i", "low"]).where("c <> h.c")
-    return met.select(F.col("h.c").alias("a"), F.col("h.n").alias("na"), F.col("c").alias("b"), F.col("n").alias("nb")).distinct()
+    return met.select(
+        F.col("h.c").alias("a"), F.col("h.n").alias("na"), F.col("h.most").alias("oa"), F.col("h.bits").alias("wa"),
+        F.col("c").alias("b"), F.col("n").alias("nb"), F.col("most").alias("ob"), F.col("bits").alias("wb"),
+    )
 
 
 def cross_pairs(sets: DataFrame, percent: int) -> DataFrame:
@@ -227,12 +248,17 @@ def cross_pairs(sets: DataFrame, percent: int) -> DataFrame:
     # N-grams of one group alone come first in the order; they take places of the prefix.
     ordered = held.groupBy("c", "n", "g").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("ts"))
     spare = F.floor(F.col("n") * (100 - percent) / 100) + 1 - (F.col("n") - F.size("ts"))
-    prefix = ordered.where(spare > 0).select("c", "n", "g", F.explode(F.slice("ts", 1, spare.cast("int"))).alias("x"))
-    prefix = prefix.select("c", "n", "g", F.col("x.t").alias("t"))
-    a = prefix.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"), "t")
-    b = prefix.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"), "t")
-    near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    return a.join(b, "t").where((F.col("ga") < F.col("gb")) & near).select("a", "na", "b", "nb").distinct()
+    prefix = ordered.where(spare > 0).select(
+        "c", "n", "g", F.size("ts").alias("m"), F.posexplode(F.slice("ts", 1, spare.cast("int"))).alias("p", "x")
+    )
+    # If this is the first n-gram that a pair has in common, only those after it can follow.
+    prefix = prefix.select("c", "n", "g", (F.col("m") - F.col("p")).alias("o"), F.col("x.t").alias("t"))
+    prefix = prefix.join(sets.select("c", F.col("bits").alias("w")), "c")
+    a, b = [prefix.select(*[F.col(x).alias(x + side) for x in "cngow"], "t") for side in "ab"]
+    named = a.join(b, "t").where("ga < gb").select(
+        F.col("ca").alias("a"), "na", "oa", "wa", F.col("cb").alias("b"), "nb", "ob", "wb"
+    )
+    return named.where(may_link(percent))
 
 
 def near_duplicates(
@@ -300,19 +326,33 @@ def _sets(base: DataFrame, left: DataFrame, words: int) -> DataFrame:
                 x = ngrams(text.as_py(), words)
                 c = signed(xxhash.xxh3_64_intdigest(x.tobytes()))
                 lows = [int(mix(x * a).min().view(np.int64)) for a in odd] if len(x) else []
-                rows.append({"c": c, "grams": x.view(np.int64), "lows": lows})
+                rows.append({"c": c, "grams": x.view(np.int64), "lows": lows, "bits": bitmap(x)})
                 if len(rows) == 256:
                     yield pa.RecordBatch.from_pylist(rows, SETS)
                     rows = []
             yield pa.RecordBatch.from_pylist(rows, SETS)
 
-    found = texts.mapInArrow(made, "c bigint, grams array<bigint>, lows array<bigint>").dropDuplicates(["c"])
-    return found.join(left.select("c", "n"), "c")
+    bits = ",".join(f"{w}:bigint" for w in BITMAP)
+    found = texts.mapInArrow(made, f"c bigint, grams array<bigint>, lows array<bigint>, bits struct<{bits}>")
+    found = found.dropDuplicates(["c"])
+    return found.join(left.select("c", "n", "most"), "c")
+
+
+def bitmap(grams: np.ndarray) -> dict[str, int]:
+    """Of ``64 * len(BITMAP)`` places the parity of the n-grams that fall on each."""
+    places = 64 * len(BITMAP)
+    odd = np.bincount((grams % np.uint64(places)).astype(np.int64), minlength=places) & 1
+    return dict(zip(BITMAP, np.packbits(odd.astype(np.uint8)).view(np.int64).tolist(), strict=True))
 
 
-SETS = pa.schema([("c", pa.int64()), ("grams", pa.list_(pa.int64())), ("lows", pa.list_(pa.int64()))])
+SETS = pa.schema(
+    [
+        ("c", pa.int64()), ("grams", pa.list_(pa.int64())), ("lows", pa.list_(pa.int64())),
+        ("bits", pa.struct([(w, pa.int64()) for w in BITMAP])),
+    ]
+)
 
 
 def _grouped(sets: DataFrame, groups: DataFrame) -> DataFrame:
     joined = sets.join(groups, sets.c == groups.node, "left")
-    return joined.select("c", "n", "grams", F.coalesce("label", "c").alias("g"))
+    return joined.select("c", "n", "most", "grams", "bits", F.coalesce("label", "c").alias("g"))
