@@ -11,18 +11,16 @@ already multiplied by the layer, ``Model.margin``: one number a feature, of fixe
 
 Defined cases: NULL and blank texts have no features and get the layer's bias as score; NULL
 labels and labels other than 0 and 1 teach nothing; several labels of one document all count;
-without any label every score is 0.5; words are cut after ``MAX_WORD`` characters and the rest is
-the next word. Input columns named like an output are replaced.
+without any label every score is 0.5; texts are read in runs of ``RUN`` characters, cut at white
+space, or inside a longer word. Input columns named like an output are replaced.
 """
 
 from __future__ import annotations
 
-import gc
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import eq
-from zlib import crc32
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,48 +29,79 @@ from pyspark.sql import functions as F
 
 from traceframe.llm.common import column, visible, without
 
-BUCKETS = 1 << 18
+BITS = 18
+BUCKETS = 1 << BITS
 DIM = 16
 GRAMS = (3, 4)
 ROWS = 6000
-EPOCHS = 8
+EPOCHS = 5
 RATE = 2.0
 SEED = 7
-MAX_WORD = 64
-MAX_WORDS = 400_000
-REPEAT = crc32(b"\x00=") % BUCKETS
+RUN = 1 << 20
+ODD = np.uint64(0x9E3779B97F4A7C15)
+#: The feature of a word that equals the one before it.
+REPEAT = 1
 OUTPUTS = ("score",)
 
 
-def features(word: str) -> list[int]:
-    """Buckets of a word and its character n-grams."""
-    raw = f"<{word}>"
-    found = [crc32(b"\x00" + word.encode("utf-8", "replace")) % BUCKETS]
-    for n in GRAMS:
-        found += [crc32(raw[i : i + n].encode("utf-8", "replace")) % BUCKETS for i in range(len(raw) - n + 1)]
-    return found
-
-
-def split(text: str | None) -> list[str]:
-    found = (text or "").split()
-    if found and max(map(len, found)) > MAX_WORD:
-        found = [w[i : i + MAX_WORD] for w in found for i in range(0, len(w), MAX_WORD)]
-    return found
-
-
-def bag(text: str | None, known: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """A document's features and how often each occurs."""
-    found = split(text)
-    all_: list[int] = []
-    for w in found:
-        got = known.get(w)
-        if got is None:
-            if len(known) >= MAX_WORDS:
-                known.clear()
-            got = known[w] = features(w)
-        all_ += got
-    all_ += [REPEAT] * sum(map(eq, found, found[1:]))
-    return np.unique(np.array(all_, np.int64), return_counts=True)
+def runs(text: str | None) -> Iterator[str]:
+    """The text in runs of about ``RUN`` characters, cut at white space where there is any."""
+    text, begin = text or "", 0
+    while len(text) - begin > RUN:
+        cut = begin + RUN
+        space = next((i for i in range(cut, max(begin, cut - 4096), -1) if text[i].isspace()), cut)
+        yield text[begin:space]
+        begin = space
+    yield text[begin:]
+
+
+def buckets(hashes: np.ndarray) -> np.ndarray:
+    return ((hashes ^ (hashes >> np.uint64(29))) * ODD >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def features(text: str | None) -> np.ndarray:
+    """Buckets of all words, their character n-grams and repetitions, as often as they occur.
+
+    Words lie between single blanks here; an n-gram may begin or end with one, which marks the edge
+    of its word, but has none inside.
+    """
+    found: list[np.ndarray] = []
+    for run in runs(text):
+        words = run.split()
+        if not words:
+            continue
+        raw = f" {' '.join(words)} ".encode("utf-32-le", "replace")
+        code = np.frombuffer(raw, np.uint32).astype(np.uint64)
+        blank = code == 32
+        start = np.flatnonzero(blank)[:-1] + 1
+        inside = np.where(blank, np.uint64(0), code)
+        length = np.diff(np.append(start, len(code)))
+        place = np.arange(len(code) - 1) - np.repeat(start - 1, length)
+        whole = np.add.reduceat(inside[1:] * powers(int(length.max()) + 1)[place], start - 1)
+        found.append(buckets(whole))
+        again = np.count_nonzero(whole[1:] == whole[:-1])
+        found.append(np.full(again, REPEAT))
+        for n in GRAMS:
+            m = len(code) - n + 1
+            if m < 1:
+                continue
+            gram, fits = np.full(m, n, np.uint64), np.ones(m, bool)
+            for i in range(n):
+                gram = gram * ODD + code[i : i + m]
+                if 0 < i < n - 1:
+                    fits &= ~blank[i : i + m]
+            found.append(buckets(gram[fits]))
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
+@lru_cache(maxsize=4)
+def _powers(bits: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.multiply.accumulate(np.full(1 << bits, ODD, np.uint64))
+
+
+def powers(n: int) -> np.ndarray:
+    return _powers(max(10, n.bit_length()))
 
 
 @dataclass
@@ -140,11 +169,10 @@ def fit(
     sample = texts.join(F.broadcast(picked), "i").select("i", "t", "y")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[int]] = {}
         found = []
         for batch in batches:
             for i, t, y in zip(*(batch[c].to_pylist() for c in ("i", "t", "y")), strict=True):
-                found.append((str(i), y, bag(t, known)))
+                found.append((str(i), y, np.unique(features(t), return_counts=True)))
         found.sort(key=lambda x: (x[0], x[1], x[2][0].tobytes()))  # the order in which rows came is chance
         model = train([x[2] for x in found], [x[1] for x in found])
         yield pa.RecordBatch.from_pydict(
@@ -161,34 +189,10 @@ def fit(
     )
 
 
-class Scorer:
-    """Margins of words, the newer half of those met remembered: margin and number of features."""
-
-    def __init__(self, margin: np.ndarray, offset: float):
-        self.margin, self.offset = margin, offset
-        self.words: dict[str, complex] = {}
-        self.repeat = complex(float(margin[REPEAT]), 1)
-
-    def word(self, word: str) -> complex:
-        at = features(word)
-        value = self.words[word] = complex(float(self.margin[at].sum(dtype=np.float64)), len(at))
-        return value
-
-    def score(self, text: str | None) -> float:
-        found = split(text)
-        if len(self.words) > MAX_WORDS:
-            self.words = {}
-        values = list(map(self.words.get, found))
-        if None in values:
-            known, word = self.words.get, self.word
-            values = [v or known(w) or word(w) for w, v in zip(found, values, strict=True)]
-        total = sum(values, 0j) + sum(map(eq, found, found[1:])) * self.repeat
-        z = self.offset + (total.real / total.imag if found else 0.0)
-        return 1 / (1 + math.exp(-max(-700.0, min(700.0, z))))
-
-
-#: The last model's scorer in this worker; its tasks share the remembered words.
-_SCORERS: dict[tuple[int, float], Scorer] = {}
+def probability(text: str | None, margin: np.ndarray, offset: float) -> float:
+    at = features(text)
+    z = offset + (float(margin[at].mean(dtype=np.float64)) if len(at) else 0.0)
+    return 1 / (1 + math.exp(-max(-700.0, min(700.0, z))))
 
 
 def score(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
@@ -200,14 +204,8 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame
     @F.arrow_udf("double")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         margin, offset = sent.value
-        key = (crc32(margin.tobytes()), offset)
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(margin, offset)
-        scorer = _SCORERS[key]
         for texts in batches:
-            yield pa.array([scorer.score(t.as_py()) for t in texts], pa.float64())
-            gc.freeze()  # remembered words are not worth scanning again
+            yield pa.array([probability(t.as_py(), margin, offset) for t in texts], pa.float64())
 
     base = without(docs, OUTPUTS)
     return base.withColumn("score", scored.asNondeterministic()(column(docs, text_col).cast("string")))
