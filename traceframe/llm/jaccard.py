@@ -43,6 +43,8 @@ PERCENT = 80
 SHARE = 0.4
 #: N-grams in one fragment of step 2, about.
 FRAGMENT = 1 << 21
+#: N-grams of the owners in one bucket, about, when their counts are summed.
+GRAMS_PER_BUCKET = 1 << 23
 #: Fragments in which overlaps of pairs are counted.
 FRAGMENTS = 4
 HUBS = 3
@@ -139,8 +141,8 @@ def _gather(rows: Iterator[tuple[int, int, np.ndarray]], fragments: int, share:
 GATHERED = "fragment bigint, grams binary, owners binary, groups binary, runs binary, shared binary"
 
 
-def _count_alone(found: pd.DataFrame) -> pd.DataFrame:
-    """Of one fragment: how many n-grams of each owner only its group holds.
+def _count_alone(found: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Of one fragment: the owners, and how many of their n-grams only their group holds.
 
     N-grams are compared by 32 bits here, which can only make them look shared.
     """
@@ -150,7 +152,7 @@ def _count_alone(found: pd.DataFrame) -> pd.DataFrame:
     keep = ~np.isin(x, whole("shared", np.uint32))
     x, o, g = x[keep], o[keep], g[keep]
     if not len(x):
-        return pd.DataFrame({"owner": np.zeros(0, np.int64), "alone": np.zeros(0, np.int64)})
+        return o, o
     order = np.lexsort((o, x))
     x, o, g = x[order], o[order], g[order]
     keep = np.concatenate(([True], (x[1:] != x[:-1]) | (o[1:] != o[:-1])))  # copies of a class
@@ -158,8 +160,7 @@ def _count_alone(found: pd.DataFrame) -> pd.DataFrame:
     start = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
     one = np.maximum.reduceat(g, start) == np.minimum.reduceat(g, start)
     mine = o[np.repeat(one, np.diff(np.concatenate((start, [len(x)]))))]
-    owners, counts = np.unique(mine, return_counts=True)
-    return pd.DataFrame({"owner": owners, "alone": counts.astype(np.int64)})
+    return np.unique(mine, return_counts=True)
 
 
 def alone(rows: DataFrame, read, grams: int, share: float = SHARE) -> DataFrame:
@@ -175,9 +176,32 @@ def alone(rows: DataFrame, read, grams: int, share: float = SHARE) -> DataFrame:
                 for row in _gather(read(batch.slice(at, 4096)), fragments, share):
                     yield pa.RecordBatch.from_pylist([row], SCHEMA)
 
+    # Counts travel in one row for each fragment and bucket of owners, not in one for each owner.
+    buckets = np.uint64(max(1, -(-grams // GRAMS_PER_BUCKET)))
+
+    def count(found: pd.DataFrame) -> pd.DataFrame:
+        owners, counts = _count_alone(found)
+        bucket = (owners.view(np.uint64) % buckets).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        owners, counts, bucket = owners[order], counts[order], bucket[order]
+        names, start = np.unique(bucket, return_index=True)
+        ends = [*start[1:], len(bucket)]
+        return pd.DataFrame(
+            {
+                "bucket": names,
+                "owners": [owners[i:j].tobytes() for i, j in zip(start, ends, strict=True)],
+                "counts": [counts[i:j].astype(np.uint32).tobytes() for i, j in zip(start, ends, strict=True)],
+            }
+        )
+
+    def total(found: pd.DataFrame) -> pd.DataFrame:
+        owners, place = np.unique(np.frombuffer(b"".join(found["owners"]), np.int64), return_inverse=True)
+        counts = np.bincount(place, np.frombuffer(b"".join(found["counts"]), np.uint32), len(owners))
+        return pd.DataFrame({"owner": owners, "alone": counts.astype(np.int64)})
+
     packed = rows.mapInArrow(gather, GATHERED)
-    counted = packed.groupBy("fragment").applyInPandas(_count_alone, "owner bigint, alone bigint")
-    return counted.groupBy("owner").agg(F.sum("alone").alias("alone"))
+    counted = packed.groupBy("fragment").applyInPandas(count, "bucket bigint, owners binary, counts binary")
+    return counted.groupBy("bucket").applyInPandas(total, "owner bigint, alone bigint")
 
 
 SCHEMA = pa.schema([("fragment", pa.int64())] + [(c, pa.binary()) for c in ("grams", "owners", "groups", "runs", "shared")])
