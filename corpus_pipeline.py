@@ -61,9 +61,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each whole text, and whether they decode to it."""
-    made = bpe.decode(bpe.encode(docs.select("doc_id", "text")))
-    whole = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return made.select("doc_id", F.size("token_ids").alias("n_tokens"), "token_ids", whole.alias("lossless"))
+    made = bpe.encode_checked(docs.select("doc_id", "text"))
+    return made.select("doc_id", F.size("token_ids").alias("n_tokens"), "token_ids", "lossless")
 
 
 def _aside(docs: DataFrame, names) -> DataFrame:

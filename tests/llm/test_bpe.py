@@ -68,4 +68,7 @@ def test_odd_rows(spark, library):
         assert r["score"] == "own score"
     both = bpe.decode(bpe.encode(docs)).collect()
     assert all(r["decoded"] == (r["text"] or "") for r in both)
+    checked = bpe.encode_checked(docs).collect()
+    assert sorted(map(repr, (r["token_ids"] for r in checked))) == sorted(map(repr, (r["token_ids"] for r in both)))
+    assert all(r["lossless"] and r["token_ids"] == library.encode_ordinary(r["text"] or "") for r in checked)
     assert bpe.round_trip(docs.limit(0)).count() == 0

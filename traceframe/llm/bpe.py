@@ -25,6 +25,7 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -285,6 +286,44 @@ def decode(
     return _with(docs, out, texts.asNondeterministic(), ids_col)
 
 
+CHECKED = ("token_ids", "lossless")
+
+
+def encode_checked(
+    docs: DataFrame,
+    *,
+    text_col: str = "text",
+    path: str | None = None,
+    pattern: str = public_tokenizers.PATTERN,
+) -> DataFrame:
+    """``docs`` with ``token_ids``, and ``lossless``: whether they decode to the text.
+
+    One pass: the ids need not go back to a task to be decoded.
+    """
+    path = path or default_path()
+
+    @F.arrow_udf("struct<token_ids:array<int>,lossless:boolean>")
+    def checked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        c = codec(path, pattern)
+        for texts in batches:
+            parts, sizes, same = [], [0], []
+            for t in texts:
+                text = t.as_py() or ""
+                ids = c.encode(text)
+                same.append(c.decode(ids) == text)
+                sizes.append(sizes[-1] + len(ids))
+                parts.append(np.array(ids, np.int32))
+            flat = pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32))
+            lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), flat)
+            yield pa.StructArray.from_arrays([lists, pa.array(same, pa.bool_())], list(CHECKED))
+            gc.freeze()
+
+    visible(docs.sparkSession)
+    base = without(docs, CHECKED)
+    made = base.withColumn("__made", checked.asNondeterministic()(column(docs, text_col).cast("string")))
+    return made.select(*[column(made, c) for c in base.columns], *[F.col(f"__made.{c}") for c in CHECKED])
+
+
 ROUND_TRIP = ("n_tokens", "ids_sha256", "decoded_sha256")
 
 
