@@ -155,6 +155,39 @@ def test_line_dedup_of_passages(spark):
     assert [got[d] for d, _ in rows] == brute_cuts(rows, 12)
 
 
+def brute_runs(rows, min_words):
+    """Each text less the lines of any run that an earlier text has too; without alignment or hashes."""
+    out = []
+    for i, (_, t) in enumerate(rows):
+        mine, gone = t.split("\n"), set()
+        for _, other in rows[:i]:
+            theirs = other.split("\n")
+            for a in range(len(mine)):
+                for x in range(len(theirs)):
+                    n = 0
+                    while a + n < len(mine) and x + n < len(theirs) and mine[a + n] == theirs[x + n]:
+                        n += 1
+                    if sum(len(y.split()) for y in mine[a : a + n]) >= min_words:
+                        gone.update(range(a, a + n))
+        out.append("\n".join(y for k, y in enumerate(mine) if k not in gone))
+    return out
+
+
+def test_line_dedup_of_crossed_and_repeated_blocks(spark):
+    rng = random.Random(8)
+    x, y, p, q, t = (" ".join(words(rng, 14)) for _ in range(5))
+    rows = [(0, f"{x}\n{y}"), (1, f"{y}\n{x}\nown"), (2, f"{p}\n{p}"), (3, q), (4, t), (5, f"{q}\n{p}\n{t}\nown")]
+    assert brute_runs(rows, 12)[1::4] == ["own", "own"]
+    lines = [" ".join(words(rng, rng.randrange(3, 15))) for _ in range(12)]
+    rows += [(i, "\n".join([*rng.choices(lines, k=rng.randrange(2, 12)), f"own {i}"])) for i in range(6, 70)]
+    found = line_dedup.dedup(documents(spark, rows), min_words=12).collect()
+    got = {r["doc_id"]: r["text"] for r in found}
+    assert [got[d] for d, _ in rows] == brute_runs(rows, 12)
+    for r in found:
+        spans = [(s["first"], s["last"]) for s in r["deleted"]]
+        assert all(b < c for (_, b), (c, _) in zip(spans, spans[1:], strict=False))
+
+
 def test_line_dedup_of_odd_rows(spark):
     docs = documents(spark)
     rows = line_dedup.dedup(docs).collect()

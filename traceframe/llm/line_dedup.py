@@ -8,7 +8,10 @@ documents is covered by such runs, so the pairs with first holders find all its
 
 Each pair is aligned with patience diff over the lines of shared runs; a run of lines that are next to each
 other in both, of at least ``min_words`` words, is a common block and is deleted from the later
-document. Earlier and later go by id; the first holder of a block keeps it.
+document. Blocks that one alignment cannot hold, being in another order or there more than once, are
+then taken from what it left, until the pair has no shared run left. So every line goes that lies
+in a common block with any earlier document. Earlier and later go by id; the first holder of a block
+keeps it. Ranges of deleted lines do not overlap.
 
 Lines are compared trimmed, by a 64-bit hash; blank lines separate nothing and go with the block
 around them.
@@ -111,13 +114,60 @@ def blocks(later: list[dict], earlier: list[dict], min_words: int) -> list[tuple
             or earlier[p[1]]["seq"] != earlier[run[-1][1]]["seq"] + 1
         ):
             if sum(later[i]["w"] for i, _ in run) >= min_words:
-                found.append((later[run[0][0]]["at"], later[run[-1][0]]["at"]))
+                found.append((run[0][0], run[-1][0]))
             run = []
         if p is not None:
             run.append(p)
+    found += unaligned(later, earlier, min_words, found)
+    return [(later[a]["at"], later[b]["at"]) for a, b in found]
+
+
+def unaligned(later: list[dict], earlier: list[dict], min_words: int, done: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Common blocks, as places in ``later``, that one alignment leaves: in other order, or repeated.
+
+    Shared runs with a line outside ``done`` are looked up in ``earlier`` and grown to both sides,
+    until no shared run is left.
+    """
+    gone = {i for a, b in done for i in range(a, b + 1)}
+    held = {x["h"] for x in earlier}
+    if all(i in gone or x["h"] not in held for i, x in enumerate(later)):
+        return []
+    known: dict[tuple[int, ...], int] = {}
+    for a, b in sorted(shared_runs(earlier, min_words)):
+        known.setdefault(tuple(x["h"] for x in earlier[a : b + 1]), a)
+    found = []
+    for a, b in sorted(shared_runs(later, min_words)):
+        if all(i in gone for i in range(a, b + 1)):
+            continue
+        at = known.get(tuple(x["h"] for x in later[a : b + 1]))
+        if at is None:
+            continue
+        end = at + b - a
+        while a and at and follows(later, a) and follows(earlier, at) and later[a - 1]["h"] == earlier[at - 1]["h"]:
+            a, at = a - 1, at - 1
+        while (
+            b + 1 < len(later) and end + 1 < len(earlier)
+            and follows(later, b + 1) and follows(earlier, end + 1) and later[b + 1]["h"] == earlier[end + 1]["h"]
+        ):
+            b, end = b + 1, end + 1
+        gone.update(range(a, b + 1))
+        found.append((a, b))
     return found
 
 
+def follows(lines: list[dict], i: int) -> bool:
+    """Whether line ``i`` is next to the one before it in its document."""
+    return lines[i]["seq"] == lines[i - 1]["seq"] + 1
+
+
+def shared_runs(lines: list[dict], min_words: int) -> Iterator[tuple[int, int]]:
+    """``runs`` of each part of ``lines`` whose lines are next to each other."""
+    starts = [i for i in range(len(lines)) if not i or not follows(lines, i)]
+    for start, end in zip(starts, [*starts[1:], len(lines)], strict=True):
+        for a, b in runs([x["w"] for x in lines[start:end]], min_words):
+            yield start + a, start + b
+
+
 def cut(text: str, ranges: list[dict]) -> str:
     """The text without the lines of the ranges."""
     lines = text.split("\n")
@@ -239,7 +289,9 @@ def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
 
     kind = docs.schema["id"].dataType.simpleString()
     rows = both.select("k.id", "k.th", "lines", "lines2").mapInArrow(align, f"id {kind}, th bigint, r struct<first:int,last:int>")
-    return rows.groupBy("id", "th").agg(F.array_sort(F.collect_set("r")).alias(OUT))
+    spans = merged_spans(F.collect_set(F.struct(F.col("r.first").alias("start"), F.col("r.last").alias("end"))), "int")
+    ranges = F.transform("spans", lambda r: F.struct(r["start"].alias("first"), r["end"].alias("last")))
+    return rows.groupBy("id", "th").agg(spans.alias("spans")).select("id", "th", ranges.alias(OUT))
 
 
 def _small(df: DataFrame, ranges: str) -> bool:
