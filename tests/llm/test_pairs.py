@@ -64,6 +64,21 @@ def test_early_abandoning_keeps_the_near_ones():
     assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(got, best, strict=True)]) > 0.95
 
 
+@pytest.mark.parametrize("step", [0.0, 1e-4], ids=["equal", "other"])
+def test_many_rows_of_one_near_id(spark, step):
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in rng.standard_normal(6)]) for i in range(200)]
+    rows += [(500, [x + 0.001 + step * n for x in rows[0][1]]) for n in range(60)]
+    ids, m = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    best = {}
+    for i, x in sorted(brute_nearest(ids, m, 0, len(rows)), key=lambda r: r[1]):
+        best.setdefault(i, x)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(ann.search(table, F.col("id") == 0).collect(), key=lambda r: r["rank"])
+    assert [r["id"] for r in got] == list(best)[:10]
+    assert [r["distance"] for r in got] == pytest.approx(list(best.values())[:10])
+
+
 def test_components(spark):
     rng = random.Random(5)
     chain = [(i, i + 1) for i in range(60)]

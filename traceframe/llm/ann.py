@@ -2,7 +2,8 @@
 
 Index: k-means centroids fitted on a bounded sample give lists of about ``LIST_ROWS`` vectors;
 every vector is rotated by one random orthogonal matrix and put into its nearest list, in blocks of
-at most about ``BLOCK_ROWS`` rows, so that a list of any size is many tasks. Search: a query visits
+at most about ``BLOCK_ROWS`` rows, so that a list of any size is many tasks. Rows of equal id and
+vector are one before that, and a block returns ids, each at its nearest row. Search: a query visits
 the blocks of its nearest lists, as many as hold ``target`` of the nearest rows of queries tried
 on the sample. In a block its first rows give a first bound; the others
 are scanned in blocks of columns, and a row is given up once its partial distance shows, by a
@@ -93,19 +94,21 @@ def probes_for(sample: np.ndarray, centres: np.ndarray, k: int, target: float) -
 
 
 def scan(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> list[np.ndarray]:
-    """For each query the places of its ``k`` nearest rows, without those of its own id.
+    """For each query the places of its ``k`` nearest ids, each at its nearest row, without its own id.
 
     All vectors are rotated. ``rows`` are visited in column blocks; ``bound`` is the ``k``-th best of
-    the first rows.
+    the first rows of the first ids.
     """
     n, dim = rows.shape
-    head = min(n, 4 * k)
+    lead = np.sort(np.unique(ids, return_index=True)[1])
+    repeated = len(lead) < n
+    lead = lead[: 4 * k]
+    others = np.delete(np.arange(n), lead)
     found = []
     for q, me in zip(queries, own, strict=True):
-        first = np.flatnonzero(ids[:head] != me)
+        first = lead[ids[lead] != me]
         near = ((rows[first] - q) ** 2).sum(1)
-        rest = np.arange(head, n)
-        rest = rest[ids[rest] != me]
+        rest = others[ids[others] != me]
         if len(near) >= k and len(rest):
             bound = np.partition(near, k - 1)[k - 1]
             part = np.zeros(len(rest))
@@ -121,6 +124,11 @@ def scan(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, own: np.ndarray
         else:
             part = ((rows[rest] - q) ** 2).sum(1)
         places, all_ = np.concatenate((first, rest)), np.concatenate((near, part))
+        if repeated:
+            order = np.lexsort((all_, ids[places]))
+            places, all_ = places[order], all_[order]
+            nearest = np.append(True, ids[places][1:] != ids[places][:-1])[: len(places)]
+            places, all_ = places[nearest], all_[nearest]
         if len(places) > k:  # ties at the edge stay: the exact ranking decides
             places = places[all_ <= np.partition(all_, k - 1)[k - 1] * (1 + 1e-9) + 1e-12]
             if len(places) > k:
@@ -156,10 +164,12 @@ def search(
     sizes = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     if sizes is None:
         return spark.createDataFrame([], schema)
-    dim, total = sizes["dim"], sizes["count"]
-    rows = rows.where(F.size("v") == dim)
+    dim = sizes["dim"]
+    rows = stored(rows.where(F.size("v") == dim).dropDuplicates(["id", "v"]))
+    total = rows.count()
     draw = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.where(draw < min(1.0, sample_rows / total)).select("v").toPandas()
+    sample = rows.where(draw < min(1.0, sample_rows / total)).toPandas()
+    sample = sample.iloc[sorted(range(len(sample)), key=lambda i: (sample["id"][i], tuple(sample["v"][i])))]
     turn = rotation(dim)
     start = np.array(sample["v"].tolist(), float).reshape(-1, dim) @ turn
     centres = kmeans(start, min(MAX_LISTS, max(1, total // LIST_ROWS))) if len(start) else np.zeros((1, dim))
