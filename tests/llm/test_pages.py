@@ -47,6 +47,18 @@ def test_small_pages(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "attrs", ["id=discussion", "id=related-work", "id=search-results", "id=ad-hoc-queries", "id=alert-rules", "class=notice-period"]
+)
+def test_slugs_with_a_word_of_a_role(attrs):
+    long_ = "A paragraph that is long enough to count as content in any page, with some more words to it."
+    page = f"<article><p>{long_}</p><section {attrs}><h2 {attrs}>Head</h2><p>{long_}</p></section><p>{long_}</p></article>"
+    assert main_text(page) == f"{long_}\n\nHead\n\n{long_}\n\n{long_}"
+    menu = f"<section {attrs}><a href=x>One link of them</a><a href=y>Two</a></section>"
+    assert main_text(f"<article><p>{long_}</p>{menu}</article>") == long_
+    assert main_text(f"<article><p>{long_}</p><div class='ad-box'><p>{long_}</p></div></article>") == long_
+
+
 def test_long_page():
     page = "<article>" + "<p>some words of a paragraph</p>" * 20_000 + "</article>"
     assert main_text(page).count("\n\n") == 19_999

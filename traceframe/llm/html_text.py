@@ -5,7 +5,8 @@ element, with its text, its number of tags and its containers. The text-to-tag r
 are smoothed with a Gaussian; lines at or over the spread of the smoothed ratios form clusters of
 content, and the container that holds them is the content region. Everything in the region is
 kept, short lines too, except what its markup names as something else (menus, adverts, comments
-and so on, ``ROLES``).
+and so on, ``ROLES``). A name with other words beside such a word, or the id of an article's section, is
+doubtful, and the clusters decide on its element; headings never go by their names.
 
 Defined cases: NULL html counts as empty; a page without content has empty text; malformed and
 truncated markup is read as far as it goes, and an end tag without its start is ignored; a page
@@ -63,6 +64,12 @@ ROLES = frozenset(
     "disqus respond reply replies discussion reviews widget widgets toolbar pagination pager paging copyright "
     "contentinfo complementary search dialog".split()
 )
+#: Words beside those of ROLES in a name that still says no more than such a role.
+FURNITURE = frozenset(
+    "area bar block body bottom box button buttons col column container content element fixed form global group "
+    "icon icons inner item items left link links list module outer page panel right row site slot sub "
+    "title top unit user users view wrap wrapper".split()
+)
 #: These name the top of a page, or within an article its title.
 TOPS = frozenset({"header", "head"})
 READERS = frozenset("comment comments commentlist disqus respond reply replies discussion".split())
@@ -82,6 +89,7 @@ class Node:
     above: Node | None
     hard: bool = False  # surely something else
     soft: bool = False  # named so by its class; not if an article is inside
+    doubtful: bool = False  # its name has such a word among others: the clusters decide
     root: bool = False
     has_root: bool = False
 
@@ -96,10 +104,16 @@ class Line:
     text: str = ""
 
 
-def names(attrs: list[tuple[str, str | None]]) -> set[str]:
-    found = " ".join(v or "" for k, v in attrs if k in ("class", "id", "role"))
-    spaced = re.sub(r"([a-z])([A-Z])", r"\1 \2", found)
-    return set(re.findall(r"[a-z]+", spaced.lower()))
+def names(attrs: list[tuple[str, str | None]], keys: tuple[str, ...] = ("class", "id", "role")) -> list[set[str]]:
+    """The words of each class, id and role."""
+    found = " ".join(v or "" for k, v in attrs if k in keys)
+    spaced = re.sub(r"([a-z])([A-Z])", r"\1-\2", found)
+    return [set(re.findall(r"[a-z]+", x)) for x in spaced.lower().split()]
+
+
+def names_role(words: set[str]) -> bool:
+    """Whether a name says nothing but a role other than the article."""
+    return bool(words & ROLES) and words <= ROLES | FURNITURE
 
 
 def hidden(attrs: list[tuple[str, str | None]]) -> bool:
@@ -144,11 +158,18 @@ class Page(HTMLParser):
         if tag in OTHER or (tag == "header" and not in_root) or hidden(attrs):
             node.hard = True
         elif attrs and tag not in ("html", "body"):
-            found = names(attrs)
+            slugs = names(attrs)
+            found = set().union(*slugs)
+            # Ids of headings and of an article's sections are often made from its text.
+            sure = names(attrs, ("class", "role")) if in_root and tag == "section" else slugs
             if tag in ROOTS:
                 node.hard = node.hard or bool(found & READERS)
-            elif found & ROLES or (found & TOPS and not in_root and tag not in HEADINGS):
+            elif tag in HEADINGS:
+                pass
+            elif any(map(names_role, sure)) or (found & TOPS and not in_root):
                 node.soft = True
+            elif found & ROLES:
+                node.doubtful = True
         if tag in ROOTS and not node.hard:
             node.root = True
             x: Node | None = above
@@ -257,9 +278,22 @@ def is_other(node: Node | None) -> bool:
     return False
 
 
+def undoubted(lines: list[Line]) -> list[Line]:
+    """The lines without those in elements of doubtful names that hold mostly other text than clusters, or links."""
+    good: dict[int, int] = {}
+    for x, content in zip(lines, clusters(lines), strict=True):
+        size = len(x.text) if content and x.linked < LINKED * len(x.text) else -len(x.text)
+        for n in chain(x.node):
+            if n.doubtful and not n.has_root:
+                good[n.number] = good.get(n.number, 0) + size
+    return [x for x in lines if all(good.get(n.number, 0) >= 0 for n in chain(x.node))]
+
+
 def main_text(html: str | None) -> str:
     """Blocks of the content region joined by an empty line."""
     lines = [x for x in Page().read(html or "") if not is_other(x.node)]
+    if lines:
+        lines = undoubted(lines)
     if not lines:
         return ""
     content = clusters(lines)
