@@ -59,6 +59,18 @@ def test_slugs_with_a_word_of_a_role(attrs):
     assert main_text(f"<article><p>{long_}</p><div class='ad-box'><p>{long_}</p></div></article>") == long_
 
 
+def test_clusters_select_the_regions():
+    long_ = "A paragraph that is long enough to count as content in any page, with some more words to it."
+    parts = f"<article><p>{long_} 1</p><p>short</p></article><article><p>{long_} 2</p></article>"
+    both = f"{long_} 1\n\nshort\n\n{long_} 2"
+    assert main_text(f"<div>{parts}</div><p>end</p>") == both
+    assert main_text(f"<main><h1>Title</h1><p>Lead</p>{parts}</main>") == f"Title\n\nLead\n\n{both}"
+    outside = "".join(f"<p>{long_} {i}</p>" for i in range(9))
+    teaser = "<article><h3><a href=x>See this one</a></h3><p>Teaser</p></article>"
+    assert "paragraph" in main_text(f"<div>{outside}</div><div>{teaser}</div>")
+    assert main_text(f"<article><p>{long_}</p></article><article><a href=x>Next</a></article>") == long_
+
+
 def test_long_page():
     page = "<article>" + "<p>some words of a paragraph</p>" * 20_000 + "</article>"
     assert main_text(page).count("\n\n") == 19_999

@@ -3,7 +3,9 @@
 ``Page`` is a standard-library ``HTMLParser`` that turns a page into lines: one for each block
 element, with its text, its number of tags and its containers. The text-to-tag ratios of the lines
 are smoothed with a Gaussian; lines at or over the spread of the smoothed ratios form clusters of
-content, and the container that holds them is the content region. Everything in the region is
+content, and the container that holds them is the content region. Article and main elements are
+hints for its edges: each outermost one with content clusters is a region, siblings too, unless most
+of the clusters lie outside (``HELD``). Everything in the region is
 kept, short lines too, except what its markup names as something else (menus, adverts, comments
 and so on, ``ROLES``). A name with other words beside such a word, or the id of an article's section, is
 doubtful, and the clusters decide on its element; headings never go by their names.
@@ -77,6 +79,8 @@ ROOTS = frozenset({"article", "main"})
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SIGMA, REACH = 1.0, 2
 LINKED = 0.6
+#: Article and main elements with a smaller share of the clusters' text are no edges.
+HELD = 0.25
 OUTPUTS = ("text",)
 
 
@@ -298,17 +302,22 @@ def main_text(html: str | None) -> str:
         return ""
     content = clusters(lines)
     paths = [chain(x.node) for x in lines]
-    roots: dict[int, int] = {}
-    for path, x, good in zip(paths, lines, content, strict=True):
-        outer = [n for n in path if n.root and n.tag == "article"] or [n for n in path if n.root]
-        if outer:
-            roots[outer[0].number] = roots.get(outer[0].number, 0) + len(x.text) * (2 if good else 1)
-    if roots:
-        best = max(roots, key=lambda k: (roots[k], -k))
-        kept = [x for x, path in zip(lines, paths, strict=True) if any(n.number == best for n in path)]
-        return "\n\n".join(x.text for x in kept)
     plain = np.array([x.linked < LINKED * len(x.text) for x in lines])
     content &= plain
+    # Text of the clusters in each outermost article or main element, and outside of them (0).
+    regions = [next((n.number for n in path if n.root), 0) for path in paths]
+    held: dict[int, int] = {}
+    for region, x, good in zip(regions, lines, content, strict=True):
+        if good:
+            held[region] = held.get(region, 0) + len(x.text)
+    if HELD * sum(held.values()) < sum(held.values()) - held.get(0, 0):
+        # The elements are the edges of what the clusters select. In main, around articles, links are no text.
+        inside = [r in held and r > 0 for r in regions]
+        kept = [
+            x for x, path, own, p in zip(lines, paths, inside, plain, strict=True)
+            if own and (p or x.heading or any(n.root and (n.tag == "article" or not n.has_root) for n in path))
+        ]
+        return "\n\n".join(x.text for x in kept)
     if not content.any():
         return ""
     sizes: dict[int, int] = {}
