@@ -1,3 +1,4 @@
+import zlib
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -54,6 +55,18 @@ def test_no_python_in_the_plan(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+def test_whole_records_are_dealt(spark, monkeypatch):
+    seen = []
+    deal = sharding.external_shuffle
+    monkeypatch.setattr(sharding, "external_shuffle", lambda df, **k: seen.append(deal(df, **k)) or seen[-1])
+    rows = queries.op7_shards(spark, SF).select("doc_id", "size", "text_crc32").collect()
+    assert "text" in seen[0].columns
+    docs = {r["doc_id"]: (r["text"] or "").encode() for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert all(r["size"] == len(docs[r["doc_id"]]) + 8 and r["text_crc32"] == zlib.crc32(docs[r["doc_id"]]) for r in rows)
+    plan = queries.op7_shards(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("crc32") < plan.index("collect_list")
+
+
 def test_written_shards(spark, tmp_path):
     docs = documents(spark)
     sharding.write(sharding.external_shuffle(docs, id_col="doc_id", size=F.lit(1), shards=3), str(tmp_path / "out"))

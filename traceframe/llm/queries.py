@@ -147,13 +147,14 @@ FROM c LEFT JOIN fits USING (page_id) LEFT JOIN listed ON c.whole AND c.key = li
 
 @query
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select(
-        "doc_id",
-        (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("bigint").alias("size"),
-        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-    )
-    dealt = sharding.external_shuffle(docs, id_col="doc_id", size=F.col("size"), shards=24)
-    return dealt.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("bigint")
+    dealt = sharding.external_shuffle(docs, id_col="doc_id", size=size, shards=24)
+    # Of the texts as they come out, so that whole records pass through both passes.
+    return dealt.select(
+        "doc_id", size.alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("key").alias("law"), "shard", "slot", "grown_shard",
+    )
 
 
 @query
