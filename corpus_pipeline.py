@@ -1,7 +1,8 @@
 """A corpus through five operators, each stage written as Parquet and read again by the next.
 
 Repeated ids, NULLs and empty texts: a stage judges rows as its operator defines. Documents with
-NULL id are never duplicates. Of the rows of one id that has duplicates among its own rows one stays.
+NULL id are never duplicates. Near duplicates are judged by id and text, so of the rows of one id
+those stay whose texts are like no other; of equal rows one stays.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from traceframe.llm.common import column, crc_mod, read, shared_folder
 
 #: Documents with a lower probability of label 1 are rejected.
 QUALITY = 0.3
-#: Ids that may be broadcast, 32 MB; more are joined by shuffle.
-IDS = 4_000_000
+#: Texts, by id and hash, that may be broadcast, 32 MB; more are joined by shuffle.
+TEXTS = 2_000_000
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,17 +40,19 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
+    """One row of the smallest id of each group of near duplicates, and all rows without words or id."""
     found = jaccard.near_duplicates(docs.select("doc_id", "text")).where("n > 0 AND id IS NOT NULL")
-    rows = found.groupBy(F.col("id").alias("__id")).agg(
-        F.count(F.lit(1)).alias("__rows"), F.min(F.col("component") == F.col("id")).alias("__first")
+    first = (F.col("component") == F.col("id")) & (F.col("component_th") == F.col("th"))
+    rows = found.groupBy(F.col("id").alias("__id"), F.col("th").alias("__th")).agg(
+        F.count(F.lit(1)).alias("__rows"), F.min(first).alias("__first")
     )
     rows = rows.where("__rows > 1 OR NOT __first")
-    if rows.count() <= IDS:
+    if rows.count() <= TEXTS:
         rows = F.broadcast(rows)
-    joined = docs.join(rows, docs["doc_id"] == F.col("__id"), "left")
+    text = F.xxhash64(column(docs, "text").cast("string"))
+    joined = docs.join(rows, (docs["doc_id"] == F.col("__id")) & (text == F.col("__th")), "left")
     one = joined.where(F.col("__id").isNull())
-    again = joined.where("__first").dropDuplicates(["doc_id"])
+    again = joined.where("__first").dropDuplicates(["__id", "__th"])
     return _back(one, docs).unionByName(_back(again, docs))
 
 

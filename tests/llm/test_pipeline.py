@@ -63,3 +63,18 @@ def test_one_of_each_group_stays(spark):
     ids = [d for d, _ in rows]
     assert 6 not in ids and 7 not in ids and 4 not in ids and ids.count(5) == 1 and ids.count(None) == 2
     assert {0, 1, 2, 3, 8, 9} <= set(ids)
+
+
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    text = [" ".join(f"{x}{i}" for i in range(30)) for x in "abcdef"]
+    rows = [(1, text[0]), (1, text[1]), (1, text[1]), (1, ""), (1, None), (2, text[1]), (2, text[2]), (2, ""), (2, ""),
+            (3, text[3]), (3, text[3] + " more"), (4, text[4]), (4, text[4]), (5, text[4]), (None, text[0]), (None, None)]
+    got = sorted(((r["doc_id"], r["text"]) for r in P.distinct(spark, documents(spark, rows), SF).collect()), key=repr)
+    near = [r for r in got if r[0] == 3]
+    assert len(near) == 1 and near[0] in rows
+    assert [r for r in got if r[0] != 3] == sorted(
+        [(1, text[0]), (1, text[1]), (1, ""), (1, None), (2, text[2]), (2, ""), (2, ""), (4, text[4]), (None, text[0]), (None, None)],
+        key=repr,
+    )
+    texts = [(r["doc_id"], r["text"]) for r in P.distinct(spark, documents(spark), SF).collect()]
+    assert (3, "one two") in texts and (3, "one two but other") in texts

@@ -285,6 +285,11 @@ def cross_pairs(sets: DataFrame, percent: int) -> DataFrame:
     return named.where(may_link(percent))
 
 
+def _lead(id_: str, th: str) -> Column:
+    """The smallest id with the smallest text hash of its rows."""
+    return F.min(F.when(F.col(id_).isNotNull(), F.struct(id_, th))).alias("lead")
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -293,12 +298,16 @@ def near_duplicates(
     words: int = WORDS,
     percent: int = PERCENT,
 ) -> DataFrame:
-    """One row per document: ``id``, ``n`` (set size), ``component``: the smallest id linked to it."""
+    """One row per document: ``id``, ``th`` (hash of its text), ``n`` (set size), ``component``: the smallest id linked to it.
+
+    ``component_th``: of the rows of that id linked to it, the smallest hash of a text.
+    """
     visible(docs.sparkSession)
     base = docs.select(column(docs, id_col).alias("id"), column(docs, text_col).cast("string").alias("text"))
-    known = base.select("id", profile(F.col("text"), words).alias("p")).select("id", "p.n", "p.c")
+    known = base.select("id", F.xxhash64("text").alias("th"), profile(F.col("text"), words).alias("p"))
+    known = known.select("id", "th", "p.n", "p.c")
     known = stored(known)
-    classes = known.where("n > 0").groupBy("n", "c").agg(F.min("id").alias("first"))
+    classes = known.where("n > 0").groupBy("n", "c").agg(F.min("id").alias("first"), _lead("id", "th"))
 
     def of_text(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
         for text in batch["text"]:
@@ -325,12 +334,13 @@ def near_duplicates(
         more = stored(links(cross_pairs(open_, percent), open_, percent))
         if not more.isEmpty():
             groups = components(found.unionByName(more))
-    labels = classes.join(groups, classes.c == groups.node, "left").select("n", "c", "first", F.coalesce("label", "c").alias("g"))
+    labels = classes.join(groups, classes.c == groups.node, "left")
+    labels = labels.select("n", "c", "first", "lead", F.coalesce("label", "c").alias("g"))
     labels = stored(labels)
-    smallest = labels.groupBy("g").agg(F.min("first").alias("component"))
-    named = labels.join(smallest, "g").select("n", "c", "component")
+    smallest = labels.groupBy("g").agg(F.min("first").alias("component"), F.min("lead").alias("best"))
+    named = labels.join(smallest, "g").select("n", "c", "component", F.col("best.th").alias("component_th"))
     return known.join(named, ["n", "c"], "left").select(
-        "id", "n", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component")
+        "id", "th", "n", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"), "component_th"
     )
 
 
