@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Iterable
 from pathlib import Path
 
@@ -49,6 +50,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder, from which each reader takes only the columns it needs."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def crc_mod(column: str, n: int) -> Column:
     """crc32 of the column as text, modulo ``n``; NULL counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traceframe.llm import ann, bpe, decontaminate, html_text, jaccard, langid, line_dedup, quality, sharding, urls
+from traceframe.llm import (
+    alignment,
+    ann,
+    bpe,
+    clustering,
+    decontaminate,
+    html_text,
+    jaccard,
+    langid,
+    line_dedup,
+    packing,
+    quality,
+    sharding,
+    urls,
+)
 from traceframe.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,3 +215,67 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
     count = F.aggregate("deleted", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
     return found.select("doc_id", "text", count.alias("n_deleted"), "deleted")
+
+
+@query
+def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pieces.select(
+        "doc_id", "piece", "start", "length", packing.ids_crc32(F.col("ids")).alias("ids_crc32"), "sequence_id", "offset"
+    )
+
+
+@query
+def op12_orchard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, centroids = clustering.cluster(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return clustering.with_inertia(found, centroids)
+
+
+def _clustering_sql(k: int, rounds: int, seed: int) -> str:
+    """Every round as a table of its centroids (cluster, list of components)."""
+    squares = "list_sum(list_transform(range(1, 65), lambda i: (x[i] - c[i]) * (x[i] - c[i])))"
+    near = f"""
+        SELECT vec_id, x, cluster, distance FROM (
+            SELECT vec_id, x, cluster, {squares} AS distance, row FROM kept, centroids_{{n}}
+        ) QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, cluster) = 1"""
+    tables = [
+        f"""kept AS MATERIALIZED (
+    SELECT vec_id, list_transform(v, lambda y: floor(1024 * y)::BIGINT) AS x, row_number() OVER () AS row
+    FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)
+    WHERE len(v) = 64 AND list_count(v) = 64 AND len(list_filter(v, lambda y: NOT isfinite(y))) = 0
+)""",
+        f"""centroids_0 AS MATERIALIZED (
+    SELECT (row_number() OVER (ORDER BY sha256('{seed}:' || coalesce(vec_id::VARCHAR, '')), x)) - 1 AS cluster, x AS c
+    FROM kept ORDER BY cluster LIMIT {k}
+)""",
+    ]
+    for n in range(rounds):
+        tables.append(
+            f"""near_{n} AS MATERIALIZED ({near.format(n=n)}
+), sums_{n} AS (
+    SELECT cluster, i, sum(x[i])::HUGEINT AS s, count(*) AS m FROM near_{n}, range(1, 65) r(i) GROUP BY ALL
+), centroids_{n + 1} AS MATERIALIZED (
+    SELECT cluster, coalesce(moved, c) AS c FROM centroids_{n} LEFT JOIN (
+        SELECT cluster, list(((s - (((s % m) + m) % m)) // m)::BIGINT ORDER BY i) AS moved FROM sums_{n} GROUP BY cluster
+    ) USING (cluster)
+)"""
+        )
+    tables.append(f"found AS MATERIALIZED ({near.format(n=rounds)}\n)")
+    return (
+        "WITH "
+        + ", ".join(tables)
+        + f"""
+SELECT vec_id, cluster::INTEGER AS cluster, distance::BIGINT AS distance,
+    sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia, sum(distance) OVER ()::BIGINT AS inertia,
+    sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM found JOIN centroids_{rounds} USING (cluster)
+"""
+    )
+
+
+SQL["op12_orchard"] = _clustering_sql(clustering.CENTROIDS, clustering.ROUNDS, clustering.SEED)
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.statistics(read(spark, sf_dir, "documents").select("doc_id", "text"))
