@@ -17,7 +17,8 @@ def u16(text):
     return text.encode("utf-16-le")
 
 
-BOTH = pytest.mark.parametrize("by_table", [None, True])
+WAYS = (None, True, "fold")
+BOTH = pytest.mark.parametrize("by_table", WAYS)
 
 
 @BOTH
@@ -172,12 +173,12 @@ def test_random_layouts_round_trip_both_ways(spark, seed):
     cut = [p[: rng.randrange(len(p) + 1)] for p in payloads]
     manifest = layout(spark, props)
     got = {}
-    for by_table in (None, True):
+    for by_table in WAYS:
         df = records(spark, payloads + cut).transform(decode_payload(manifest, table_driven=by_table))
         rows = df.orderBy("record_id").select("payload", "record_parse_error", "field_parse_error").collect()
         got[by_table] = [tuple(r) for r in rows]
     assert [g[0] for g in got[None][:30]] == wanted
-    assert got[None] == got[True]
+    assert got[None] == got[True] == got["fold"]
 
 
 def test_maps_give_one_result_by_both_ways(spark):
@@ -188,8 +189,8 @@ def test_maps_give_one_result_by_both_ways(spark):
         prop("When", C.IN_FILETIME, C.OUT_DATETIME, length=8, map_name="M"),
     ]
     data = struct.pack("<IQ", 1, 0)
-    code, table = (decode(spark, props, data, by_table=way, maps=maps) for way in (None, True))
-    assert code.payload == table.payload and code.payload["N"] == "one" and code.payload["When"].startswith("1601")
+    code, table, fold = (decode(spark, props, data, by_table=way, maps=maps) for way in WAYS)
+    assert code.payload == table.payload == fold.payload and code.payload["N"] == "one" and code.payload["When"].startswith("1601")
 
 
 def test_tasks_keep_whole_rows(spark, raw, manifest):

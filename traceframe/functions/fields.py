@@ -469,6 +469,42 @@ def _row_text(digits: Column, unit: Column) -> Column:
     return F.when(unit == 2, text.wide_text(digits)).otherwise(text.narrow_text(digits))
 
 
+def _row_number(data: Column, at: Column, width: Column, value: Column, prop, label) -> Column:
+    shift = (F.lit(8) - width) * 8
+    signed = F.call_function("shiftright", F.call_function("shiftleft", value, shift), shift)
+    plain = (
+        F.when(prop.form == "unsigned", bits.unsigned_text(value))
+        .when(prop.form == "signed", signed.cast("string"))
+        .when(prop.form == "hex", bits.hex_text(value))
+        .when(prop.form == "truth", _truth(value))
+        .when(prop.form == "port", bits.be_uint(data, at, 2).cast("string"))
+        .when(prop.form == "ipv4", text.ipv4_text(data, at))
+        .when(prop.form == "time", text.filetime_text(value))
+        .when(prop.form == "float", bits.ieee_float(value).cast("string"))
+        .when(prop.form == "double", bits.ieee_double(value).cast("string"))
+    )
+    return F.coalesce(label(value), plain)
+
+
+def show_row(data: Column, at: Column, size: Column, prop, label) -> Column:
+    """The text of one field whose place and size are known."""
+    digits = F.hex(bits.slice_bytes(data, at, size))
+    source = Source(data, at, size, size, F.lit(8))
+    number = bits.let(bits.le_uint(data, at, size), lambda v: _row_number(data, at, size, v, prop, label))
+    return (
+        F.when(prop.reader == "number", number)
+        .when(
+            prop.reader.isin("string", "char", "counted", "reversed", "rest"),
+            bits.let(digits, lambda d: _row_text(d, prop.unit)),
+        )
+        .when(prop.reader == "fixed", F.when(prop.form == "guid", guid_text(data, at)).otherwise(text.systemtime_text(data, at)))
+        .when(prop.reader == "sid", text.sid_text(data, at))
+        .when(prop.form == "ipv6", text.ipv6_text(data, at))
+        .when(prop.form == "socket", _socket(source))
+        .otherwise(digits)
+    )
+
+
 def read_row(src: Source, prop, label) -> Column:
     """One field as ``READ_TYPE`` by its property row; NULL when its bytes are missing."""
     data, at, left, unit = src.data, src.offset, src.left, prop.unit
@@ -477,20 +513,7 @@ def read_row(src: Source, prop, label) -> Column:
         width = F.coalesce(prop.width, src.pointer)
 
         def show(value: Column) -> Column:
-            shift = (F.lit(8) - width) * 8
-            signed = F.call_function("shiftright", F.call_function("shiftleft", value, shift), shift)
-            plain = (
-                F.when(prop.form == "unsigned", bits.unsigned_text(value))
-                .when(prop.form == "signed", signed.cast("string"))
-                .when(prop.form == "hex", bits.hex_text(value))
-                .when(prop.form == "truth", _truth(value))
-                .when(prop.form == "port", bits.be_uint(data, at, 2).cast("string"))
-                .when(prop.form == "ipv4", text.ipv4_text(data, at))
-                .when(prop.form == "time", text.filetime_text(value))
-                .when(prop.form == "float", bits.ieee_float(value).cast("string"))
-                .when(prop.form == "double", bits.ieee_double(value).cast("string"))
-            )
-            return _reading(width, F.coalesce(label(value), plain), value)
+            return _reading(width, _row_number(data, at, width, value, prop, label), value)
 
         return F.when(left >= width, bits.let(bits.le_uint(data, at, width), show))
 

@@ -1,17 +1,20 @@
 """Payload decode: BINARY payload -> named text fields, driven by the manifest.
 
-Two ways, one set of field rules (:mod:`traceframe.functions.fields`):
+Three ways, one set of field rules (:mod:`traceframe.functions.fields`):
 
 * **Compiled.** Layouts of plain fields become column expressions under a ``CASE`` on the
   layout id. Fields before the first one of variable length have constant offsets and
   become generated code; from there on each position is bound once and used by what
   follows. No scan, join or union per layout.
-* **Table-driven.** Layouts with structs or arrays, and those beyond
-  ``MAX_COMPILED_LAYOUTS``, are folded field by field over their property rows, which
+* **By table.** Layouts with structs or arrays, and those beyond
+  ``MAX_COMPILED_LAYOUTS``, are read by their property rows, which
   arrive as an array column of the broadcast manifest. The plan does not grow with the
-  manifest.
+  manifest. An Arrow cursor (:mod:`traceframe.operators.cursor`) finds the place of every
+  field of a batch; the texts of the places are then made by SQL.
+* **Folded.** The few layouts in which a place depends on formatted text are folded field by field over
+  their property rows instead, as all are with ``table_driven="fold"``.
 
-Both are row-local: no shuffle, so skewed providers or processes do not matter, and
+All are row-local: no shuffle, so skewed providers or processes do not matter, and
 predicates on header columns still reach the scan.
 """
 
@@ -26,10 +29,10 @@ from traceframe.functions.bits import let
 from traceframe.functions.fields import Source
 from traceframe.functions.reuse import per_application
 from traceframe.functions.text import is_int_text
+from traceframe.operators import cursor
 from traceframe.operators.manifest import Layout, Manifest, Property, attach_manifest, local_table
 
-# A carried or referenced length above this cannot fit any payload.
-LENGTH_LIMIT = 1 << 27
+LENGTH_LIMIT = cursor.LENGTH_LIMIT
 
 PAYLOAD_TYPE = "map<string,string>"
 
@@ -369,7 +372,7 @@ def _by_layout(branches: list[tuple[int, Column]]) -> Column:
 # --------------------------------------------------------------------------------------
 
 PROPERTY_ROWS = """
-    layout_id INT,
+    layout_id INT, _by_cursor BOOLEAN,
     _properties ARRAY<STRUCT<ordinal: INT, name: STRING, hidden: BOOLEAN, kind: STRING,
         reader: STRING, form: STRING, width: INT, unit: INT, conversion: STRING, length: INT, length_ref: INT, count: INT, count_ref: INT,
         fixed_count: BOOLEAN, carries: BOOLEAN, is_bitmap: BOOLEAN,
@@ -563,6 +566,34 @@ def _table_driven(record: _Record, properties: Column) -> Column:
     )
 
 
+def _placed(record: _Record, places: Column, properties: Column) -> Column:
+    """Texts and names of the places that the cursor has found."""
+
+    def text_of(span: Column) -> Column:
+        def use(row: Column) -> Column:
+            prop = _RowProperty(row)
+            shown = fields.show_row(record.data, span["at"], span["size"], prop, prop.label)
+            converted = bits.let(shown, lambda s: fields.convert_row(s, prop.conversion)[0])
+            value = F.when(span["at"] >= 0, F.when(prop.conversion.isNull(), shown).otherwise(converted))
+            return F.struct(prop.name.alias("name"), value.alias("value"))
+
+        return let(F.get(properties, span["p"]), use)
+
+    def repeated(entry: Column) -> Column:
+        prop = _RowProperty(F.get(properties, entry["p"]))
+        members = F.transform(entry["elements"], lambda e: F.transform(e, text_of))
+        keep_nulls = {"ignoreNullFields": "false"}
+        as_struct = F.to_json(F.transform(members, F.map_from_entries), keep_nulls)
+        as_list = F.to_json(F.transform(members, lambda m: F.get(m, 0)["value"]), keep_nulls)
+        shown = F.when(prop.kind == "struct", as_struct).otherwise(as_list)
+        return F.struct(prop.name.alias("name"), shown.alias("value"))
+
+    entries = F.transform(
+        places["entries"], lambda e: F.when(e["elements"].isNull(), text_of(e)).otherwise(repeated(e))
+    )
+    return _struct_of(payload=F.map_from_entries(entries), bad=places["bad"], missing=places["missing"])
+
+
 # --------------------------------------------------------------------------------------
 # the operator
 # --------------------------------------------------------------------------------------
@@ -577,6 +608,11 @@ def _fold_expression() -> Column:
     return _table_driven(_record(), F.col("_properties"))
 
 
+@per_application
+def _placed_expression() -> Column:
+    return _placed(_record(), F.col("_places"), F.col("_properties"))
+
+
 def _compiled(manifest: Manifest, layout: Layout) -> _CompiledLayout:
     """Compiled layouts are kept with their manifest."""
     if layout.layout_id not in manifest.compiled:
@@ -584,12 +620,12 @@ def _compiled(manifest: Manifest, layout: Layout) -> _CompiledLayout:
     return manifest.compiled[layout.layout_id]
 
 
-def decode_payload(manifest: Manifest, tasks=None, table_driven: bool | None = None):
+def decode_payload(manifest: Manifest, tasks=None, table_driven: bool | str | None = None):
     """Add ``payload``, ``record_parse_error`` and ``field_parse_error``.
 
     Rows whose event kind is unknown keep an empty payload and are flagged. ``tasks``
     (upper case) keeps rows of those tasks and unknown ones, and decodes only their
-    layouts; ``table_driven`` forces that path (``True``) for all layouts.
+    layouts; ``table_driven`` forces that path (``True``) or the fold (``"fold"``) for all layouts.
     """
 
     def apply(df: DataFrame) -> DataFrame:
@@ -606,10 +642,12 @@ def decode_payload(manifest: Manifest, tasks=None, table_driven: bool | None = N
         compiled = [x for x in wanted if x not in by_table]
 
         columns = df.columns
+        properties = {x.layout_id: _property_rows(x) for x in by_table}
+        by_cursor = {} if table_driven == "fold" else {i: p for i, p in properties.items() if cursor.placeable(p)}
         if by_table:
             rows = local_table(
                 manifest.spark,
-                [(x.layout_id, _property_rows(x)) for x in by_table],
+                [(i, i in by_cursor, p) for i, p in properties.items()],
                 PROPERTY_ROWS,
             )
             # Same bound as the manifest itself: its property rows, grouped.
@@ -626,11 +664,16 @@ def decode_payload(manifest: Manifest, tasks=None, table_driven: bool | None = N
         some = F.col("_size") > 0
         layouts = [(x.layout_id, _compiled(manifest, x)) for x in compiled]
         staged = {}
-        if by_table:
-            staged["_folded"] = F.when(
-                some & F.col("_properties").isNotNull(),
-                _fold_expression(),
-            )
+        ways = []
+        if len(by_cursor) < len(by_table):
+            staged["_folded"] = F.when(some & ~F.col("_by_cursor"), _fold_expression())
+            ways.append("_folded")
+        if by_cursor:
+            # Payloads of other layouts do not travel to the cursor.
+            own = F.when(some & F.col("_by_cursor"), F.col("UserData"))
+            df = df.withColumn("_places", cursor.places(by_cursor)(own, F.col("layout_id"), F.col("_pointer")))
+            staged["_placed"] = F.when(some & F.col("_by_cursor"), _placed_expression())
+            ways.append("_placed")
         tails = [(layout_id, x.tail) for layout_id, x in layouts if x.tail is not None]
         if tails:
             staged["_tail"] = F.when(some, _by_layout(tails))
@@ -642,8 +685,7 @@ def decode_payload(manifest: Manifest, tasks=None, table_driven: bool | None = N
             if layouts:
                 chosen = _by_layout([(i, getattr(x, part)) for i, x in layouts])
                 out.append(F.when(some, chosen))
-            if by_table:
-                out.append(F.col("_folded")[part])
+            out += [F.col(way)[part] for way in ways]
             return F.coalesce(*out, default) if out else default
 
         # A lambda keeps this projection out of whole-stage code. All layouts in one
