@@ -27,7 +27,6 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -141,14 +140,14 @@ class Aligner:
             dtype=object,
         )
 
-    def _encode(self, units: list[str]) -> list[tuple | None]:
+    def _encode(self, units: list[str]) -> list[tuple[bytes, bytes] | bool]:
         """Ids of both sides; False where they do not give the unit back."""
         out = []
         a_token, b_token = self.side_a.token.__getitem__, self.side_b.token.__getitem__
         for unit, a, b in zip(units, self.side_a.encode(units), self.side_b.encode(units), strict=True):
             data = b" " + unit.encode()
             same = b"".join(map(a_token, a)) == data == b"".join(map(b_token, b))
-            out.append((tuple(a), tuple(b)) if same else False)
+            out.append((np.array(a, np.int32).tobytes(), np.array(b, np.int32).tobytes()) if same else False)
         return out
 
     def ids(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -161,9 +160,10 @@ class Aligner:
             found = self.units(_CUT.split(part))
             if False in found:
                 return none, none
-            a.append(np.fromiter(chain.from_iterable([x for x, _ in found]), np.int64))
-            b.append(np.fromiter(chain.from_iterable([x for _, x in found]), np.int64))
-        return np.concatenate(a), np.concatenate(b)
+            some_a, some_b = zip(*found, strict=True)
+            a += some_a
+            b += some_b
+        return tuple(np.frombuffer(b"".join(x), np.int32).astype(np.int64) for x in (a, b))
 
     def align(self, texts: list[str | None]) -> Aligned:
         made = [self.ids(t) for t in texts]

@@ -24,13 +24,12 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from traceframe.llm.common import column, visible, written
@@ -46,28 +45,60 @@ GROUP = 65_536
 BATCH = 1 << 20
 
 _WORDS = re.compile(r"[^ \n\t\r]+").findall
+# Texts of these characters alone are cut into the library's own pieces here, which repeat more often
+# than words: lower case and normal forms of them are the same everywhere.
+_OTHER = re.compile(r"[^ -~\n\t\rÀ-ÖØ-öø-ÿ‘’“”–—…]|<\|").search
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \n\t\ra-zß-öø-ÿ0-9]+").findall
 
 
 @lru_cache(maxsize=1)
-def _tokenizer(path: str):
+def _tokenizers(path: str):
+    """The tokenizer as it is, and one that takes text in normal form."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path)
+    whole, bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    bare.normalizer = None
+    return whole, bare
+
+
+#: Pieces encoded as one text. Fewer cost more a piece, and so do very many.
+TOGETHER = 50
 
 
 class Encoder:
-    """The library's ids of whole texts, word by word: white space is in no token of this vocabulary."""
+    """The library's ids of whole texts, by words or smaller: white space is in no token of this vocabulary."""
 
     def __init__(self, path: str):
-        library = _tokenizer(path)
-        self.units = Units(lambda words: [tuple(x.ids) for x in library.encode_batch(words, add_special_tokens=False)])
+        self.whole, self.bare = _tokenizers(path)
+        names = self.whole.get_vocab()
+        self.kind = np.uint16 if max(names.values()) < 1 << 16 else np.uint32
+        self.last = np.zeros(max(names.values()) + 1, bool)
+        self.last[[i for t, i in names.items() if t.endswith("</w>")]] = True
+        self.words, self.pieces = Units(self._encode), Units(self._encode_pieces)
+
+    def _encode(self, some: list[str]) -> list[bytes]:
+        found = self.whole.encode_batch(some, add_special_tokens=False)
+        return [np.array(x.ids, self.kind).tobytes() for x in found]
+
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Many pieces as one text; a piece ends with the token that ends a word."""
+        texts = [" ".join(pieces[i : i + TOGETHER]) for i in range(0, len(pieces), TOGETHER)]
+        found = self.bare.encode_batch(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array(x.ids, self.kind) for x in found])
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(pieces):
+            return self._encode(pieces)
+        data, ends = ids.tobytes(), (ends * ids.itemsize).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def ids(self, text: str, end: int | None = END) -> np.ndarray:
-        found = [np.fromiter(chain.from_iterable(self.units(_WORDS(p))), np.int32) for p in parts(text)]
+        found = []
+        for part in parts(text):
+            found += self.words(_WORDS(part)) if _OTHER(part) else self.pieces(_PIECES(part.lower()))
         if end is not None:
-            found.append(np.array([end], np.int32))
-        return found[0] if len(found) == 1 else np.concatenate(found)
+            found.append(np.array([end], self.kind).tobytes())
+        return np.frombuffer(b"".join(found), self.kind).astype(np.int32)
 
 
 class Bins:
@@ -127,7 +158,10 @@ def pack(
     open_bins: int = OPEN,
     end: int | None = END,
 ) -> DataFrame:
-    """The pieces of all documents: id, ``piece``, ``start``, ``length``, ``ids``, ``sequence_id``, ``offset``."""
+    """The pieces of all documents: id, ``piece``, ``start``, ``length``, ``ids``, ``sequence_id``, ``offset``.
+
+    ``ids_crc32`` is the checksum of a piece's ids as little-endian 32-bit numbers.
+    """
     visible(docs.sparkSession)
     path = path or public_tokenizers.path(VOCABULARY)
     given = docs.select(column(docs, id_col).alias("id"), column(docs, text_col).cast("string").alias("text"))
@@ -152,11 +186,11 @@ def pack(
         if out:
             yield _pieces(out, out[0][0][2][0][1][0].type)
 
-    schema = f"id {kind}, piece int, start bigint, length bigint, ids array<int>, bin bigint, offset bigint, open boolean"
+    schema = f"id {kind}, piece int, start bigint, length bigint, ids array<int>, ids_crc32 bigint, bin bigint, offset bigint, open boolean"
     packed = written(given.mapInArrow(tasks, schema))
     left = packed.where("open").groupBy("bin").agg(F.max(F.col("offset") + F.col("length")).alias("used"))
     moved = _pack_bins(left, capacity)
-    names = ["piece", "start", "length", "ids"]
+    names = ["piece", "start", "length", "ids", "ids_crc32"]
     alone = packed.where("NOT open").select("id", *names, F.col("bin").alias("sequence_id"), "offset")
     joined = packed.where("open").join(moved, "bin").select(
         "id", *names, "sequence_id", (F.col("offset") + F.col("base")).alias("offset")
@@ -173,9 +207,10 @@ def _pieces(bins: list, kind: pa.DataType) -> pa.RecordBatch:
         [
             pa.array([k.as_py() for k in key], kind), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
             pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids), pa.int32())),
+            pa.array([zlib.crc32(np.ascontiguousarray(x, "<i4")) for x in ids], pa.int64()),
             pa.array(number, pa.int64()), pa.array(offset, pa.int64()), pa.array(open_, pa.bool_()),
         ],
-        ["id", "piece", "start", "length", "ids", "bin", "offset", "open"],
+        ["id", "piece", "start", "length", "ids", "ids_crc32", "bin", "offset", "open"],
     )
 
 
@@ -208,16 +243,3 @@ def sequences(pieces: DataFrame, id_col: str = "doc_id") -> DataFrame:
         "sequence_id", F.flatten("parts.ids").alias("ids"),
         F.transform("parts", lambda p: F.struct(p["id"].alias("id"), p["offset"].alias("offset"), p["length"].alias("length"))).alias("documents"),
     )
-
-
-def ids_crc32(ids: Column) -> Column:
-    """crc32 of an array of ids as little-endian 32-bit numbers."""
-
-    @F.arrow_udf("bigint")
-    def crc(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for lists in batches:
-            flat, ends = np.ascontiguousarray(lists.flatten().to_numpy(), "<i4"), lists.offsets.to_numpy()
-            ends = ends - ends[0]
-            yield pa.array([zlib.crc32(flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)], pa.int64())
-
-    return crc(ids)

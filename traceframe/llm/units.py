@@ -8,10 +8,10 @@ generations of a fixed number of units; longer strings are encoded each time.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 #: Units remembered, and the longest of them in characters.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 LONGEST = 48
 #: Characters of text that are cut into units, and of units that are encoded, at a time.
 BLOCK = 1 << 20
@@ -19,35 +19,46 @@ BLOCK = 1 << 20
 _BLANK = re.compile(r"[ \n\t\r]")
 
 
+class _Known(dict):
+    """Units and their ids; asking for others lists them in ``asked``."""
+
+    asked: list[str]
+
+    def __missing__(self, unit: str) -> None:
+        self.asked.append(unit)
+
+
 class Units:
     """Maps units to what ``encode`` gives for a list of them."""
 
     def __init__(self, encode: Callable[[list[str]], list], remembered: int = REMEMBERED):
         self.encode, self.most = encode, max(1, remembered // 2)
-        self.new: dict[str, object] = {}
-        self.old: dict[str, object] = {}
+        self.new, self.old = _Known(), {}
 
     def __call__(self, units: list[str]) -> list:
-        found = list(map(self.new.get, units))
-        missing = list(dict.fromkeys(u for u, x in zip(units, found, strict=True) if x is None))
-        if not missing:
-            return found
-        made, fresh = {}, []
+        self.new.asked = []
+        found = list(map(self.new.__getitem__, units))
+        if self.new.asked:
+            long = self._learn(dict.fromkeys(self.new.asked))
+            found = list(map(self.new.__getitem__, units))
+            for u in long:
+                del self.new[u]
+            if len(self.new) > self.most:
+                self.old, self.new = self.new, _Known()
+        return found
+
+    def _learn(self, missing: Iterable[str]) -> list[str]:
+        """Put the units among those known; those of them that are too long to stay."""
+        old, fresh = self.old, []
         for u in missing:
-            known = self.old.get(u)
+            known = old.get(u)
             if known is None:
                 fresh.append(u)
             else:
-                made[u] = known
+                self.new[u] = known
         for some in blocks(fresh):
-            made.update(zip(some, self.encode(some), strict=True))
-        found = [made[u] if x is None else x for u, x in zip(units, found, strict=True)]
-        for u, x in made.items():
-            if len(u) <= LONGEST:
-                if len(self.new) >= self.most:
-                    self.old, self.new = self.new, {}
-                self.new[u] = x
-        return found
+            self.new.update(zip(some, self.encode(some), strict=True))
+        return [u for u in fresh if len(u) > LONGEST]
 
 
 def blocks(units: list[str]) -> Iterator[list[str]]:
