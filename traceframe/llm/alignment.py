@@ -27,6 +27,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -42,10 +43,16 @@ from traceframe.llm.units import Units, parts
 BYTES = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
 #: Links in one chunk of documents, give or take one document.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
+#: Units encoded as one text, and in one run of such texts.
+TOGETHER = 50
+RUN = 2000
 #: Characters of text that are aligned at a time, give or take one document.
 BATCH = 1 << 20
 
+#: Room for a pair of ids; the documents of a batch are numbered above it.
+PAIR_BITS = 40
+
 #: A blank between two characters that are no white space to either side's rules.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _SPACE = "▁"
@@ -131,7 +138,11 @@ class Aligned:
 class Aligner:
     def __init__(self, byte_path: str, piece_path: str):
         self.side_a, self.side_b = _sides(byte_path, piece_path)
+        most = max(len(self.side_a.token), len(self.side_b.token))
+        self.kind = np.uint16 if most <= 1 << 16 else np.uint32
         self.units = Units(self._encode)
+        #: An id pair is ``a << shift | b``.
+        self.shift = (len(self.side_b.token) - 1).bit_length()
         a, b = self.side_a.token, self.side_b.token
         # Ids as text with what follows them: inside a group, or at the end of its side.
         self.text = np.array(
@@ -142,31 +153,63 @@ class Aligner:
 
     def _encode(self, units: list[str]) -> list[tuple[bytes, bytes] | bool]:
         """Ids of both sides; False where they do not give the unit back."""
-        out = []
+        out: dict[str, tuple[bytes, bytes] | bool] = {}
+        # White space at a unit's edge would run together with the blank beside it.
+        bare = [u for u in units if u and not u[0].isspace() and not u[-1].isspace()]
+        for i in range(0, len(bare), RUN):
+            some = bare[i : i + RUN]
+            found = self._encode_run(some)
+            if found:
+                out.update(zip(some, found, strict=True))
+        rest = [u for u in units if u not in out]
         a_token, b_token = self.side_a.token.__getitem__, self.side_b.token.__getitem__
-        for unit, a, b in zip(units, self.side_a.encode(units), self.side_b.encode(units), strict=True):
+        for unit, a, b in zip(rest, self.side_a.encode(rest), self.side_b.encode(rest), strict=True):
             data = b" " + unit.encode()
             same = b"".join(map(a_token, a)) == data == b"".join(map(b_token, b))
-            out.append((np.array(a, np.int32).tobytes(), np.array(b, np.int32).tobytes()) if same else False)
+            out[unit] = (np.array(a, self.kind).tobytes(), np.array(b, self.kind).tobytes()) if same else False
+        return [out[u] for u in units]
+
+    def _encode_run(self, units: list[str]) -> list[tuple[bytes, bytes]] | None:
+        """The same of many units, joined by blanks in texts of a few; None if one of them does not fit."""
+        texts = [" ".join(units[i : i + TOGETHER]) for i in range(0, len(units), TOGETHER)]
+        data = [u.encode() for u in units]
+        whole = b" " + b" ".join(data)
+        ends = np.cumsum([len(d) + 1 for d in data])
+        cut = []
+        for side in (self.side_a, self.side_b):
+            ids = np.concatenate([np.array(x, self.kind) for x in side.encode(texts)])
+            if b"".join(map(side.token.__getitem__, ids.tolist())) != whole:
+                return None
+            at = np.cumsum(side.length[ids])
+            last = np.searchsorted(at, ends)
+            if not (at[last] == ends).all():
+                return None
+            ids, last = ids.tobytes(), ((last + 1) * self.kind().itemsize).tolist()
+            cut.append([ids[x:y] for x, y in zip([0, *last], last, strict=False)])
+        return list(zip(*cut, strict=True))
+
+    def ids(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of both sides of each text; none where they do not give the text back."""
+        cut = [[_CUT.split(part) for part in parts(t, _CUT)] if t else [] for t in texts]
+        # Short texts together, long ones part by part.
+        short = list(chain.from_iterable(c[0] for c in cut if len(c) == 1))
+        found, at, out = self.units(short), 0, []
+        for c in cut:
+            if len(c) == 1:
+                own, at = found[at : at + len(c[0])], at + len(c[0])
+            else:
+                own = list(chain.from_iterable(map(self.units, c)))
+            out.append(self._joined(own))
         return out
 
-    def ids(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of both sides; none where they do not give the text back."""
-        none = np.zeros(0, np.int64)
-        if not text:
-            return none, none
-        a, b = [], []
-        for part in parts(text, _CUT):
-            found = self.units(_CUT.split(part))
-            if False in found:
-                return none, none
-            some_a, some_b = zip(*found, strict=True)
-            a += some_a
-            b += some_b
-        return tuple(np.frombuffer(b"".join(x), np.int32).astype(np.int64) for x in (a, b))
+    def _joined(self, units: list) -> tuple[np.ndarray, np.ndarray]:
+        if not units or False in units:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        a, b = zip(*units, strict=True)
+        return tuple(np.frombuffer(b"".join(x), self.kind).astype(np.int64) for x in (a, b))
 
     def align(self, texts: list[str | None]) -> Aligned:
-        made = [self.ids(t) for t in texts]
+        made = self.ids(texts)
         doc = np.arange(len(made))
         both = []
         for side in (0, 1):
@@ -288,17 +331,12 @@ def statistics(
         for keys, texts in _batches(batches):
             x, n = aligner.align(texts), len(texts)
             per = lambda which, n=n: np.bincount(which, minlength=n)
-            pair = x.a[x.link_a] << 32 | x.b[x.link_b]
             # Distinct pairs of each document, and how often it has them.
             doc = x.doc_a[x.link_a]
-            order = np.lexsort((pair, doc))
-            pair, doc = pair[order], doc[order]
-            new = np.ones(len(pair), dtype=bool)
-            new[1:] = (pair[1:] != pair[:-1]) | (doc[1:] != doc[:-1])
-            first = np.flatnonzero(new)
-            times = np.diff(np.append(first, len(pair)))
-            pair, owner = pair[first], doc[first]
-            counts = per(owner)
+            key = np.sort(doc << PAIR_BITS | x.a[x.link_a] << aligner.shift | x.b[x.link_b])
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+            times = np.diff(np.append(first, len(key)))
+            pair, counts = key[first] & ((1 << PAIR_BITS) - 1), per(key[first] >> PAIR_BITS)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(n, chunk), pa.int64()), pa.array(np.ones(n, bool)), keys,
@@ -318,7 +356,8 @@ def statistics(
 
     schema = f"chunk bigint, is_doc boolean, id {kind}, {_COUNTED}, pairs array<bigint>, times array<bigint>"
     stored = written(given.mapInArrow(tasks, schema))
-    counted = _counts(stored.where("NOT is_doc").select(F.col("chunk").alias("of"), F.explode(F.arrays_zip("pairs", "times")).alias("p")).select(
+    shift = (len(_sides(byte_path, piece_path)[1].token) - 1).bit_length()
+    counted = _counts(shift, stored.where("NOT is_doc").select(F.col("chunk").alias("of"), F.explode(F.arrays_zip("pairs", "times")).alias("p")).select(
         "of", F.col("p.pairs").alias("pair"), F.col("p.times").alias("docs")
     ))
 
@@ -361,9 +400,9 @@ def _chunk(chunk: int, held: list, kind: pa.DataType) -> pa.RecordBatch:
     )
 
 
-def _counts(held: DataFrame) -> DataFrame:
+def _counts(shift: int, held: DataFrame) -> DataFrame:
     """``of`` (a chunk), ``pair``, ``total`` and ``best`` from the documents that hold a pair by chunk."""
     totals = held.groupBy("pair").agg(F.sum("docs").alias("total"))
-    tops = totals.groupBy(F.shiftright("pair", 32).alias("a")).agg(F.max("total").alias("top"))
-    best = totals.join(tops, F.shiftright("pair", 32) == F.col("a")).select("pair", "total", (F.col("total") == F.col("top")).alias("best"))
+    tops = totals.groupBy(F.shiftright("pair", shift).alias("a")).agg(F.max("total").alias("top"))
+    best = totals.join(tops, F.shiftright("pair", shift) == F.col("a")).select("pair", "total", (F.col("total") == F.col("top")).alias("best"))
     return held.select("of", "pair").join(best, "pair")
