@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import os
 import time
+from collections import Counter
 from collections.abc import Callable
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from traceframe import constants as C
@@ -23,7 +25,7 @@ from traceframe.operators.extended import decode_extended
 from traceframe.operators.manifest import Manifest, keyword_mask_value, local_table
 from traceframe.plans.trace import Trace, preset
 from traceframe.schema import PROVIDERS
-from traceframe.sources import sample
+from traceframe.sources import record_log, sample
 from traceframe.sources.records import merge_sessions, read_events, read_events_stream, write_events
 from traceframe.sources.text import (
     parse_event_dump,
@@ -32,6 +34,9 @@ from traceframe.sources.text import (
     read_field_catalog,
 )
 from traceframe.streaming import capture as live
+from traceframe.streaming.callback import Delivery
+from traceframe.streaming.losses import LossLog
+from traceframe.streaming.order import Reorder
 from traceframe.streaming.rules import PidRules, live_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -919,6 +924,48 @@ def decode_structs(spark, sf_dir):
     return d.select("record_id", *_text("Many", "Tail", "Modules"), "record_parse_error")
 
 
+@lru_cache(maxsize=4)
+def _layouts_manifest(application_id: str) -> Manifest:
+    return sample.layouts_manifest(SparkSession.active())
+
+
+@query(
+    "decode_many_layouts",
+    f"""SELECT event_id AS record_id, 'LAYOUT' || (event_id % {sample.LAYOUTS}) AS task_name, CAST(user_id AS VARCHAR) AS "user",
+         array_to_string(list_transform(range(event_id % {sample.LAYOUTS} % 7), lambda i: 's-' || i || '-' || user_id), ',') AS strings,
+         '["' || k || '","' || (k + 1) || '"]' AS pair, '9' AS last, false AS record_parse_error, false AS field_parse_error FROM e""",
+)
+def decode_many_layouts(spark, sf_dir):
+    """A manifest of real size: none of its layouts is compiled."""
+    manifest = _layouts_manifest(spark.sparkContext.applicationId)
+    raw = sample.layout_raw_events(sample.read_source(spark, sf_dir))
+    out = raw.transform(decode_payload(manifest)).transform(header.resolve_task_name(manifest))
+    strings = F.array_join(F.array(*[F.col("payload")[f"S{i}"] for i in range(7)]), ",")
+    return out.select(
+        "record_id", "task_name", F.col("payload")["User"].alias("user"), strings.alias("strings"),
+        *_text("Pair", "Last"), "record_parse_error", "field_parse_error",
+    )
+
+
+@query(
+    "decode_long_arrays",
+    f"""SELECT event_id // {sample.LONG} AS record_id, CAST(count(*) AS VARCHAR) AS many,
+         md5('["' || string_agg(user_id, '","' ORDER BY event_id) || '"]') AS users,
+         md5('["' || string_agg('u' || user_id, '","' ORDER BY event_id) || '"]') AS names,
+         md5('[' || string_agg('{{"User":"' || user_id || '","Name":"p' || user_id || '"}}', ',' ORDER BY event_id) || ']') AS parts,
+         '7' AS last, false AS field_parse_error FROM e GROUP BY 1""",
+)
+def decode_long_arrays(spark, sf_dir):
+    """Arrays of up to 10,000 elements, of one size and of many, and as many structs."""
+    manifest = _layouts_manifest(spark.sparkContext.applicationId)
+    raw = sample.long_raw_events(sample.read_source(spark, sf_dir))
+    payload = F.col("payload")
+    return raw.transform(decode_payload(manifest)).select(
+        "record_id", payload["Many"].alias("many"), *[F.md5(payload[n]).alias(n.lower()) for n in ("Users", "Names", "Parts")],
+        payload["Last"].alias("last"), "field_parse_error",
+    )
+
+
 @query(
     "decode_goes_on_after_bad_field",
     """SELECT event_id AS record_id, CAST(user_id AS VARCHAR) AS before,
@@ -1329,6 +1376,237 @@ def custom_record_handler(spark, sf_dir):
     )
 
 
+@query(
+    "event_callback",
+    """SELECT record_id, CASE WHEN pid % 97 = 5 THEN 'failed' ELSE 'handled' END AS status,
+         CASE WHEN pid % 97 <> 5 THEN id || ':' || task || ':' || pid END AS result,
+         CASE WHEN pid % 97 = 5 THEN 'ValueError: not process ' || pid END AS error FROM t""",
+)
+def event_callback(spark, sf_dir):
+    """A function for each event that fails on some; the capture is run twice, which delivers nothing twice."""
+
+    def handle(event_id: int, event: dict) -> str:
+        pid = event["EventHeader"]["ProcessId"]
+        if pid % 97 == 5:
+            raise ValueError(f"not process {pid}")
+        return f"{event_id}:{event['Task Name']}:{pid}"
+
+    folder, path = live.shared_folder(spark, "callback"), _dropped(spark, sf_dir)
+    for _ in range(2):
+        events = Trace(_manifest(spark))(read_events_stream(spark, path, 1))
+        live.to_event_callback(
+            events, handle, f"{folder}/outcomes", f"{folder}/checkpoint", {"availableNow": True}
+        ).awaitTermination()
+    done = Delivery(f"{folder}/outcomes", handle).outcomes(spark)
+    return done.select("record_id", "status", "result", "error")
+
+
+def _arrivals(spark: SparkSession, sf_dir: str, part, parts: int) -> str:
+    """The records in files that come one after the other: file ``i`` has those with ``part`` = i."""
+    path = os.path.join(live.shared_folder(spark, "arrivals"), "raw_events")
+    raw = _raw(spark, sf_dir)
+    for i in range(parts):
+        raw.where(part == i).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+# Each third of the records is a session of its own, with numbers from 0 on.
+_NUMBERED = """SELECT CAST(event_id % 3 AS VARCHAR) AS session, event_id // 3 AS number FROM e
+  WHERE event_id % 7 <> 3 AND event_id % 1000 NOT BETWEEN 500 AND 520"""
+
+
+def _losses(spark: SparkSession, sf_dir: str) -> LossLog:
+    """Some records never come, some come twice; the capture is started again between batches."""
+    folder = live.shared_folder(spark, "losses")
+    path = _arrivals(spark, sf_dir, F.col("record_id") % 4, 4)
+    lost = (F.col("record_id") % 7 == 3) | (F.col("record_id") % 1000).between(500, 520)
+    log = LossLog(f"{folder}/bitmaps", F.col("record_id") % 3, "number")
+    stops = [True]
+
+    def note(batch: DataFrame, batch_id: int) -> None:
+        came = batch.where(~lost).withColumn("number", F.floor(F.col("record_id") / 3))
+        log(came.unionByName(came.where("record_id % 11 = 0")), batch_id)
+        if batch_id == 2 and stops.pop():
+            raise InterruptedError("stopped between two batches")
+
+    for _ in range(2):
+        query_ = (
+            read_events_stream(spark, path, 1).writeStream.foreachBatch(note)
+            .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+        )
+        try:
+            query_.awaitTermination()
+        except StreamingQueryException as e:
+            if "stopped between two batches" not in str(e):
+                raise
+        else:
+            break
+        stops.append(False)
+    return log
+
+
+@query(
+    "lost_events",
+    f"""SELECT session, min(number) AS first, max(number) AS last, CAST(count(*) AS BIGINT) AS received,
+          CAST(count(*) FILTER ((number * 3 + CAST(session AS BIGINT)) % 11 = 0) AS BIGINT) AS repeated,
+          max(number) - min(number) + 1 - CAST(count(*) AS BIGINT) AS lost FROM ({_NUMBERED}) GROUP BY session""",
+)
+def lost_events(spark, sf_dir):
+    return _losses(spark, sf_dir).report(spark)
+
+
+@query(
+    "lost_event_numbers",
+    f"""SELECT session, record_id FROM (
+          SELECT session, unnest(range(min(number), max(number) + 1)) AS record_id FROM ({_NUMBERED}) GROUP BY session
+        ) ANTI JOIN (SELECT session, number AS record_id FROM ({_NUMBERED})) USING (session, record_id)""",
+)
+def lost_event_numbers(spark, sf_dir):
+    return _losses(spark, sf_dir).lost_numbers(spark)
+
+
+@query(
+    "paced_by_records",
+    """SELECT CAST(batch AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS n, CAST(sum(record_id) AS BIGINT) AS ids,
+         CAST(1 + (batch = 2)::INT AS BIGINT) AS runs FROM (
+           SELECT record_id, (row_number() OVER (ORDER BY half, record_id) - 1) // ((count(*) OVER () + 4) // 5) AS batch
+           FROM (SELECT record_id, record_id % 2 AS half FROM r)
+         ) GROUP BY batch""",
+)
+def paced_by_records(spark, sf_dir):
+    """A record log of two appends, read in five batches of equal size; the third fails once and comes again."""
+    folder = live.shared_folder(spark, "record-log")
+    raw = _raw(spark, sf_dir)
+    for half in range(2):
+        mine = raw.where(F.col("record_id") % 2 == half)
+        record_log.append(mine.repartitionByRange(3, "record_id").sortWithinPartitions("record_id"), f"{folder}/log")
+    size = -(-raw.count() // 5)
+    runs: Counter[int] = Counter()
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        runs[batch_id] += 1
+        batch.select("record_id").write.mode("overwrite").parquet(f"{folder}/batches/batch={batch_id}")
+        if batch_id == 2 and runs[2] == 1:
+            raise InterruptedError("not this time")
+
+    for _ in range(2):
+        stream = record_log.read_log_stream(
+            spark, f"{folder}/log", progress=f"{folder}/progress", records_per_batch=size, records_per_task=-(-size // 4)
+        )
+        query_ = (
+            stream.writeStream.foreachBatch(save).option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(processingTime="0 seconds").start()
+        )
+        try:
+            query_.processAllAvailable()
+        except StreamingQueryException as e:
+            if "not this time" not in str(e):
+                raise
+        finally:
+            query_.stop()
+    done = spark.read.schema("record_id BIGINT, batch BIGINT").parquet(f"{folder}/batches")
+    counted = done.groupBy("batch").agg(F.count("*").alias("n"), F.sum("record_id").alias("ids"))
+    return counted.withColumn("runs", F.element_at(F.create_map(*[F.lit(x).cast("bigint") for kv in runs.items() for x in kv]), F.col("batch")))
+
+
+_DELAY = 36_000_000_000 * 24 * 3
+
+
+@query(
+    "ordered_stream",
+    f"""SELECT batch, CAST(count(*) FILTER (given_in = batch AND NOT late) AS BIGINT) AS came_and_given,
+          CAST(count(*) FILTER (late) AS BIGINT) AS late, CAST(count(*) FILTER (NOT late AND given_in > batch) AS BIGINT) AS held_first,
+          true AS in_order
+        FROM (
+          SELECT r.batch, r.ticks <= coalesce((SELECT max(until) FROM marks m WHERE m.batch < r.batch), -1) AS late,
+            coalesce((SELECT min(m.batch) FROM marks m WHERE m.batch >= r.batch AND r.ticks <= m.until), 4) AS given_in
+          FROM (SELECT *, least(CAST(3 AS BIGINT), event_id * 4 // (SELECT max(event_id) + 1 FROM e)) AS batch FROM e) r
+        ) GROUP BY batch""",
+)
+def ordered_stream(spark, sf_dir):
+    """Records that come out of order in four batches; what a batch gives is in order, also against the one before."""
+    folder = live.shared_folder(spark, "ordered")
+    top = sample.read_source(spark, sf_dir).agg(F.max("event_id")).first()[0] + 1
+    part = F.least(F.lit(3), F.floor(F.col("record_id") * 4 / top))
+    path = _arrivals(spark, sf_dir, part, 4)
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        placed = batch.select("record_id", "TimeStamp", F.monotonically_increasing_id().alias("place"))
+        placed.write.mode("overwrite").parquet(f"{folder}/given/batch={batch_id}")
+
+    ordered = Reorder(save, f"{folder}/state", _DELAY)
+    (
+        read_events_stream(spark, path, 1).writeStream.foreachBatch(ordered)
+        .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    )
+    ordered.flush(spark)
+    given = spark.read.schema("record_id BIGINT, TimeStamp BIGINT, place BIGINT, batch BIGINT").parquet(f"{folder}/given")
+    part = F.least(F.lit(3), F.floor(F.col("record_id") * 4 / top)).alias("came")
+    # Windows of a batch's range partitions and of whole batches: neighbours in time order.
+    within = Window.partitionBy("batch", F.shiftright("place", 33)).orderBy("place")
+    steps = given.withColumn("before", F.lag("TimeStamp").over(within)).where("before > TimeStamp")
+    edges = given.groupBy("batch", F.shiftright("place", 33).alias("piece")).agg(F.min("TimeStamp").alias("low"), F.max("TimeStamp").alias("high"))
+    pieces = edges.withColumn("before", F.lag("high").over(Window.orderBy("batch", "piece"))).where("before > low")
+    in_order = steps.isEmpty() and pieces.isEmpty()
+    counted = given.select("batch", part).groupBy(F.col("came").alias("batch")).agg(
+        F.count_if(F.col("batch") == F.col("came")).alias("came_and_given"), F.count_if(F.col("batch") > F.col("came")).alias("held_first")
+    )
+    late = ordered.late(spark).select(part).groupBy(F.col("came").alias("batch")).agg(F.count("*").alias("late"))
+    return counted.join(late, "batch", "full").select(
+        "batch", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("came_and_given", "held_first", "late")], F.lit(in_order).alias("in_order")
+    )
+
+
+SQL["ordered_stream"] = SQL["ordered_stream"].replace(
+    ")\nSELECT batch,",
+    f"""), marks AS (
+  SELECT batch, CASE WHEN batch = 4 THEN newest ELSE newest - {_DELAY} END AS until FROM (
+    SELECT b AS batch, max(ticks) AS newest FROM range(5) x(b), (
+      SELECT ticks, least(CAST(3 AS BIGINT), event_id * 4 // (SELECT max(event_id) + 1 FROM e)) AS batch FROM e
+    ) f WHERE f.batch <= b GROUP BY b)
+)\nSELECT batch,""",
+    1,
+)
+
+
+@query(
+    "pinned_rules",
+    """SELECT batch, CAST(count(*) AS BIGINT) AS n, CAST(sum(record_id) AS BIGINT) AS ids, CAST(1 + (batch = 1)::INT AS BIGINT) AS runs
+       FROM (SELECT *, record_id % 4 AS batch FROM r) WHERE CASE WHEN batch <= 1 THEN pid % 5 <> 1 ELSE pid % 5 = 2 END GROUP BY batch""",
+)
+def pinned_rules(spark, sf_dir):
+    """Rules change while a batch runs and then fails: run again, it sees the rules it began with."""
+    folder = live.shared_folder(spark, "pinned")
+    rules = PidRules(spark, f"{folder}/rules")
+    pids = sorted(r.user_id for r in sample.read_source(spark, sf_dir).select("user_id").distinct().collect())
+    rules.add("deny", *[p for p in pids if p % 5 == 1])
+    path = _arrivals(spark, sf_dir, F.col("record_id") % 4, 4)
+    runs: Counter[int] = Counter()
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        runs[batch_id] += 1
+        batch.write.mode("overwrite").parquet(f"{folder}/kept/batch={batch_id}")
+        if batch_id == 1 and runs[1] == 1:
+            rules.add("allow", *[p for p in pids if p % 5 == 2])
+            rules.compact()
+            raise InterruptedError("not this time")
+
+    for _ in range(2):
+        session = live.Capture(
+            read_events_stream(spark, path, 1), lambda raw: raw.select("record_id", "ProcessId"), save,
+            checkpoint=f"{folder}/checkpoint", trigger={"availableNow": True}, batch_filter=live_rules(rules.path),
+        )
+        session.start()
+        try:
+            session.wait()
+        except StreamingQueryException as e:
+            if "not this time" not in str(e):
+                raise
+    kept = spark.read.schema("record_id BIGINT, batch BIGINT").parquet(f"{folder}/kept")
+    counted = kept.groupBy("batch").agg(F.count("*").alias("n"), F.sum("record_id").alias("ids"))
+    return counted.withColumn("runs", F.element_at(F.create_map(*[F.lit(x).cast("bigint") for kv in runs.items() for x in kv]), F.col("batch")))
+
+
 # --- validation -----------------------------------------------------------------------
 
 

@@ -31,6 +31,7 @@ from traceframe.functions.reuse import per_application
 from traceframe.functions.text import is_int_text
 from traceframe.operators import cursor
 from traceframe.operators.manifest import Layout, Manifest, Property, attach_manifest, local_table
+from traceframe.workers import visible
 
 LENGTH_LIMIT = cursor.LENGTH_LIMIT
 
@@ -669,6 +670,7 @@ def decode_payload(manifest: Manifest, tasks=None, table_driven: bool | str | No
             staged["_folded"] = F.when(some & ~F.col("_by_cursor"), _fold_expression())
             ways.append("_folded")
         if by_cursor:
+            visible(df.sparkSession)
             # Payloads of other layouts do not travel to the cursor.
             own = F.when(some & F.col("_by_cursor"), F.col("UserData"))
             df = df.withColumn("_places", cursor.places(by_cursor)(own, F.col("layout_id"), F.col("_pointer")))

@@ -493,6 +493,97 @@ def typed_manifest(spark: SparkSession) -> Manifest:
 # --------------------------------------------------------------------------------------
 
 
+# --------------------------------------------------------------------------------------
+# a manifest of many layouts, and payloads with long arrays
+# --------------------------------------------------------------------------------------
+
+LAYOUTS_PROVIDER = "{3B9C6A10-54D2-4E8F-8C1B-6F0A7D2E9B43}"
+#: As many event kinds as the web client's catalog has tasks.
+LAYOUTS = 73
+LONG_ARRAYS = 200
+#: Events whose numbers make one record of long arrays.
+LONG = 10_000
+
+
+def layouts_manifest(spark: SparkSession) -> Manifest:
+    """Kind ``n`` has a number, ``n % 7`` strings, a list and a last byte; and the kind of :func:`long_raw_events`."""
+    p = LAYOUTS_PROVIDER
+    events = [(p, n, 0, "Trace-Layouts", f"Layout{n}", None, 0) for n in range(LAYOUTS)]
+    properties = []
+    for n in range(LAYOUTS):
+        properties += _properties(
+            p, n,
+            ("User", C.IN_UINT32, 0, _sized(4)),
+            *[(f"S{i}", C.IN_UNICODESTRING, C.OUT_STRING) for i in range(n % 7)],
+            ("Pair", C.IN_UINT16, 0, {"length": 2, "count": 2}),
+            ("Last", C.IN_UINT8, 0, _sized(1)),
+        )
+    counted = {"flags": C.PROP_PARAM_COUNT, "count_index": 0}
+    events.append((p, LONG_ARRAYS, 0, "Trace-Layouts", "LongArrays", None, 0))
+    properties += _properties(
+        p, LONG_ARRAYS,
+        ("Many", C.IN_UINT32, 0, _sized(4)),
+        ("Users", C.IN_UINT32, 0, {"length": 4, **counted}),
+        ("Names", C.IN_ANSISTRING, C.OUT_STRING, counted),
+        ("Parts", 0, 0, {"flags": C.PROP_STRUCT | C.PROP_PARAM_COUNT, "count_index": 0, "struct_start": 5, "struct_members": 2}),
+        ("Last", C.IN_UINT8, 0, _sized(1)),
+        ("User", C.IN_UINT32, 0, {"length": 4, "top_level": False}),
+        ("Name", C.IN_UNICODESTRING, C.OUT_STRING, {"top_level": False}),
+    )
+    return Manifest.of(spark, events, properties)
+
+
+def _no_items() -> Column:
+    return F.expr("filter(array(named_struct('ExtType', 0, 'DataSize', 0, 'Data', X'')), x -> false)")
+
+
+def layout_raw_events(events: DataFrame) -> DataFrame:
+    """One record per event, of kind ``event_id % LAYOUTS``."""
+    return with_helpers(events).select(*_layout_columns())
+
+
+@per_application
+def _layout_columns() -> list[Column]:
+    kind, user, k = F.col("event_id") % LAYOUTS, F.col("user_id"), F.col("k")
+    strings = F.transform(
+        F.when(kind % 7 > 0, F.sequence(F.lit(1).cast("bigint"), kind % 7)).otherwise(F.array().cast("array<bigint>")),
+        lambda i: F.hex(F.concat(utf16_bytes(F.concat_ws("-", F.lit("s"), (i - 1).cast("string"), user.cast("string"))), le_bytes(F.lit(0), 2))),
+    )
+    data = F.concat(
+        le_bytes(user, 4), F.unhex(F.array_join(strings, "")), le_bytes(k, 2), le_bytes(k + 1, 2), le_bytes(F.lit(9), 1)
+    )
+    return _record(
+        Flags=F.lit(C.FLAG_64_BIT_HEADER), ProviderId=F.lit(LAYOUTS_PROVIDER), Id=kind, ExtendedData=_no_items(), UserData=data
+    )
+
+
+def long_raw_events(events: DataFrame) -> DataFrame:
+    """A record of each ``LONG`` events in a row, with a list, a list of strings and one of structs."""
+    user = F.col("user_id")
+    one = F.struct(
+        "event_id",
+        F.hex(le_bytes(user, 4)).alias("number"),
+        F.hex(F.concat(_ansi(F.concat(F.lit("u"), user)), le_bytes(F.lit(0), 1))).alias("name"),
+        F.hex(F.concat(le_bytes(user, 4), utf16_bytes(F.concat(F.lit("p"), user)), le_bytes(F.lit(0), 2))).alias("part"),
+    )
+    # At most LONG events in a group.
+    groups = events.groupBy(F.floor(F.col("event_id") / LONG).alias("event_id")).agg(
+        F.array_sort(F.collect_list(one)).alias("all"), F.min("user_id").alias("user_id")
+    )
+    data = F.unhex(
+        F.concat(
+            F.hex(le_bytes(F.size("all"), 4)), F.array_join("all.number", ""), F.array_join("all.name", ""),
+            F.array_join("all.part", ""), F.lit("07"),
+        )
+    )
+    return groups.withColumn("ticks", F.lit(0)).select(
+        *_record(
+            Flags=F.lit(C.FLAG_64_BIT_HEADER), ProviderId=F.lit(LAYOUTS_PROVIDER), Id=F.lit(LONG_ARRAYS),
+            ExtendedData=_no_items(), UserData=data,
+        )
+    )
+
+
 def extended_raw_events(events: DataFrame) -> DataFrame:
     """Records that carry all extended items, some twice and some too short to read."""
     return with_helpers(events).select(*_extended_columns())

@@ -17,6 +17,8 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from traceframe.operators.manifest import local_table
 from traceframe.operators.sinks import format_event, to_console
+from traceframe.streaming import files
+from traceframe.streaming.callback import Delivery
 
 logger = logging.getLogger(__name__)
 
@@ -68,7 +70,8 @@ class Capture:
     ``transform`` turns raw records into events (a :class:`~traceframe.plans.trace.Trace`,
     or any function of a frame, which then replaces the built-in chain). ``on_batch``
     gets every micro-batch of events. ``batch_filter`` runs first in each micro-batch, on
-    raw records, for rules that may change meanwhile.
+    raw records, for rules that may change meanwhile (:func:`~traceframe.streaming.rules.live_rules`
+    keeps to one version of them when a batch is run again).
 
     A running query of the same name is reused as it is, and is not stopped by this
     session; with ``reuse=False`` it is an error. A named session's checkpoint is found
@@ -89,6 +92,7 @@ class Capture:
         batch_filter: Callable[[DataFrame], DataFrame] | None = None,
         reuse: bool = True,
         dead_letters: str | None = None,
+        counters_path: str | None = None,
     ):
         self.records, self.transform, self.on_batch = records, transform, on_batch
         self.name = name or f"capture-{uuid.uuid4()}"
@@ -96,7 +100,8 @@ class Capture:
         self.trigger = trigger or {"processingTime": "1 second"}
         self.batch_filter, self.reuse = batch_filter, reuse
         self.dead_letters = dead_letters
-        self.progress = ProgressLog()
+        self.counters_path = counters_path or shared_folder(records.sparkSession, "counters", name)
+        self.progress = ProgressLog(records.sparkSession, self.counters_path)
         self.query: StreamingQuery | None = None
         self.started_here = False
 
@@ -116,8 +121,11 @@ class Capture:
             # Rules are read per batch, so the whole chain runs inside the batch.
             stream = self.records
 
+            pinned = getattr(self.batch_filter, "for_batch", None)
+
             def step(batch: DataFrame, batch_id: int) -> None:
-                fn(self.transform(self.batch_filter(batch)), batch_id)
+                kept = pinned(batch, batch_id, self.checkpoint) if pinned else self.batch_filter(batch)
+                fn(self.transform(kept), batch_id)
 
         self.progress.name = self.name
         self.records.sparkSession.streams.addListener(self.progress)
@@ -164,8 +172,8 @@ class Capture:
         spark.streams.removeListener(self.progress)
 
     def counters(self) -> DataFrame:
-        """One row a batch of this session; see :data:`PROGRESS`."""
-        return local_table(self.records.sparkSession, self.progress.rows, PROGRESS)
+        """One row a batch of this capture, of earlier runs too; see :data:`PROGRESS`."""
+        return counters(self.records.sparkSession, self.counters_path)
 
     def __enter__(self) -> Capture:
         self.start()
@@ -207,15 +215,29 @@ PROGRESS = """
 """
 
 
+def counters(spark: SparkSession, path: str) -> DataFrame:
+    """The counters kept at ``path``, one row a batch: a batch that was run again has its last."""
+    stored = f"reported BIGINT, {PROGRESS}"
+    if not files.names(spark, path):
+        return local_table(spark, [], PROGRESS)
+    rows = spark.read.schema(stored).parquet(path)
+    names = [f.name for f in rows.schema if f.name != "batch_id"]
+    last = rows.groupBy("batch_id").agg(F.max(F.struct(*names)).alias("last"))
+    return last.select("batch_id", *[f"last.{n}" for n in names if n != "reported"])
+
+
 class ProgressLog(StreamingQueryListener):
-    """Counters of all batches of the query called ``name``: a few numbers each.
+    """Counters of all batches of the query called ``name``, a few numbers each, in a table at ``path``.
 
     ``dropped`` are rows that filters kept from the output; error counts need
-    :func:`observed` events.
+    :func:`observed` events. What has been reported is written in the background and then
+    forgotten here, so a long capture does not fill the driver.
     """
 
-    def __init__(self, name: str | None = None):
-        self.name, self.rows, self.last = name, [], -1
+    def __init__(self, spark: SparkSession, path: str, name: str | None = None):
+        self.spark, self.path, self.name, self.last = spark, path, name, -1
+        self.waiting: list[tuple] = []
+        self.lock = threading.Lock()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -230,22 +252,42 @@ class ProgressLog(StreamingQueryListener):
         seen = p.observedMetrics.get("trace")
         counts = seen.asDict() if seen is not None else {}
         events = counts.get("events")
-        self.rows.append(
-            (p.batchId, p.numInputRows, p.inputRowsPerSecond, p.processedRowsPerSecond, events,
-             None if events is None else p.numInputRows - events,
-             counts.get("record_errors"), counts.get("field_errors"))
+        row = (
+            time.time_ns(), p.batchId, p.numInputRows, p.inputRowsPerSecond, p.processedRowsPerSecond, events,
+            None if events is None else p.numInputRows - events,
+            counts.get("record_errors"), counts.get("field_errors"),
         )
-        self.last = p.batchId
+        with self.lock:
+            self.waiting.append(row)
+            self.last = p.batchId
+            alone = len(self.waiting) == 1
+        if alone:
+            threading.Thread(target=self.flush, daemon=True).start()
 
     def onQueryTerminated(self, event) -> None:
         pass
 
+    def flush(self) -> None:
+        """Write what waits. What cannot be written stays for the next time."""
+        with self.lock:
+            rows = list(self.waiting)
+            if not rows:
+                return
+            try:
+                table = local_table(self.spark, rows, f"reported BIGINT, {PROGRESS}")
+                table.coalesce(1).write.mode("append").parquet(self.path)
+            except Exception:
+                logger.exception("counters of %d batches are kept for later", len(rows))
+            else:
+                del self.waiting[: len(rows)]
+
     def wait_for(self, query: StreamingQuery, seconds: float = 30) -> None:
-        """Wait until the last batch of an ended query has been reported here."""
+        """Wait until the last batch of an ended query has been reported and written."""
         done = query.lastProgress
         end = time.monotonic() + seconds
         while done is not None and self.last < done.batchId and time.monotonic() < end:
             time.sleep(0.05)
+        self.flush()
 
 
 # --- sinks ----------------------------------------------------------------------------
@@ -263,6 +305,11 @@ def to_callback(
     )
 
 
+def to_event_callback(stream: DataFrame, handler, path: str, checkpoint: str, trigger: dict | None = None):
+    """Hand each event to ``handler`` on the executors; see :class:`~traceframe.streaming.callback.Delivery`."""
+    return to_callback(stream, Delivery(path, handler), checkpoint, trigger)
+
+
 def to_log_stream(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
     """Append event text to a log directory."""
     return (
