@@ -19,22 +19,22 @@ def library():
 
 
 @pytest.fixture(scope="module")
-def encoder():
+def own():
     return packing.Encoder(public_tokenizers.path(packing.VOCABULARY))
 
 
 @given(st.text(max_size=60))
 @settings(max_examples=300, deadline=None)
-def test_any_text_encodes_as_by_the_library(encoder, library, text):
+def test_any_text_encodes_as_by_the_library(own, library, text):
     text = text.encode("utf-8", "replace").decode()
-    assert encoder.ids(text, end=None).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert own.ids(text, end=None).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
 @given(st.lists(st.sampled_from(["a", "B!", "'s", "é", "é", "́", " ", "\n", "\x0b", "\x1c", "\x85", "　", "İ", "Σ", "É", "ß", "×", "ª", "²", "’", "'LL", "'", "\xa0", "文字", "<|endoftext|>", "12"])))
 @settings(max_examples=300, deadline=None)
-def test_odd_characters(encoder, library, some):
+def test_odd_characters(own, library, some):
     text = "".join(some)
-    assert encoder.ids(text, end=None).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert own.ids(text, end=None).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
 def test_parts_and_forgotten_units_change_nothing(library, monkeypatch):

@@ -7,8 +7,8 @@ too many is open, the fullest closes. A closed bin is a sequence. Bins still ope
 of a task are packed once more, as whole items, longest first, by the same rule in groups of about
 ``GROUP`` bins. Nothing is shuffled but those bins and their pieces.
 
-Tasks hold the pieces of their open bins (at most ``open_bins * capacity`` tokens) and one batch of
-documents. What a task packed is written to the shared folder before it is read again, so a
+Tasks hold the pieces of their open bins (at most ``open_bins * capacity`` tokens), one batch of
+documents, and ids of frequent pieces of text up to a bound. What a task packed is written to the shared folder before it is read again, so a
 lost executor cannot give two different packings.
 
 Defined cases: NULL and empty texts are the end id alone, one piece of length 1; a text of any
@@ -45,9 +45,10 @@ GROUP = 65_536
 BATCH = 1 << 20
 
 _WORDS = re.compile(r"[^ \n\t\r]+").findall
-# Texts of these characters alone are cut into the library's own pieces here, which repeat more often
-# than words: lower case and normal forms of them are the same everywhere.
-_OTHER = re.compile(r"[^ -~\n\t\rÀ-ÖØ-öø-ÿ‘’“”–—…]|<\|").search
+# Texts of plain characters alone are cut into the library's own pieces here, which repeat more often
+# than words: lower case and normal forms of them are the same everywhere. Other characters, and the
+# beginnings of special tokens, show in the pieces.
+_OTHER = re.compile(r"[^!-~ß-öø-ÿ‘’“”–—…]|<\|").search
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \n\t\ra-zß-öø-ÿ0-9]+").findall
 
 
@@ -62,6 +63,8 @@ def _tokenizers(path: str):
     return whole, bare
 
 
+#: Pieces whose ids a worker remembers for as long as it lives, some 100 MB.
+REMEMBERED = 1_000_000
 #: Pieces encoded as one text. Fewer cost more a piece, and so do very many.
 TOGETHER = 50
 
@@ -75,14 +78,19 @@ class Encoder:
         self.kind = np.uint16 if max(names.values()) < 1 << 16 else np.uint32
         self.last = np.zeros(max(names.values()) + 1, bool)
         self.last[[i for t, i in names.items() if t.endswith("</w>")]] = True
-        self.words, self.pieces = Units(self._encode), Units(self._encode_pieces)
+        self.words, self.pieces = Units(self._encode, REMEMBERED // 4), Units(self._encode_pieces, REMEMBERED)
+        self.odd = b"\xff" * 3  # no piece is encoded as this: it is no whole number of ids
 
     def _encode(self, some: list[str]) -> list[bytes]:
         found = self.whole.encode_batch(some, add_special_tokens=False)
         return [np.array(x.ids, self.kind).tobytes() for x in found]
 
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Many pieces as one text; a piece ends with the token that ends a word."""
+        """Many pieces as one text; a piece ends with the token that ends a word. ``odd`` for others than plain ones."""
+        plain = [p for p in pieces if not _OTHER(p)]
+        if len(plain) < len(pieces):
+            made = dict(zip(plain, self._encode_pieces(plain), strict=True)) if plain else {}
+            return [made.get(p, self.odd) for p in pieces]
         texts = [" ".join(pieces[i : i + TOGETHER]) for i in range(0, len(pieces), TOGETHER)]
         found = self.bare.encode_batch(texts, add_special_tokens=False)
         ids = np.concatenate([np.array(x.ids, self.kind) for x in found])
@@ -95,12 +103,18 @@ class Encoder:
     def ids(self, text: str, end: int | None = END) -> np.ndarray:
         found = []
         for part in parts(text):
-            found += self.words(_WORDS(part)) if _OTHER(part) else self.pieces(_PIECES(part.lower()))
+            made = self.pieces(_PIECES(part.lower()))
+            found += self.words(_WORDS(part)) if self.odd in made else made
         if end is not None:
             found.append(np.array([end], self.kind).tobytes())
         return np.frombuffer(b"".join(found), self.kind).astype(np.int32)
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
+
+
 class Bins:
     """Open bins, found by their free space."""
 
@@ -168,11 +182,11 @@ def pack(
     kind = given.schema["id"].dataType.simpleString()
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, bins = Encoder(path), Bins(capacity, open_bins, _first(0))
+        encode, bins = encoder(path).ids, Bins(capacity, open_bins, _first(0))
         out, tokens = [], 0
         for batch in batches:
             for key, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids = encoder.ids(text.as_py() or "", end)
+                ids = encode(text.as_py() or "", end)
                 for n, start in enumerate(range(0, len(ids), capacity)):
                     some = ids[start : start + capacity]
                     some = some if len(some) == len(ids) else some.copy()

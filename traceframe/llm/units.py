@@ -1,8 +1,8 @@
 """Token ids of many short strings by a tokenizer library, each string encoded once while remembered.
 
 Texts are cut where both the library's own splitting and its merges always begin anew, so the ids
-of a text are those of its units in a row. What is remembered lives as long as a task, in two
-generations of a fixed number of units; longer strings are encoded each time.
+of a text are those of its units in a row. What is remembered is bounded: two
+generations of a fixed number of units. Longer strings are encoded each time.
 """
 
 from __future__ import annotations
@@ -38,9 +38,12 @@ class Units:
     def __call__(self, units: list[str]) -> list:
         self.new.asked = []
         found = list(map(self.new.__getitem__, units))
-        if self.new.asked:
-            long = self._learn(dict.fromkeys(self.new.asked))
-            found = list(map(self.new.__getitem__, units))
+        asked = self.new.asked
+        if asked:
+            long, at = self._learn(dict.fromkeys(asked)), -1
+            for u in asked:
+                at = found.index(None, at + 1)
+                found[at] = self.new[u]
             for u in long:
                 del self.new[u]
             if len(self.new) > self.most:
