@@ -215,3 +215,37 @@ def test_metadata_must_be_small(spark):
     assert len(bounded_rows(spark.range(5), 5, "t")) == 5
     with pytest.raises(ValueError):
         bounded_rows(spark.range(6), 5, "t")
+
+
+def test_lives_of_processes(spark, raw, monkeypatch):
+    """Touching, overlapping and repeated lives are one; ends are not part of a life; NULLs are open."""
+    rows = [
+        (1, "a.exe", None, 10), (1, "a.exe", 10, 20), (1, "a.exe", 15, 18), (1, "a.exe", 15, 18), (1, "b.exe", 20, 30), (1, "a.exe", 40, None),
+        (2, "a.exe", 5, 5), (None, "a.exe", None, None), (3, "a.exe", 7, 9), (3, "a.exe", 11, 12),
+    ]
+    processes = spark.createDataFrame(rows, "pid bigint, image_name string, start_time bigint, end_time bigint")
+    found = sorted(tuple(r) for r in descriptors.lives(processes.where("image_name = 'a.exe'")).collect())
+    assert found == [(1, -(1 << 63), 20), (1, 40, (1 << 63) - 1), (3, 7, 9), (3, 11, 12)]
+    df = raw.limit(1).drop("ProcessId", "TimeStamp", "record_id")
+    stamps = [(0, 1, 0), (1, 1, 19), (2, 1, 20), (3, 1, 40), (4, 2, 5), (5, 3, 10), (6, 3, 11), (7, None, 8), (8, 1, None), (9, 9, 8)]
+    times = spark.createDataFrame(stamps, "record_id bigint, ProcessId bigint, TimeStamp bigint")
+    made = times.join(df, F.lit(True)).select(raw.columns)
+    one = descriptors.exe_descriptor(["a.exe"], processes)
+    none = lambda d: sorted(r.record_id for r in d.collect())
+    assert none(one(made)) == [0, 1, 3, 6]
+    provider = made.first().ProviderId
+    assert none(made.transform(descriptors.provider_params(provider, [one]))) == [0, 1, 3, 6]
+    assert none(made.transform(descriptors.provider_params(C.NULL_GUID, [one]))) == list(range(10))
+    assert "BroadcastHashJoin" in plan(made.transform(descriptors.provider_params(provider, [one])))
+    # More lives than may be broadcast: those that occur are, or else all records are shuffled; same result.
+    for most in (3, 1):
+        monkeypatch.setattr(descriptors, "MAX_LIVES", most)
+        assert none(one(made)) == [0, 1, 3, 6]
+
+
+def test_events_in_memory_are_held(spark, raw, manifest):
+    from traceframe.operators.sinks import to_memory
+
+    table = to_memory(raw.transform(Trace(manifest)), "held_events")
+    assert spark.catalog.isCached("held_events") and table.count() == raw.count()
+    spark.catalog.uncacheTable("held_events")

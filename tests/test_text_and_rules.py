@@ -50,6 +50,27 @@ def test_event_dump(spark, tmp_path):
     assert log["Date"] == "again" and log["ProxyList"] == "" and log["no colon here"] is None
 
 
+def test_header_lines_belong_to_their_field(spark, tmp_path):
+    text = DUMP.replace("ProxyList:\n", "ResponseHeaders: HTTP/1.1 301\nStatus-Line: x\n_Hidden: 7\nStatus: 5\nOther: 6\nResponseHeaders: again\n")
+    fields = ["URL", "Verb", "RequestHeaders", "ResponseHeaders", "Status"]
+    names = [("WININET_USAGELOGREQUESTSTART", f) for f in fields] + [("WININET_DNS_QUERYSTART", "HostName")]
+    catalog = spark.createDataFrame(names, "task string, field string")
+    path = tmp_path / "headers.txt"
+    path.write_text(text)
+    events = {r.task_name: r.payload for r in read_event_dump(spark, str(path), catalog=catalog).collect()}
+    plain = {r.task_name: r.payload for r in dump(spark, tmp_path, text).collect()}
+    assert events["WININET_USAGELOGREQUEST"] == {
+        "URL": "http://www.gmail.com/", "Verb": "GET",
+        "RequestHeaders": "GET / HTTP/1.1\nUser-Agent: TestAgent\nDate: Fri, 10 Feb 2017 09:46:05 GMT\nDate: again",
+        "_Hidden": "7", "Status": "5", "Other": "6", "ResponseHeaders": "again\nno colon here",
+    }
+    # Tasks without headers, and tasks that the catalog does not list, are read as before.
+    del events["WININET_USAGELOGREQUEST"], plain["WININET_USAGELOGREQUEST"]
+    assert events == plain and len(events) == 3
+    none = read_event_dump(spark, str(path), catalog=catalog.limit(0)).where("task_name = 'WININET_USAGELOGREQUEST'").first()
+    assert none.payload["User-Agent"] == "TestAgent"
+
+
 def test_event_dump_with_carriage_returns(spark, tmp_path):
     path = tmp_path / "crlf.txt"
     path.write_bytes(b"TASK\r\nA: 1\r\n\n\n\nOTHER\r\nB: 2\r\n")

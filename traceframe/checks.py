@@ -331,6 +331,26 @@ SQL["event_dump_text"] = _DUMP + """
   FROM d"""
 
 
+@query(
+    "event_dump_headers",
+    """SELECT event_id AS record_id, CAST(6 AS INT) AS n_fields, 'http://h' || k || '.example/' AS url,
+         'GET / HTTP/1.1' || chr(10) || 'User-Agent: agent' || user_id || CASE WHEN k % 2 = 0 THEN chr(10) || 'Host: h' || k ELSE '' END AS request_headers,
+         'HTTP/1.1 ' || (200 + k) || chr(10) || 'Date: Fri, 10 Feb 2017 09:46:05 GMT' || chr(10) || 'Date: again' || chr(10) || 'no colon here' AS response_headers,
+         CAST(k AS VARCHAR) AS status FROM e""",
+)
+def event_dump_headers(spark, sf_dir):
+    """Header lines stay in the value of their field, which the field catalog knows."""
+    task = "WININET_USAGELOGREQUESTSTOP"
+    fields = ("URL", "Verb", "RequestHeaders", "ResponseHeaders", "Status", "Spare")
+    catalog = local_table(spark, [(task, i, f) for i, f in enumerate(fields)], "task STRING, ordinal INT, field STRING")
+    blocks = sample.header_blocks(sample.read_source(spark, sf_dir))
+    payload = F.col("payload")
+    return parse_event_dump(blocks, catalog=catalog).select(
+        "record_id", F.size("payload").alias("n_fields"), payload["URL"].alias("url"), payload["RequestHeaders"].alias("request_headers"),
+        payload["ResponseHeaders"].alias("response_headers"), payload["Status"].alias("status"),
+    )
+
+
 def _written(spark: SparkSession, blocks: DataFrame, name: str, end: str) -> str:
     """Text files of the blocks, with the given line end and a separator line with a blank now and then."""
     path = os.path.join(live.shared_folder(spark, name), "text")
@@ -660,6 +680,26 @@ query("package_app_descriptor", _KEPT + "WHERE pid % 6 IN (0, 5)")(
 )
 
 
+_LIVES = """SELECT record_id, provider AS provider_id FROM r, (SELECT (min(ticks) + max(ticks)) // 2 AS half FROM r)
+  WHERE {0} (pid + (ticks >= half)::INT) % {1}"""
+
+
+@query("executable_descriptor_by_time", _LIVES.format("", "10 IN (1, 8)"))
+def executable_descriptor_by_time(spark, sf_dir):
+    """Process ids that are used again: the image that an id stands for depends on the time."""
+    lives = sample.process_lives(sample.read_source(spark, sf_dir))
+    kept = _raw(spark, sf_dir).transform(desc.exe_descriptor(["proc1.exe", "proc8.exe"], lives))
+    return kept.select("record_id", F.col("ProviderId").alias("provider_id"))
+
+
+@query("package_descriptor_by_time", _LIVES.format(f"provider <> '{C.PROCESS_PROVIDER}' OR", "4 = 2"))
+def package_descriptor_by_time(spark, sf_dir):
+    """The same for one provider's events; those of others pass."""
+    lives = sample.process_lives(sample.read_source(spark, sf_dir))
+    one = desc.provider_params(C.PROCESS_PROVIDER, [desc.package_descriptor(["pkg2"], lives)])
+    return _raw(spark, sf_dir).transform(one).select("record_id", F.col("ProviderId").alias("provider_id"))
+
+
 @query(
     "payload_filter",
     "SELECT record_id, cents AS amount FROM r WHERE event_type = 'purchase' AND cents >= 2000 AND k % 2 = 1",
@@ -1187,6 +1227,36 @@ def log_file(spark, sf_dir):
     return lines.groupBy(F.col("value").alias("head")).agg(F.count("*").alias("n"))
 
 
+@query(
+    "log_of_batches",
+    """SELECT CAST(record_id % 4 AS BIGINT) AS batch, id || ' (' || task || ')' AS head, CAST(count(*) AS BIGINT) AS n FROM t GROUP BY 1, 2""",
+)
+def log_of_batches(spark, sf_dir):
+    """A log by batch: the second batch fails after it was logged, and is run again."""
+    folder = live.shared_folder(spark, "batch-log")
+    path, log, fails = _arrivals(spark, sf_dir, F.col("record_id") % 4, 4), sinks.BatchLog(f"{folder}/log"), [True]
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        log(batch, batch_id)
+        if batch_id == 1 and fails.pop():
+            fails.append(False)
+            raise InterruptedError("not this time")
+
+    for _ in range(2):
+        session = live.Capture(
+            read_events_stream(spark, path, 1), Trace(_manifest(spark)), save, checkpoint=f"{folder}/checkpoint",
+            trigger={"availableNow": True},
+        )
+        session.start()
+        try:
+            session.wait()
+        except StreamingQueryException as e:
+            if "not this time" not in str(e):
+                raise
+    lines = log.lines(spark).where(F.col("value").rlike(r"^[0-9]+ \("))
+    return lines.groupBy("batch", F.col("value").alias("head")).agg(F.count("*").alias("n"))
+
+
 @query("events_in_memory", "SELECT task AS task_name, CAST(count(*) AS BIGINT) AS n FROM t GROUP BY 1")
 def events_in_memory(spark, sf_dir):
     table = sinks.to_memory(_decoded(spark, sf_dir), "captured_events")

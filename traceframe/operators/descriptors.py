@@ -8,7 +8,7 @@ may be of any kind.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from traceframe import constants as C
@@ -38,6 +38,56 @@ class Descriptor:
         return self.apply(df, F.lit(True))
 
 
+#: Lives of processes that may be broadcast, some 50 MB. Of more, only those that occur in the trace are.
+MAX_LIVES = 1_000_000
+
+
+def lives(processes: DataFrame) -> DataFrame:
+    """``_member``, ``_from`` and ``_to``: when a process id stood for one of these processes.
+
+    Lives of one id that touch or overlap are one, so a record is in one of them at most. An open
+    start or end is NULL; ``_to`` is not part of the life. Ids are reused, so an id has many.
+    """
+    least, most = F.lit(-(1 << 63)), F.lit((1 << 63) - 1)
+    rows = processes.where("pid IS NOT NULL").select(
+        F.col("pid").alias("_member"), F.coalesce(F.col("start_time").cast("bigint"), least).alias("_from"),
+        F.coalesce(F.col("end_time").cast("bigint"), most).alias("_to"),
+    ).where("_from < _to").distinct()
+    by_id = Window.partitionBy("_member").orderBy("_from", "_to")
+    before = F.max("_to").over(by_id.rowsBetween(Window.unboundedPreceding, -1))
+    numbered = rows.withColumn("_new", F.when(before >= F.col("_from"), 0).otherwise(1))
+    numbered = numbered.withColumn("_life", F.sum("_new").over(by_id))
+    return numbered.groupBy("_member", "_life").agg(F.min("_from").alias("_from"), F.max("_to").alias("_to")).drop("_life")
+
+
+class Lives(Descriptor):
+    """Rows of processes that are known by id and time: ``pid``, ``start_time``, ``end_time``."""
+
+    def __init__(self, processes: DataFrame):
+        self.lives = lives(processes)
+
+    def _few(self, df: DataFrame) -> DataFrame:
+        """The lives, to be broadcast if their number allows; records are not shuffled for them then."""
+        if not self.lives.offset(MAX_LIVES).isEmpty():
+            ids = df.select("ProcessId").distinct()
+            occur = self.lives.join(ids, F.col("_member") == F.col("ProcessId"), "left_semi")
+            return occur if not occur.offset(MAX_LIVES).isEmpty() else F.broadcast(occur)
+        return F.broadcast(self.lives)
+
+    @staticmethod
+    def _lived() -> Column:
+        return (
+            (F.col("ProcessId") == F.col("_member")) & (F.col("TimeStamp") >= F.col("_from")) & (F.col("TimeStamp") < F.col("_to"))
+        )
+
+    def apply(self, df: DataFrame, scope: Column) -> DataFrame:
+        found = df.join(self._few(df.where(scope)), self._lived() & scope, "left")
+        return found.where(F.coalesce(~scope, F.lit(True)) | F.col("_member").isNotNull()).select(df.columns)
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return df.join(self._few(df), self._lived(), "left_semi")
+
+
 class Members(Descriptor):
     """Rows of the processes in a table."""
 
@@ -109,8 +159,11 @@ def package_app_descriptor(ids, processes: DataFrame):
 
 
 def _by_process(column: str, values, processes: DataFrame):
-    """Semi join to the matching processes; Spark broadcasts them by their size."""
-    return Members(processes.where(F.col(column).isin(*values)).select("pid"))
+    """The processes that match, by id, or by id and time where the table has ``start_time`` and ``end_time``."""
+    chosen = processes.where(F.col(column).isin(*values))
+    if {"start_time", "end_time"} <= set(processes.columns):
+        return Lives(chosen)
+    return Members(chosen.select("pid"))
 
 
 def payload_filter(condition: Column | str) -> Descriptor:

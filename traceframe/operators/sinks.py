@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -44,6 +44,24 @@ def to_log(df: DataFrame, path: str) -> None:
     lines.write.mode("append").text(path)
 
 
+class BatchLog:
+    """A log directory that holds the event text of each numbered batch once: a batch function.
+
+    A batch that is run again replaces its own lines.
+    """
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        lines = format_event(batch).select(F.concat("line", F.lit("\n")).alias("value"))
+        lines.write.mode("overwrite").text(f"{self.path}/batch={batch_id}")
+
+    def lines(self, spark: SparkSession) -> DataFrame:
+        """All lines, with their ``batch``."""
+        return spark.read.schema("value STRING, batch BIGINT").text(self.path)
+
+
 def to_console(df: DataFrame) -> None:
     """Print every event; the driver holds one partition at a time."""
     for row in format_event(df).select("line").toLocalIterator():
@@ -51,6 +69,10 @@ def to_console(df: DataFrame) -> None:
 
 
 def to_memory(df: DataFrame, name: str) -> DataFrame:
-    """Make the events queryable by name in this session."""
+    """Keep the events in the executors' memory (and on their disks), queryable by name in this session.
+
+    They are decoded once, on first use. ``spark.catalog.uncacheTable(name)`` lets them go.
+    """
     df.createOrReplaceTempView(name)
+    df.sparkSession.catalog.cacheTable(name)
     return df.sparkSession.table(name)

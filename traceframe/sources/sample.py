@@ -249,6 +249,23 @@ def process_table(events: DataFrame) -> DataFrame:
     )
 
 
+def process_lives(events: DataFrame) -> DataFrame:
+    """Process ids that are used again: at half of the trace's time each stands for the next image and package."""
+    first, last = with_helpers(events).agg(F.min("ticks"), F.max("ticks")).first()
+    half = F.lit(None if first is None else (first + last) // 2).cast("bigint")
+    users = events.select("user_id").distinct()
+
+    def life(n: int, start: Column, end: Column) -> DataFrame:
+        user = F.col("user_id") + n
+        return users.select(
+            F.col("user_id").alias("pid"), F.concat(F.lit("proc"), user % 10, F.lit(".exe")).alias("image_name"),
+            F.concat(F.lit("pkg"), user % 4).alias("package_id"), start.alias("start_time"), end.alias("end_time"),
+        )
+
+    none = F.lit(None).cast("bigint")
+    return life(0, none, half).unionByName(life(1, half, none))
+
+
 # --------------------------------------------------------------------------------------
 # one event kind per family of payload types
 # --------------------------------------------------------------------------------------
@@ -626,6 +643,19 @@ def _extended_columns() -> list[Column]:
 # --------------------------------------------------------------------------------------
 
 
+def header_blocks(events: DataFrame) -> DataFrame:
+    """One text block per row of ``events`` whose headers have lines that look like fields."""
+    user, k = F.col("user_id").cast("string"), F.col("k").cast("string")
+    lines = [
+        F.lit("WININET_USAGELOGREQUEST"), F.concat(F.lit("URL: http://h"), k, F.lit(".example/")), F.lit("Verb: GET"),
+        F.lit("RequestHeaders: GET / HTTP/1.1"), F.concat(F.lit("User-Agent: agent"), user),
+        F.when(F.col("k") % 2 == 0, F.concat(F.lit("Host: h"), k)), F.lit("_StatusLength: 3"),
+        F.concat(F.lit("ResponseHeaders: HTTP/1.1 "), F.col("k") + 200), F.lit("Date: Fri, 10 Feb 2017 09:46:05 GMT"),
+        F.lit("Date: again"), F.lit("no colon here"), F.concat(F.lit("Status: "), k),
+    ]
+    return with_helpers(events).select(F.col("event_id").alias("record_id"), F.concat_ws("\n", *lines).alias("value"))
+
+
 def dump_blocks(events: DataFrame) -> DataFrame:
     """One text block of a web-client event dump per row of ``events``."""
     source = with_helpers(events)
