@@ -469,42 +469,119 @@ def _row_text(digits: Column, unit: Column) -> Column:
     return F.when(unit == 2, text.wide_text(digits)).otherwise(text.narrow_text(digits))
 
 
-def _row_number(data: Column, at: Column, width: Column, value: Column, prop, label) -> Column:
+@dataclass(frozen=True)
+class Kinds:
+    """What occurs among some property rows, so that expressions hold no more than that."""
+
+    readers: frozenset
+    forms: frozenset
+    units: frozenset
+    conversions: frozenset
+    labelled: bool
+    repeated: bool
+
+    @classmethod
+    def of(cls, rows) -> Kinds:
+        rows = list(rows)
+        return cls(
+            frozenset(r["reader"] for r in rows if r["kind"] != "struct" and r["reader"]),
+            frozenset(r["form"] for r in rows if r["form"]),
+            frozenset(r["unit"] for r in rows if r["reader"] in _TEXT_READERS),
+            frozenset(r["conversion"] for r in rows if r["conversion"]),
+            any(r["entries"] for r in rows),
+            any(r["kind"] != "plain" for r in rows),
+        )
+
+
+_TEXT_READERS = ("string", "char", "counted", "reversed", "rest")
+
+
+def _one_of(selector: Column, present, cases: dict[str, Callable[[], Column]], otherwise: Column | None = None) -> Column:
+    """A ``CASE`` over those cases that are present; none if there is only one."""
+    made = [(name, make()) for name, make in cases.items() if name in present]
+    if not made:
+        return F.lit(None).cast("string") if otherwise is None else otherwise
+    if len(made) == 1 and otherwise is None:
+        return made[0][1]
+    out = None
+    for name, value in made:
+        out = F.when(selector == name, value) if out is None else out.when(selector == name, value)
+    return out if otherwise is None else out.otherwise(otherwise)
+
+
+def _number_shows(data: Column, at: Column, width: Column, value: Column) -> dict[str, Callable[[], Column]]:
     shift = (F.lit(8) - width) * 8
-    signed = F.call_function("shiftright", F.call_function("shiftleft", value, shift), shift)
-    plain = (
-        F.when(prop.form == "unsigned", bits.unsigned_text(value))
-        .when(prop.form == "signed", signed.cast("string"))
-        .when(prop.form == "hex", bits.hex_text(value))
-        .when(prop.form == "truth", _truth(value))
-        .when(prop.form == "port", bits.be_uint(data, at, 2).cast("string"))
-        .when(prop.form == "ipv4", text.ipv4_text(data, at))
-        .when(prop.form == "time", text.filetime_text(value))
-        .when(prop.form == "float", bits.ieee_float(value).cast("string"))
-        .when(prop.form == "double", bits.ieee_double(value).cast("string"))
-    )
-    return F.coalesce(label(value), plain)
 
+    def signed() -> Column:
+        return F.call_function("shiftright", F.call_function("shiftleft", value, shift), shift).cast("string")
 
-def show_row(data: Column, at: Column, size: Column, prop, label) -> Column:
+    return {
+        "unsigned": lambda: bits.unsigned_text(value),
+        "signed": signed,
+        "hex": lambda: bits.hex_text(value),
+        "truth": lambda: _truth(value),
+        "port": lambda: bits.be_uint(data, at, 2).cast("string"),
+        "ipv4": lambda: text.ipv4_text(data, at),
+        "time": lambda: text.filetime_text(value),
+        "float": lambda: bits.ieee_float(value).cast("string"),
+        "double": lambda: bits.ieee_double(value).cast("string"),
+    }
+
+
+def show_row(data: Column, at: Column, size: Column, prop, label, kinds: Kinds) -> Column:
     """The text of one field whose place and size are known."""
-    digits = F.hex(bits.slice_bytes(data, at, size))
+    numbers = set(_number_shows(data, at, size, size))
+
+    def number() -> Column:
+        def show(value: Column) -> Column:
+            plain = _one_of(prop.form, kinds.forms & numbers, _number_shows(data, at, size, value))
+            return F.coalesce(label(value), plain) if kinds.labelled else plain
+
+        return bits.let(bits.le_uint(data, at, size), show)
+
+    def shown_text() -> Column:
+        def show(digits: Column) -> Column:
+            if len(kinds.units) == 1:
+                return _show_text(digits, 2 in kinds.units)
+            return _row_text(digits, prop.unit)
+
+        return bits.let(F.hex(bits.slice_bytes(data, at, size)), show)
+
     source = Source(data, at, size, size, F.lit(8))
-    number = bits.let(bits.le_uint(data, at, size), lambda v: _row_number(data, at, size, v, prop, label))
-    return (
-        F.when(prop.reader == "number", number)
-        .when(
-            prop.reader.isin("string", "char", "counted", "reversed", "rest"),
-            bits.let(digits, lambda d: _row_text(d, prop.unit)),
-        )
-        .when(prop.reader == "fixed", F.when(prop.form == "guid", guid_text(data, at)).otherwise(text.systemtime_text(data, at)))
-        .when(prop.reader == "sid", text.sid_text(data, at))
-        .when(prop.form == "ipv6", text.ipv6_text(data, at))
-        .when(prop.form == "socket", _socket(source))
-        .otherwise(digits)
+    digits = F.hex(bits.slice_bytes(data, at, size))
+    fixed = {"guid": lambda: guid_text(data, at), "clock": lambda: text.systemtime_text(data, at)}
+    binary = {"ipv6": lambda: text.ipv6_text(data, at), "socket": lambda: _socket(source), "hex": lambda: digits}
+    cases = {
+        "number": number,
+        "text": shown_text,
+        "fixed": lambda: _one_of(prop.form, kinds.forms, fixed),
+        "sid": lambda: text.sid_text(data, at),
+        "binary": lambda: _one_of(prop.form, kinds.forms, binary),
+        "hexdump": lambda: digits,
+    }
+    present = {"text" if r in _TEXT_READERS else r for r in kinds.readers}
+    reader = F.when(prop.reader.isin(*_TEXT_READERS), "text").otherwise(prop.reader) if "text" in present else prop.reader
+    if len(present) < 2:
+        return _one_of(reader, present, cases)
+    return bits.let(reader, lambda r: _one_of(r, present, cases))
+
+
+def convert_shown(shown: Column, conversion: Column, kinds: Kinds) -> Column:
+    """The declared conversion of a text that it does not fail on."""
+    if not kinds.conversions:
+        return shown
+    outs = {"int": C.OUT_INT, "float": C.OUT_FLOAT, "truth": C.OUT_BOOLEAN}
+    return bits.let(
+        shown,
+        lambda s: _one_of(conversion, kinds.conversions, {n: lambda o=o: convert(s, o)[0] for n, o in outs.items()}, otherwise=s),
     )
 
 
+def _row_number(data: Column, at: Column, width: Column, value: Column, prop, label) -> Column:
+    shows = _number_shows(data, at, width, value)
+    return F.coalesce(label(value), _one_of(prop.form, shows, shows))
+
+
 def read_row(src: Source, prop, label) -> Column:
     """One field as ``READ_TYPE`` by its property row; NULL when its bytes are missing."""
     data, at, left, unit = src.data, src.offset, src.left, prop.unit

@@ -27,8 +27,12 @@ from pyspark.sql import functions as F
 #: A carried or referenced length above this cannot fit any payload.
 LENGTH_LIMIT = 1 << 27
 
-SPAN = "struct<p:int,at:int,size:int>"
-PLACES = f"struct<entries:array<struct<p:int,at:int,size:int,elements:array<array<{SPAN}>>>>,bad:boolean,missing:boolean>"
+# ``spans``: property, place and size of every field and member in their order; at -1 has no value.
+# ``entries``: shown fields, each with its span, or with the spans of its elements' members.
+PLACES = (
+    "struct<spans:array<struct<p:int,at:int,size:int>>,entries:array<struct<p:int,first:int,elements:array<array<int>>>>,"
+    "bad:boolean,missing:boolean>"
+)
 
 _LONG = 1 << 63
 # What the integer rules accept: blanks around, a sign, digits in groups.
@@ -447,26 +451,44 @@ class Places:
         order = np.lexsort((p, row))
         row, p, at, size, nested = row[order], p[order], at[order], size[order], nested[order].astype(bool)
         s_row, s_p, s_el, s_member, s_at, s_size = _joined(self.spans, 6)
-        order = np.lexsort((s_member, s_el, s_p, s_row))
-        s_row, s_p, s_el, s_member, s_at, s_size = (x[order] for x in (s_row, s_p, s_el, s_member, s_at, s_size))
-        spans = _struct(["p", "at", "size"], [s_member, s_at, s_size])
-        # A new element wherever row, property or element change; its entry wherever row or property do.
-        new = np.ones(len(s_row), bool)
-        new[1:] = (s_row[1:] != s_row[:-1]) | (s_p[1:] != s_p[:-1]) | (s_el[1:] != s_el[:-1])
-        begins = np.flatnonzero(new)
-        elements = pa.ListArray.from_arrays(pa.array(np.append(begins, len(s_row)), pa.int32()), spans)
-        key = s_row[begins].astype(np.int64) << 32 | s_p[begins].astype(np.int64)
+        # Spans of fields and of members in one order: by row, field, element, member.
+        alone = ~nested
+        none = np.zeros(int(alone.sum()), np.int64)
+        keys = [np.concatenate(x) for x in ((none, s_member), (none, s_el), (p[alone], s_p), (row[alone], s_row))]
+        order = np.lexsort(tuple(keys))
+        member, el, field, of = (k[order] for k in keys)
+        what = np.concatenate([p[alone], s_member])[order]
+        spans = _struct(["p", "at", "size"], [what, np.concatenate([at[alone], s_at])[order], np.concatenate([size[alone], s_size])[order]])
+        per_row = np.bincount(of, minlength=self.rows) if len(of) else np.zeros(self.rows, np.int64)
+        begin = np.cumsum(per_row) - per_row
+        place = np.arange(len(of)) - begin[of]  # within its row
+        # A new element wherever row, field or element change; its entry wherever row or field do.
+        new = np.ones(len(of), bool)
+        new[1:] = (of[1:] != of[:-1]) | (field[1:] != field[:-1]) | (el[1:] != el[:-1])
+        starts = np.flatnonzero(new)
+        key = of[starts].astype(np.int64) << 32 | field[starts].astype(np.int64)
         own = row.astype(np.int64) << 32 | p.astype(np.int64)
-        counts = np.where(nested, np.searchsorted(key, own, "right") - np.searchsorted(key, own, "left"), 0)
-        ends = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
-        lists = pa.ListArray.from_arrays(ends, elements, mask=pa.array(~nested))
-        places = [pa.array(x, pa.int32()) for x in (p, at, size)]
-        entries = pa.StructArray.from_arrays([*places, lists], ["p", "at", "size", "elements"])
-        by_row = pa.array(np.append(0, np.cumsum(np.bincount(row, minlength=self.rows))), pa.int32())
+        first = np.searchsorted(key, own, "left")
+        if nested.any():
+            elements = pa.ListArray.from_arrays(pa.array(np.append(starts, len(of)), pa.int32()), pa.array(place, pa.int32()))
+            # Elements of plain fields are in no list: take those of nested ones.
+            counts = np.where(nested, np.searchsorted(key, own, "right") - first, 0)
+            taken = np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+            ends = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
+            lists = pa.ListArray.from_arrays(ends, elements.take(pa.array(taken, pa.int64())), mask=pa.array(alone))
+        else:
+            lists = pa.nulls(len(row), pa.list_(pa.list_(pa.int32())))
+        at_first = place[starts[first]] if len(starts) else np.zeros(0, np.int64)
+        entries = pa.StructArray.from_arrays([pa.array(p, pa.int32()), pa.array(at_first, pa.int32()), lists], ["p", "first", "elements"])
+        by_row = np.bincount(row, minlength=self.rows) if len(row) else np.zeros(self.rows, np.int64)
+        ends = [pa.array(np.append(0, np.cumsum(n)), pa.int32()) for n in (per_row, by_row)]
         return pa.StructArray.from_arrays(
-            [pa.ListArray.from_arrays(by_row, entries), pa.array(self.bad), pa.array(self.missing)],
-            ["entries", "bad", "missing"],
-        )
+            [
+                pa.ListArray.from_arrays(ends[0], spans), pa.ListArray.from_arrays(ends[1], entries),
+                pa.array(self.bad), pa.array(self.missing),
+            ],
+            ["spans", "entries", "bad", "missing"],
+        )
 
 
 def _joined(parts: list[tuple[np.ndarray, ...]], width: int) -> list[np.ndarray]:

@@ -567,32 +567,43 @@ def _table_driven(record: _Record, properties: Column) -> Column:
     )
 
 
-def _placed(record: _Record, places: Column, properties: Column) -> Column:
+def _placed(record: _Record, places: Column, properties: Column, kinds: fields.Kinds) -> Column:
     """Texts and names of the places that the cursor has found."""
 
-    def text_of(span: Column) -> Column:
-        def use(row: Column) -> Column:
-            prop = _RowProperty(row)
-            shown = fields.show_row(record.data, span["at"], span["size"], prop, prop.label)
-            converted = bits.let(shown, lambda s: fields.convert_row(s, prop.conversion)[0])
-            value = F.when(span["at"] >= 0, F.when(prop.conversion.isNull(), shown).otherwise(converted))
-            return F.struct(prop.name.alias("name"), value.alias("value"))
-
-        return let(F.get(properties, span["p"]), use)
-
-    def repeated(entry: Column) -> Column:
-        prop = _RowProperty(F.get(properties, entry["p"]))
-        members = F.transform(entry["elements"], lambda e: F.transform(e, text_of))
-        keep_nulls = {"ignoreNullFields": "false"}
-        as_struct = F.to_json(F.transform(members, F.map_from_entries), keep_nulls)
-        as_list = F.to_json(F.transform(members, lambda m: F.get(m, 0)["value"]), keep_nulls)
-        shown = F.when(prop.kind == "struct", as_struct).otherwise(as_list)
-        return F.struct(prop.name.alias("name"), shown.alias("value"))
-
-    entries = F.transform(
-        places["entries"], lambda e: F.when(e["elements"].isNull(), text_of(e)).otherwise(repeated(e))
-    )
-    return _struct_of(payload=F.map_from_entries(entries), bad=places["bad"], missing=places["missing"])
+    def texts(data: Column) -> Column:
+        def text_of(span: Column) -> Column:
+            def use(row: Column) -> Column:
+                prop = _RowProperty(row)
+                shown = fields.show_row(data, span["at"], span["size"], prop, prop.label, kinds)
+                value = F.when(span["at"] >= 0, fields.convert_shown(shown, prop.conversion, kinds))
+                return F.struct(prop.name.alias("name"), value.alias("value"))
+
+            return let(F.get(properties, span["p"]), use)
+
+        return F.transform(places["spans"], text_of)
+
+    def entries(texts: Column) -> Column:
+        def plain(entry: Column) -> Column:
+            return F.get(texts, entry["first"])
+
+        def repeated(entry: Column) -> Column:
+            prop = _RowProperty(F.get(properties, entry["p"]))
+            members = F.transform(entry["elements"], lambda e: F.transform(e, lambda i: F.get(texts, i)))
+            keep_nulls = {"ignoreNullFields": "false"}
+            as_struct = F.to_json(F.transform(members, F.map_from_entries), keep_nulls)
+            as_list = F.to_json(F.transform(members, lambda m: F.get(m, 0)["value"]), keep_nulls)
+            shown = F.when(prop.kind == "struct", as_struct).otherwise(as_list)
+            return F.struct(prop.name.alias("name"), shown.alias("value"))
+
+        if not kinds.repeated:
+            return texts
+        return F.transform(
+            places["entries"], lambda e: F.when(e["elements"].isNull(), plain(e)).otherwise(repeated(e))
+        )
+
+    # The payload is bound once: each mention of a binary column copies all of it.
+    named = let(let(record.data, texts), entries)
+    return _struct_of(payload=F.map_from_entries(named), bad=places["bad"], missing=places["missing"])
 
 
 # --------------------------------------------------------------------------------------
@@ -610,8 +621,8 @@ def _fold_expression() -> Column:
 
 
 @per_application
-def _placed_expression() -> Column:
-    return _placed(_record(), F.col("_places"), F.col("_properties"))
+def _placed_expression(kinds: fields.Kinds) -> Column:
+    return _placed(_record(), F.col("_places"), F.col("_properties"), kinds)
 
 
 def _compiled(manifest: Manifest, layout: Layout) -> _CompiledLayout:
@@ -674,7 +685,8 @@ def decode_payload(manifest: Manifest, tasks=None, table_driven: bool | str | No
             # Payloads of other layouts do not travel to the cursor.
             own = F.when(some & F.col("_by_cursor"), F.col("UserData"))
             df = df.withColumn("_places", cursor.places(by_cursor)(own, F.col("layout_id"), F.col("_pointer")))
-            staged["_placed"] = F.when(some & F.col("_by_cursor"), _placed_expression())
+            kinds = fields.Kinds.of(p for rows_ in by_cursor.values() for p in rows_)
+            staged["_placed"] = F.when(some & F.col("_by_cursor"), _placed_expression(kinds))
             ways.append("_placed")
         tails = [(layout_id, x.tail) for layout_id, x in layouts if x.tail is not None]
         if tails:
