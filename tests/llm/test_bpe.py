@@ -71,4 +71,33 @@ def test_odd_rows(spark, library):
     checked = bpe.encode_checked(docs).collect()
     assert sorted(map(repr, (r["token_ids"] for r in checked))) == sorted(map(repr, (r["token_ids"] for r in both)))
     assert all(r["lossless"] and r["token_ids"] == library.encode_ordinary(r["text"] or "") for r in checked)
+    assert all(r["score"] == "own score" for r in checked) and bpe.encode_checked(docs.limit(0)).count() == 0
+    assert bpe.encode_checked(docs, keep=["doc_id"]).columns == ["doc_id", "token_ids", "lossless"]
     assert bpe.round_trip(docs.limit(0)).count() == 0
+
+
+def test_batches_by_ids_change_nothing(spark, library, monkeypatch):
+    docs = documents(spark)
+    monkeypatch.setattr(bpe, "BATCH", 40)
+    got = bpe.encode_checked(docs, keep=["doc_id", "text"]).collect()
+    assert len(got) == docs.count()
+    assert all(r["lossless"] and r["token_ids"] == library.encode_ordinary(r["text"] or "") for r in got)
+
+
+def test_a_text_without_blanks_keeps_its_bounds(library, monkeypatch):
+    """States are dropped inside a piece too: their number never passes the bound."""
+    monkeypatch.setattr(bpe, "MAX_STATES", 2000)
+    small = bpe.Codec(bpe.default_path(), public_tokenizers.PATTERN)
+    most, expand = [0], small.transducer.expand
+
+    def watched(state, byte):
+        found = expand(state, byte)
+        most[0] = max(most[0], len(small.transducer.states))
+        return found
+
+    small.transducer.expand = watched
+    rng = random.Random(7)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(300_000))
+    ids = small.encode(text)
+    assert ids == library.encode_ordinary(text) and most[0] <= 2001
+    assert not small.pieces and not small.older

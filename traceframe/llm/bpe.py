@@ -35,9 +35,12 @@ from pyspark.sql import functions as F
 from traceframe.llm.common import column, visible, without
 
 RANKS = "byte_bpe_50k.tiktoken"
-MAX_STATES = 150_000
-MAX_PIECES = 800_000
+#: Bounds of what a worker remembers: about 60 MB of states, 90 MB of pieces, 50 MB of pairs.
+MAX_STATES = 120_000
+MAX_PIECES = 600_000
 MAX_PAIRS = 500_000
+#: Token ids in one output batch, give or take one text.
+BATCH = 1 << 20
 #: Texts are cut for splitting into parts of about so many characters, where no piece is cut.
 PART = 1 << 20
 ROOT = 0
@@ -127,6 +130,8 @@ class Transducer:
         return known
 
     def expand(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
+        if len(self.states) >= MAX_STATES:  # also inside a long piece; the state at hand goes on alone
+            self.clear()
         edge, at, moved, complete = self.v.edge, self.v.at, [], None
         for last, pend, node in state.hypotheses:
             child = edge.get(node << 8 | byte)
@@ -151,8 +156,6 @@ class Transducer:
         return found
 
     def run(self, data: bytes) -> list[int]:
-        if len(self.states) > MAX_STATES:
-            self.clear()
         state, out = self.start, []
         for b in data:
             edge = state.get(b) or self.expand(state, b)
@@ -295,33 +298,40 @@ def encode_checked(
     text_col: str = "text",
     path: str | None = None,
     pattern: str = public_tokenizers.PATTERN,
+    keep: Iterable[str] | None = None,
 ) -> DataFrame:
     """``docs`` with ``token_ids``, and ``lossless``: whether they decode to the text.
 
-    One pass: the ids need not go back to a task to be decoded.
+    One pass: the ids need not go back to a task to be decoded. Ids leave the task in batches of about
+    ``BATCH``, whatever the number of rows. ``keep`` names the columns that come along; all by default.
     """
     path = path or default_path()
+    visible(docs.sparkSession)
+    base = without(docs, CHECKED)
+    kept = base.columns if keep is None else [c for c in base.columns if c in set(keep)]
+    names = [f"c{i}" for i in range(len(kept))]
+    given = docs.select(*[column(docs, c).alias(n) for c, n in zip(kept, names, strict=True)], column(docs, text_col).cast("string").alias("t"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields if f.name != "t")
 
-    @F.arrow_udf("struct<token_ids:array<int>,lossless:boolean>")
-    def checked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
-        for texts in batches:
-            parts, sizes, same = [], [0], []
-            for t in texts:
+        for batch in batches:
+            texts, begin, parts, sizes, same = batch.column("t"), 0, [], [0], []
+            for i, t in enumerate(texts):
                 text = t.as_py() or ""
                 ids = c.encode(text)
                 same.append(c.decode(ids) == text)
                 sizes.append(sizes[-1] + len(ids))
                 parts.append(np.array(ids, np.int32))
-            flat = pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32))
-            lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), flat)
-            yield pa.StructArray.from_arrays([lists, pa.array(same, pa.bool_())], list(CHECKED))
-            gc.freeze()
+                if sizes[-1] >= BATCH or i == len(texts) - 1:
+                    lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(parts)))
+                    own = [batch.column(n).slice(begin, len(parts)) for n in names]
+                    yield pa.RecordBatch.from_arrays([*own, lists, pa.array(same, pa.bool_())], [*names, *CHECKED])
+                    begin, parts, sizes, same = i + 1, [], [0], []
+            gc.freeze()  # the tables live as long as the worker: not worth scanning again
 
-    visible(docs.sparkSession)
-    base = without(docs, CHECKED)
-    made = base.withColumn("__made", checked.asNondeterministic()(column(docs, text_col).cast("string")))
-    return made.select(*[column(made, c) for c in base.columns], *[F.col(f"__made.{c}") for c in CHECKED])
+    made = given.mapInArrow(tasks, ", ".join(x for x in (kinds, "token_ids array<int>", "lossless boolean") if x))
+    return made.select(*[F.col(n).alias(c) for c, n in zip(kept, names, strict=True)], *CHECKED)
 
 
 ROUND_TRIP = ("n_tokens", "ids_sha256", "decoded_sha256")
