@@ -64,7 +64,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each whole text, and whether they decode to it."""
-    made = bpe.encode_checked(docs.select("doc_id", "text"))
+    made = bpe.encode_checked(docs.select("doc_id", "text"), keep=["doc_id"])
     return made.select("doc_id", F.size("token_ids").alias("n_tokens"), "token_ids", "lossless")
 
 
