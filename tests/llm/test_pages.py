@@ -2,8 +2,11 @@
 
 import html
 import re
+import time
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from traceframe.llm import html_text, urls
@@ -71,6 +74,52 @@ def test_clusters_select_the_regions():
     assert main_text(f"<article><p>{long_}</p></article><article><a href=x>Next</a></article>") == long_
 
 
+PARA = "A paragraph that is long enough to count as content in any page, with some more words to it."
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<article><p>{PARA}</p><![foo[ y ]]><p>{PARA}</p></article>", f"{PARA}\n\n{PARA}"),
+        (f"<article><p>{PARA}</p><![ [x]]><p>{PARA}</p></article>", f"{PARA}\n\n{PARA}"),
+        (f"<article><p>{PARA}</p><![if IE]>old<![endif]></article>", None),
+        (f"<article><p>Let <math><mi>x</mi>=1</math> be given. {PARA}</p></article>", f"Let x=1 be given. {PARA}"),
+        (f"<article><p>{PARA}</p><!-- unclosed <p>hello", PARA),
+        (f"<article><p>{PARA}</p><![CDATA[ unclosed <p>{PARA}</p>", f"{PARA}\n\n{PARA}"),
+        (f"<article><p>{PARA}</p><p>more <a href='x", f"{PARA}\n\nmore"),
+        (f"<article><p>{PARA} 1 < 2", f"{PARA} 1 < 2"),
+    ],
+)
+def test_broken_markup(page, text):
+    found = main_text(page)
+    assert PARA in found if text is None else found == text
+
+
+MARKUP = ["<", ">", "<!", "<![", "]]>", "<!--", "-->", "<a ", "<p>", "</", "<div class='ad x'>", "</div>", "<article>", "</article>",
+          "<?", "&", "&amp;", "&#", "'", '"', "=", "/", "x", "<script>", "</script>", "<main>", "\x00", "é", "<!doctype", "CDATA["]
+
+
+@given(st.lists(st.one_of(st.sampled_from(MARKUP), st.text(max_size=4)), max_size=60))
+@settings(max_examples=1500, deadline=None)
+def test_any_markup_is_read(parts):
+    assert isinstance(main_text("".join(parts).encode("utf-8", "replace").decode()), str)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a " * 330_000, "<a " * 330_000 + ">", "<div>" * 200_000, "<div class='related-work'>x" * 40_000, "<article>x" * 100_000,
+        "<span>" * 50_000 + "<p>x" * 100_000, "<b><div>" + "<span>" * 50_000 + "</b>" * 100_000, "<![CDATA[x" * 100_000 + ">",
+        "<![foo[" * 100_000 + "]>", '<a b="' * 100_000 + ">", "<" * 500_000, "</x " * 200_000 + ">",
+    ],
+    ids=range(12),
+)
+def test_a_megabyte_of_bad_markup_takes_seconds(page):
+    start = time.process_time()
+    main_text(page)
+    assert time.process_time() - start < 10
+
+
 def test_long_page():
     page = "<article>" + "<p>some words of a paragraph</p>" * 20_000 + "</article>"
     assert main_text(page).count("\n\n") == 19_999

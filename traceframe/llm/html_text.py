@@ -39,7 +39,7 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset(
-    "script style noscript template head title textarea select option button svg math iframe object "
+    "script style noscript template head title textarea select option button svg iframe object "
     "audio video canvas map datalist noframes applet".split()
 )
 #: Elements whose whole content is not the article.
@@ -96,6 +96,8 @@ class Node:
     doubtful: bool = False  # its name has such a word among others: the clusters decide
     root: bool = False
     has_root: bool = False
+    inside: bool = False  # of a root, or one itself
+    depth: int = 0
 
 
 @dataclass(slots=True)
@@ -132,15 +134,24 @@ def hidden(attrs: list[tuple[str, str | None]]) -> bool:
 
 
 class Page(HTMLParser):
-    """Lines of a page, in order, from parser events."""
+    """Lines of a page, in order, from parser events.
+
+    Any text is read, in time that grows with its length: what begins like a tag but has no ``>`` behind
+    it is no tag, a comment without an end goes on to the end of the page, and a declaration that is none is
+    a comment. Open elements are found by tag, not by a walk.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.count = 0
-        self.open: list[Node] = [Node("", 0, None)]
+        top = Node("", 0, None)
+        self.nodes: list[Node] = [top]
+        self.open: list[Node] = [top]
+        self.places: dict[str, list[int]] = {}  # of open elements, by tag
+        self.scopes: list[int] = []
         self.lines: list[Line] = []
         self.silent = 0
         self.anchors = 0
+        self.sections = True
         self.begin()
 
     def begin(self) -> None:
@@ -156,9 +167,8 @@ class Page(HTMLParser):
 
     def push(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         above = self.open[-1]
-        self.count += 1
-        node = Node(tag, self.count, above, above.hard)
-        in_root = self.in_root()
+        node = Node(tag, len(self.nodes), above, above.hard, inside=above.inside, depth=above.depth + 1)
+        in_root = above.inside
         if tag in OTHER or (tag == "header" and not in_root) or hidden(attrs):
             node.hard = True
         elif attrs and tag not in ("html", "body"):
@@ -175,31 +185,41 @@ class Page(HTMLParser):
             elif found & ROLES:
                 node.doubtful = True
         if tag in ROOTS and not node.hard:
-            node.root = True
+            node.root = node.inside = True
             x: Node | None = above
-            while x is not None:
+            while x is not None and not x.has_root:
                 x.has_root = True
                 x = x.above
+        self.places.setdefault(tag, []).append(len(self.open))
+        if tag in SCOPES:
+            self.scopes.append(len(self.open))
+        self.nodes.append(node)
         self.open.append(node)
 
-    def in_root(self) -> bool:
-        return any(n.root for n in self.open)
+    def last(self, tag: str) -> int:
+        """The place of the innermost open element of a tag; 0 if there is none."""
+        places = self.places.get(tag)
+        return places[-1] if places else 0
+
+    def scope(self) -> int:
+        """The place of the innermost open element that ends of elements do not pass."""
+        return self.scopes[-1] if self.scopes else 0
 
     def pop_to(self, at: int) -> None:
-        for node in self.open[at:]:
+        for node in reversed(self.open[at:]):
             self.silent -= node.tag in SILENT
             self.anchors -= node.tag == "a"
+            self.places[node.tag].pop()
+            if node.tag in SCOPES:
+                self.scopes.pop()
         del self.open[at:]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
             self.end_line()
-            for at in range(len(self.open) - 1, 0, -1):
-                if tag in ENDED_BY.get(self.open[at].tag, ()):
-                    self.pop_to(at)
-                    break
-                if self.open[at].tag in SCOPES:
-                    break
+            at = max((self.last(t) for t, ends in ENDED_BY.items() if tag in ends), default=0)
+            if at > self.scope():
+                self.pop_to(at)
         elif tag == "br":
             self.line.pieces.append(" ")
         self.line.tags += 1
@@ -225,16 +245,34 @@ class Page(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.line.tags += 1
-        for at in range(len(self.open) - 1, 0, -1):
-            if self.open[at].tag == tag:
-                if tag in BLOCKS:
-                    self.end_line()
-                self.pop_to(at)
-                if tag in BLOCKS:
-                    self.begin()
-                return
-            if tag not in SCOPES and self.open[at].tag in SCOPES:
-                return
+        at = self.last(tag)
+        if not at or (tag not in SCOPES and self.scope() > at):
+            return
+        if tag in BLOCKS:
+            self.end_line()
+        self.pop_to(at)
+        if tag in BLOCKS:
+            self.begin()
+
+    def parse_comment(self, i: int, report: int = 1) -> int:
+        end = super().parse_comment(i, report)
+        return len(self.rawdata) if end < 0 else end
+
+    def parse_html_declaration(self, i: int) -> int:
+        end = -1
+        if self.rawdata.startswith("<![", i):
+            if self.sections:
+                try:
+                    end = super().parse_html_declaration(i)
+                except AssertionError:  # a kind of section that does not exist
+                    end = self.parse_bogus_comment(i)
+                else:
+                    self.sections = end >= 0  # one without an end is not looked for again
+        else:
+            end = super().parse_html_declaration(i)
+        if end < 0:
+            end = self.parse_bogus_comment(i)
+        return len(self.rawdata) if end < 0 else end
 
     def handle_data(self, data: str) -> None:
         if not self.silent:
@@ -243,7 +281,10 @@ class Page(HTMLParser):
                 self.line.linked += len(data.strip())
 
     def read(self, html: str) -> list[Line]:
-        self.feed(html)
+        # Behind the last ">" no tag can end.
+        rest = html.rfind(">") + 1
+        unended = re.compile(r"<[A-Za-z/!?]").search(html, rest)
+        self.feed(html[: unended.start()] if unended else html)
         self.close()
         self.end_line()
         return self.lines
@@ -263,77 +304,82 @@ def clusters(lines: list[Line]) -> np.ndarray:
     return level >= min(level.std(), level.max())
 
 
-def chain(node: Node | None) -> list[Node]:
-    found = []
-    while node is not None:
-        found.append(node)
-        node = node.above
-    return found[::-1]
+def inherited(nodes: list[Node], own: list[bool]) -> list[bool]:
+    """For each element whether it or one around it has the property. Elements come after those around them."""
+    for n in nodes[1:]:
+        own[n.number] = own[n.number] or own[n.above.number]
+    return own
+
+
+def totals(nodes: list[Node], own: list[int]) -> list[int]:
+    """For each element the sum over it and all within."""
+    for n in reversed(nodes[1:]):
+        own[n.above.number] += own[n.number]
+    return own
 
 
-def is_other(node: Node | None) -> bool:
-    """Whether the element is not the article: by its kind, or by a name around it that has no article in it."""
-    if node is not None and node.hard:
-        return True
-    while node is not None:
-        if node.soft and not node.has_root:
-            return True
-        node = node.above
-    return False
+def article_only(nodes: list[Node], lines: list[Line]) -> list[Line]:
+    """The lines without those that are not the article: by the kind of an element around them, or by a name
+    around them that has no article in it."""
+    other = inherited(nodes, [n.soft and not n.has_root for n in nodes])
+    return [x for x in lines if not x.node.hard and not other[x.node.number]]
 
 
-def undoubted(lines: list[Line]) -> list[Line]:
+def undoubted(nodes: list[Node], lines: list[Line]) -> list[Line]:
     """The lines without those in elements of doubtful names that hold mostly other text than clusters, or links."""
-    good: dict[int, int] = {}
+    good = [0] * len(nodes)
     for x, content in zip(lines, clusters(lines), strict=True):
-        size = len(x.text) if content and x.linked < LINKED * len(x.text) else -len(x.text)
-        for n in chain(x.node):
-            if n.doubtful and not n.has_root:
-                good[n.number] = good.get(n.number, 0) + size
-    return [x for x in lines if all(good.get(n.number, 0) >= 0 for n in chain(x.node))]
+        good[x.node.number] += len(x.text) if content and x.linked < LINKED * len(x.text) else -len(x.text)
+    good = totals(nodes, good)
+    bad = inherited(nodes, [n.doubtful and not n.has_root and good[n.number] < 0 for n in nodes])
+    return [x for x in lines if not bad[x.node.number]]
 
 
 def main_text(html: str | None) -> str:
     """Blocks of the content region joined by an empty line."""
-    lines = [x for x in Page().read(html or "") if not is_other(x.node)]
+    page = Page()
+    lines = page.read(html or "")
+    nodes = page.nodes
+    lines = article_only(nodes, lines)
     if lines:
-        lines = undoubted(lines)
+        lines = undoubted(nodes, lines)
     if not lines:
         return ""
     content = clusters(lines)
-    paths = [chain(x.node) for x in lines]
     plain = np.array([x.linked < LINKED * len(x.text) for x in lines])
     content &= plain
     # Text of the clusters in each outermost article or main element, and outside of them (0).
-    regions = [next((n.number for n in path if n.root), 0) for path in paths]
+    region = [0] * len(nodes)
+    for n in nodes[1:]:
+        region[n.number] = region[n.above.number] or (n.number if n.root else 0)
     held: dict[int, int] = {}
-    for region, x, good in zip(regions, lines, content, strict=True):
+    for x, good in zip(lines, content, strict=True):
         if good:
-            held[region] = held.get(region, 0) + len(x.text)
+            at = region[x.node.number]
+            held[at] = held.get(at, 0) + len(x.text)
     if HELD * sum(held.values()) < sum(held.values()) - held.get(0, 0):
         # The elements are the edges of what the clusters select. In main, around articles, links are no text.
-        inside = [r in held and r > 0 for r in regions]
+        whole = inherited(nodes, [n.root and (n.tag == "article" or not n.has_root) for n in nodes])
         kept = [
-            x for x, path, own, p in zip(lines, paths, inside, plain, strict=True)
-            if own and (p or x.heading or any(n.root and (n.tag == "article" or not n.has_root) for n in path))
+            x for x, p in zip(lines, plain, strict=True)
+            if region[x.node.number] in held and region[x.node.number] and (p or x.heading or whole[x.node.number])
         ]
         return "\n\n".join(x.text for x in kept)
     if not content.any():
         return ""
-    sizes: dict[int, int] = {}
-    for path, x, good in zip(paths, lines, content, strict=True):
-        for n in path if good else ():
-            sizes[n.number] = sizes.get(n.number, 0) + len(x.text)
+    sizes = [0] * len(nodes)
+    for x, good in zip(lines, content, strict=True):
+        sizes[x.node.number] += len(x.text) if good else 0
+    sizes = totals(nodes, sizes)
     # The deepest container with most of what the clusters hold.
-    total = sizes[0]
-    depth = {n.number: i for path in paths for i, n in enumerate(path)}
-    best = max((k for k, s in sizes.items() if s >= 0.6 * total), key=lambda k: (depth[k], sizes[k]))
-    inside = [i for i, path in enumerate(paths) if any(n.number == best for n in path)]
+    best = max((n for n in nodes if sizes[n.number] >= 0.6 * sizes[0]), key=lambda n: (n.depth, sizes[n.number]))
+    within = inherited(nodes, [n is best for n in nodes])
+    inside = [i for i, x in enumerate(lines) if within[x.node.number]]
     at = [i for i in inside if content[i]]
-    first = at[0]
-    while first - 1 in inside and (lines[first - 1].heading or best):
+    first, there = at[0], set(inside)
+    while first - 1 in there and (lines[first - 1].heading or best.number):
         first -= 1
-    last = inside[-1] if best and paths[at[0]][-1].number != best else at[-1]
+    last = inside[-1] if best.number and lines[at[0]].node is not best else at[-1]
     return "\n\n".join(lines[i].text for i in inside if first <= i <= last and plain[i])
 
 
