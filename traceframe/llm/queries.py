@@ -129,7 +129,7 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op2_url_filter"] = r"""
 WITH p AS (
     SELECT page_id, trim(url) AS url,
-        coalesce(lower(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's')), '') AS host,
+        coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
         coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
     FROM pages
 ), c AS (
