@@ -72,6 +72,69 @@ def test_language_of_odd_rows(spark):
     assert langid.fit(spark.createDataFrame([], "lang string, text string")) == {}
 
 
+def test_a_language_of_one_repeated_text_is_learned(spark):
+    for text in ("ein haus am see", "une maison", "la casa", "a tree by the lake"):
+        rows = [("aa", text)] * 600 + [("bb", f"{i} bla bleh {i % 7} blum") for i in range(30)]
+        df = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+        sample = langid._sample(df, 200).groupBy("lang").agg(F.sum("weight").alias("n"), F.count("*").alias("texts"))
+        assert {r["lang"]: (r["n"], r["texts"]) for r in sample.collect()} == {"aa": (200, 1), "bb": (30, 30)}
+        assert list(langid.fit(df, rows_per_lang=200)) == ["aa", "bb"]
+
+
+def test_sample_is_that_of_the_smallest_hashes(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice("xyz"), f"text {int(rng.paretovariate(0.5)) % 400}") for _ in range(3000)]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    hashed = df.distinct().withColumn("h", F.pmod(F.xxhash64("text", F.lit(langid.SEED)), F.lit(1 << 62))).collect()
+    for limit in (1, 50, 700, 10_000):
+        want = {}
+        for lang in "xyz":
+            left = limit
+            for h, text in sorted((r["h"], r["text"]) for r in hashed if r["lang"] == lang):
+                n = min(left, rows.count((lang, text)))
+                left -= n
+                if n:
+                    want[lang, text] = n
+        got = {(r["lang"], r["text"]): r["weight"] for r in langid._sample(df.repartition(3), limit).collect()}
+        assert got == want
+
+
+def test_prototypes_against_plain_python(spark):
+    """Letter by letter with Python lists: vectors, binding, bundling, cosine."""
+    texts = [("ab", "Abba, bab ab"), ("ab", "baab-ab"), ("xy", "xyy yx!"), ("xy", "xxy  yyx")]
+
+    def bundle(text):
+        symbols = [0]
+        for c in text.lower():
+            code = ord(c) if c.isalpha() else 0
+            if code or symbols[-1]:
+                symbols.append(code)
+        if symbols[-1]:
+            symbols.append(0)
+        total = [0.0] * langid.DIM
+        for a, b, c in zip(symbols, symbols[1:], symbols[2:]):
+            va, vb, vc = (langid.letter_vector(x).tolist() for x in (a, b, c))
+            for i in range(langid.DIM):
+                total[i] += va[i - 2] * vb[i - 1] * vc[i]
+        return total
+
+    def unit(v):
+        size = sum(x * x for x in v) ** 0.5
+        return [x / size for x in v]
+
+    want = {}
+    for lang in ("ab", "xy"):
+        parts = [unit(bundle(t)) for name, t in texts if name == lang]
+        want[lang] = unit([sum(p) for p in zip(*parts)])
+    learned = langid.fit(spark.createDataFrame(texts, "lang string, text string"))
+    for lang, v in want.items():
+        assert max(abs(a - b) for a, b in zip(v, learned[lang])) < 1e-5
+    row = langid.predict(documents(spark, [(1, "Abab xa")]), learned).first()
+    cosines = {lang: sum(a * b for a, b in zip(unit(bundle("Abab xa")), v)) for lang, v in want.items()}
+    best = max(cosines, key=cosines.get)
+    assert row["lang_pred"] == best and abs(row["score"] - max(0, cosines[best])) < 1e-4
+
+
 def test_language_vectors_do_not_depend_on_runs(monkeypatch):
     text = "Some words, and: more wörds. " * 40
     whole = langid.Space().bundle(text)

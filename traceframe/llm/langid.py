@@ -6,13 +6,14 @@ addition, counting every one of them; a language's prototype bundles its documen
 to length one. A document gets the language whose prototype has the largest cosine.
 
 Text is lower-cased; runs of anything but letters are one blank, which has a vector like a letter.
-Prototypes are fitted on about ``rows_per_lang`` documents of a language at most, picked by a hash
-of the text, fewer where there are fewer.
+Prototypes are fitted on ``rows_per_lang`` documents of a language, those whose texts have the smallest
+hashes; on all where there are fewer. A prototype is two kilobytes and passes through the driver.
 
 Defined cases: NULL text and text without letters is ``und`` with score 0, as is everything if no
 labelled document has a letter; rows with NULL language or text teach nothing; equal cosines go to
 the language that sorts first; a negative cosine scores 0. Repeated rows teach as often as they
-occur. Input columns named like an output are replaced.
+occur, within the number of rows of their language. Very long texts are bundled whole, in runs; an empty
+table teaches nothing and gives no rows. Input columns named like an output are replaced.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from traceframe.llm.common import column, visible, without
@@ -30,8 +31,8 @@ from traceframe.llm.common import column, visible, without
 DIM = 512
 SEED = 20011
 ROWS_PER_LANG = 2000
-#: More languages than this in the labels are taken for an error.
-MAX_LANGS = 5000
+#: Languages whose bounds may be broadcast, 100 MB; more are joined by shuffle.
+BROADCAST_LANGS = 1_000_000
 MAX_TRIGRAMS = 40_000
 #: Texts are cut into runs of so many characters to bound memory; trigrams across cuts count.
 RUN = 1 << 20
@@ -122,22 +123,15 @@ def fit(
         column(labelled, lang_col).cast("string").alias("lang"),
         column(labelled, text_col).cast("string").alias("text"),
     ).where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = rows.groupBy("lang").count().limit(MAX_LANGS + 1).collect()
-    if len(counts) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages in {lang_col}")
-    if not counts:
-        return {}
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, rows_per_lang / r["count"]))])
-    draw = F.pmod(F.xxhash64("text", F.lit(SEED)), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.where(draw < share[F.col("lang")])
+    sample = _sample(rows, rows_per_lang)
 
     def bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
+            for lang, text, weight in zip(*(batch[c].to_pylist() for c in ("lang", "text", "weight")), strict=True):
                 v = space().bundle(text)
                 if v is not None and (size := float(np.linalg.norm(v))):
-                    sums[lang] = sums.get(lang, 0) + v.astype(np.float64) / size
+                    sums[lang] = sums.get(lang, 0) + v.astype(np.float64) * (weight / size)
         for lang, v in sums.items():
             yield pa.RecordBatch.from_pydict({"lang": [lang] * DIM, "dim": np.arange(DIM), "value": v})
 
@@ -148,6 +142,29 @@ def fit(
     return {k: np.round(v / (np.linalg.norm(v) or 1), 6).tolist() for k, v in sorted(made.items())}
 
 
+def _sample(rows: DataFrame, rows_per_lang: int) -> DataFrame:
+    """``lang``, ``text`` and ``weight``: texts with the smallest hashes, standing for ``rows_per_lang`` rows of a language.
+
+    Each text once, with the number of its rows as weight, less what goes beyond. Languages with
+    fewer rows have all of them.
+    """
+    drawn = rows.withColumn("h", F.pmod(F.xxhash64("text", F.lit(SEED)), F.lit(1 << 62)))
+    # By powers of two: the largest power that rows enough lie below is found from one pass.
+    power = F.when(F.col("h") > 0, F.floor(F.log2("h")) + 1).otherwise(0).cast("int")
+    counts = drawn.groupBy("lang", power.alias("power")).count()
+    below = Window.partitionBy("lang").orderBy("power")
+    reached = counts.withColumn("rows", F.sum("count").over(below)).groupBy("lang").agg(
+        F.coalesce(F.min(F.when(F.col("rows") >= rows_per_lang, F.col("power"))), F.max("power")).alias("most")
+    )
+    if reached.offset(BROADCAST_LANGS).isEmpty():
+        reached = F.broadcast(reached)
+    few = drawn.join(reached, "lang").where(power <= F.col("most"))
+    texts = few.groupBy("lang", "h").agg(F.count(F.lit(1)).alias("n"), F.first("text").alias("text"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, -1))
+    weight = F.least(F.col("n"), F.lit(rows_per_lang) - F.coalesce(before, F.lit(0)))
+    return texts.withColumn("weight", weight).where("weight > 0").select("lang", "text", "weight")
+
+
 def predict(docs: DataFrame, prototypes: dict[str, list[float]], *, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, the cosine."""
     visible(docs.sparkSession)
