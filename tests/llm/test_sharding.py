@@ -1,6 +1,7 @@
 import zlib
 from collections import Counter
 
+import xxhash
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import documents
@@ -42,6 +43,45 @@ def test_many_buckets_and_odd_rows(spark):
     assert sharding.external_shuffle(docs.limit(0), id_col="doc_id", size=size, shards=2).count() == 0
 
 
+def test_the_law_in_plain_python(spark):
+    """Spark's xxhash64 of a text and two numbers, by the xxhash library; the largest wins."""
+    rows = queries.op7_shards(spark, SF).collect()
+
+    def weight(key, shard):
+        h = 42
+        data = key.encode()
+        h = xxhash.xxh64_intdigest(data, h)
+        for n in (sharding.SEED, shard):
+            h = xxhash.xxh64_intdigest(n.to_bytes(4, "little", signed=True), h)
+        return h - (1 << 64) if h >= 1 << 63 else h
+
+    for r in rows:
+        best = max((weight(str(r["doc_id"]), s), s) for s in range(24))[1]
+        grown = max((weight(str(r["doc_id"]), s), s) for s in range(25))[1]
+        assert (r["shard"], r["grown_shard"]) == (best, grown) and r["law"] == "key"
+
+
+def test_files_and_their_order_make_no_difference(spark):
+    docs = documents(spark, [(i, f"text {i % 50}") for i in range(3000)], extra=False)
+    deal = lambda d: sorted(map(tuple, sharding.external_shuffle(
+        d, id_col="doc_id", size=F.octet_length("text"), shards=3, bucket_bytes=400).collect()))
+    one = deal(docs.coalesce(1))
+    assert one == deal(docs.orderBy(F.desc("doc_id")).repartition(5)) == deal(docs.repartition(3, "text"))
+
+
+def test_a_bucket_is_a_task(spark):
+    docs = documents(spark, [(i, "x" * 92) for i in range(4000)] + [(9, "same" * 23)] * 2000, extra=False)
+    made, total = sharding.scatter(docs, id_col="doc_id", size=F.octet_length("text") + 8, shards=4, seed=1, bucket_bytes=10_000)
+    assert 60 <= total <= 70
+    sizes = [r["count"] for r in made.groupBy("__bucket").count().collect()]
+    assert len(sizes) == total and max(sizes) < 200  # also where a third of all records are equal
+    out = sharding.external_shuffle(docs, id_col="doc_id", size=F.octet_length("text") + 8, shards=4, bucket_bytes=10_000)
+    per_task = out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) == total and max(r["count"] for r in per_task) < 200
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") - plan.count("BroadcastExchange") <= 4
+
+
 def test_order_is_shuffled(spark):
     docs = spark.range(1000).select(F.col("id").alias("doc_id"))
     rows = sharding.external_shuffle(docs, id_col="doc_id", size=F.lit(1), shards=1).collect()
