@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traceframe.llm.common import column, visible, without
+from traceframe.llm.common import column, give_back, visible, without
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Bounds of what a worker remembers: about 60 MB of states, 90 MB of pieces, 50 MB of pairs.
@@ -49,7 +49,8 @@ ROOT = 0
 class Vocabulary:
     """Token bytes and ids, and a trie of the tokens."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, share: float = 1):
+        self.most = int(MAX_PAIRS * share)
         with open(path, "rb") as f:
             pairs = [line.split() for line in f if line.strip()]
         self.rank = {base64.b64decode(a): int(b) for a, b in pairs}
@@ -96,7 +97,7 @@ class Vocabulary:
         key = a << 20 | b
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= MAX_PAIRS:
+            if len(self.pairs) >= self.most:
                 self.pairs.clear()
             x, y = self.token[a], self.token[b]
             parts = [bytes([c]) for c in x + y]
@@ -111,8 +112,8 @@ class State(dict):
 
 
 class Transducer:
-    def __init__(self, vocabulary: Vocabulary):
-        self.v = vocabulary
+    def __init__(self, vocabulary: Vocabulary, share: float = 1):
+        self.v, self.most = vocabulary, int(MAX_STATES * share)
         self.clear()
 
     def clear(self) -> None:
@@ -130,7 +131,7 @@ class Transducer:
         return known
 
     def expand(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
-        if len(self.states) >= MAX_STATES:  # also inside a long piece; the state at hand goes on alone
+        if len(self.states) >= self.most:  # also inside a long piece; the state at hand goes on alone
             self.clear()
         edge, at, moved, complete = self.v.edge, self.v.at, [], None
         for last, pend, node in state.hypotheses:
@@ -167,11 +168,15 @@ class Transducer:
 
 
 class Codec:
-    """Encodes and decodes whole texts, remembering the pieces it has met, up to a bound."""
+    """Encodes and decodes whole texts, remembering the pieces it has met, up to a bound.
 
-    def __init__(self, path: str, pattern: str):
-        self.v = Vocabulary(path)
-        self.transducer = Transducer(self.v)
+    ``share`` scales all bounds.
+    """
+
+    def __init__(self, path: str, pattern: str, share: float = 1):
+        self.v = Vocabulary(path, share)
+        self.transducer = Transducer(self.v, share)
+        self.most = max(2, int(MAX_PIECES * share))
         self.split = regex.compile(pattern).findall
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
@@ -188,7 +193,7 @@ class Codec:
             token = self.whole.get(data) if self.whole else None
             ids = tuple(self.transducer.run(data)) if token is None else (token,)
         if len(piece) <= 64:
-            if len(self.pieces) >= MAX_PIECES // 2:
+            if len(self.pieces) >= self.most // 2:
                 self.older, self.pieces = self.pieces, {}
             self.pieces[piece] = ids
         return ids
@@ -299,11 +304,13 @@ def encode_checked(
     path: str | None = None,
     pattern: str = public_tokenizers.PATTERN,
     keep: Iterable[str] | None = None,
+    share: float = 1,
 ) -> DataFrame:
     """``docs`` with ``token_ids``, and ``lossless``: whether they decode to the text.
 
     One pass: the ids need not go back to a task to be decoded. Ids leave the task in batches of about
     ``BATCH``, whatever the number of rows. ``keep`` names the columns that come along; all by default.
+    ``share`` scales what a task remembers; it is given back when the task ends.
     """
     path = path or default_path()
     visible(docs.sparkSession)
@@ -314,7 +321,7 @@ def encode_checked(
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields if f.name != "t")
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path, pattern)
+        c = Codec(path, pattern, share)
         for batch in batches:
             texts, begin, parts, sizes, same = batch.column("t"), 0, [], [0], []
             for i, t in enumerate(texts):
@@ -328,7 +335,11 @@ def encode_checked(
                     own = [batch.column(n).slice(begin, len(parts)) for n in names]
                     yield pa.RecordBatch.from_arrays([*own, lists, pa.array(same, pa.bool_())], [*names, *CHECKED])
                     begin, parts, sizes, same = i + 1, [], [0], []
-            gc.freeze()  # the tables live as long as the worker: not worth scanning again
+            gc.freeze()  # what is remembered is not worth scanning again
+        gc.unfreeze()
+        c.transducer.clear()
+        del c
+        give_back()
 
     made = given.mapInArrow(tasks, ", ".join(x for x in (kinds, "token_ids array<int>", "lossless boolean") if x))
     return made.select(*[F.col(n).alias(c) for c, n in zip(kept, names, strict=True)], *CHECKED)
