@@ -17,6 +17,8 @@ from traceframe.llm.common import column, crc_mod, read, shared_folder
 
 #: Documents with a lower probability of label 1 are rejected.
 QUALITY = 0.3
+#: Share of the encoder's usual tables that a task of the last stage holds beside what earlier stages left.
+REMEMBERED = 0.3
 #: Texts, by id and hash, that may be broadcast, 32 MB; more are joined by shuffle.
 TEXTS = 2_000_000
 
@@ -64,7 +66,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each whole text, and whether they decode to it."""
-    made = bpe.encode_checked(docs.select("doc_id", "text"), keep=["doc_id"])
+    made = bpe.encode_checked(docs.select("doc_id", "text"), keep=["doc_id"], share=REMEMBERED)
     return made.select("doc_id", F.size("token_ids").alias("n_tokens"), "token_ids", "lossless")
 
 
