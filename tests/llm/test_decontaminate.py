@@ -59,6 +59,20 @@ def test_blocks_of_items_change_nothing(spark):
     assert key(run(spark, docs)) == key(run(spark, docs, block_bytes=30))
 
 
+def test_many_blocks_one_at_a_time(spark, monkeypatch):
+    """Forty blocks: the driver asks for one after the other, and every row comes out once with its columns."""
+    items = spark.createDataFrame([(i, f"item{i} word{i} end") for i in range(120)], "item_id long, text string")
+    texts = [(i, f"see item{i} word{i} end, and item{i + 1} word{i + 1} end") for i in range(60)] + [(7, None), (8, ""), (None, "nothing")]
+    asked, block = [], D.Blocks.block
+    monkeypatch.setattr(D.Blocks, "block", lambda self, k: asked.append(k) or block(self, k))
+    rows = D.mark(documents(spark, texts), items, block_bytes=50).collect()
+    assert len(asked) > 30 and asked == sorted(set(asked))
+    assert len(rows) == len(texts) and all(r["score"] == "own score" for r in rows)
+    plain = [(i, f"item{i} word{i} end") for i in range(120)]
+    for r in rows:
+        assert (r["n_words"], r["n_hit"], r["item_ids"]) == brute(r["text"], plain)
+
+
 def test_odd_rows(spark):
     docs = documents(spark)
     rows = run(spark, docs)

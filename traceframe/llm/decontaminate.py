@@ -6,8 +6,9 @@ Each text is scanned once; matches are mapped back to the original's words and c
 
 Defined cases: NULL or wordless text has no words and no hits; NULL or wordless items have no
 windows; equal items all count; an empty ``items`` table hits nothing; repeated documents are
-each scanned. Input columns named like an output are replaced. Items are sent to the tasks in
-blocks of at most ``block_bytes`` of text, each block one more pass over the text.
+each scanned; very long texts are scanned whole; an empty table gives no rows. Input columns named like an output are replaced. Items are sent to the tasks in
+blocks of about ``block_bytes`` of text, each block one more pass over the text, whose hits are stored in
+``spark.checkpoint.dir`` and put together by row at the end.
 """
 
 from __future__ import annotations
@@ -21,9 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
-from traceframe.llm.common import column, merged_spans, visible, without
+from traceframe.llm.common import column, merged_spans, visible, without, written
 
 #: Bytes to words: A-Z lower-cased, ASCII other than digits and letters to a space.
 FOLD = bytes(
@@ -46,7 +46,7 @@ def windows(found: list[bytes], window: int) -> list[list[bytes]]:
     return [found[i : i + window] for i in range(max(1, len(found) - window + 1))]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def automaton(items: tuple[tuple[str, str], ...], window: int):
     """Patterns are windows between spaces; each carries its word count and its items."""
     patterns: dict[str, tuple[int, set[str]]] = {}
@@ -126,16 +126,22 @@ SCHEMA = pa.struct(
 )
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int):
-    """The items in blocks of about ``block_bytes``, one at a time on the driver."""
-    rows = items.select(
-        column(items, id_col).cast("string").alias("i"), column(items, text_col).alias("t")
-    ).where("i IS NOT NULL AND t IS NOT NULL")
-    size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    n = -(-size // block_bytes)
-    for k in range(n):
-        block = rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
-        yield tuple((r.i, r.t) for r in block.collect())
+class Blocks:
+    """The items in blocks of about ``block_bytes`` of text; the driver holds one at a time."""
+
+    def __init__(self, items: DataFrame, id_col: str, text_col: str, block_bytes: int):
+        rows = items.select(
+            column(items, id_col).cast("string").alias("i"), column(items, text_col).cast("string").alias("t")
+        ).where("i IS NOT NULL AND t IS NOT NULL")
+        size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+        self.number = max(1, -(-size // block_bytes))
+        if self.number > 1:  # read again for each block
+            rows = written(rows.withColumn("block", F.pmod(F.xxhash64("i", "t"), F.lit(self.number)).cast("int")))
+        self.rows = rows
+
+    def block(self, k: int) -> tuple[tuple[str, str], ...]:
+        rows = self.rows if self.number == 1 else self.rows.where(F.col("block") == k)
+        return tuple((r.i, r.t) for r in rows.select("i", "t").collect())
 
 
 def mark(
@@ -150,31 +156,49 @@ def mark(
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit``, ``item_ids`` and ``spans`` (characters that are hit)."""
     visible(docs.sparkSession)
-    text = column(docs, text_col).cast("string")
     base = without(docs, OUTPUTS)
     kept = base.columns
-    blocks = list(item_blocks(items, item_id_col, item_text_col, block_bytes)) or [()]
-    if len(blocks) == 1:
-        out = base.withColumn("__hit", _scanner(blocks[0], window, True)(text))
+    blocks = Blocks(items, item_id_col, item_text_col, block_bytes)
+    if blocks.number == 1:
+        out = base.withColumn("__hit", _scanner(blocks.block(0), window, True)(column(docs, text_col).cast("string")))
         return out.select(*[column(out, c) for c in kept], *[F.col(f"__hit.{c}") for c in OUTPUTS])
-    out, parts = base, []
-    for k, block in enumerate(blocks):
-        out = out.withColumn(f"__hit{k}", _scanner(block, window, True)(text))
-        parts.append(F.col(f"__hit{k}"))
-    ids = F.array_sort(F.array_distinct(F.flatten(F.array(*[p["item_ids"] for p in parts]))))
-    merged = out.withColumn("__spans", merged_spans(F.flatten(F.array(*[p["spans"] for p in parts]))))
-    counted = merged.withColumn("__n", _hit_words(text, F.col("__spans")))
+    # One block after the other: its hits are stored before the next is read.
+    names = {c: f"__c{i}" for i, c in enumerate(kept)}
+    rows = written(
+        docs.select(
+            *[column(docs, c).alias(n) for c, n in names.items()], column(docs, text_col).cast("string").alias("__text"),
+            F.monotonically_increasing_id().alias("__row"),
+        )
+    )
+    hits = None
+    for k in range(blocks.number):
+        found = rows.select("__row", _scanner(blocks.block(k), window, True)("__text").alias("h"))
+        stored = written(found.where("h.n_hit > 0").select("__row", "h.item_ids", "h.spans"))
+        hits = stored if hits is None else hits.unionByName(stored)
+    each = hits.groupBy("__row").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
+        merged_spans(F.flatten(F.collect_list("spans"))).alias("spans"),
+    )
+    joined = rows.join(each.withColumnRenamed("__row", "__of"), F.col("__row") == F.col("__of"), "left").withColumn(
+        "spans", F.coalesce("spans", F.expr("filter(array(named_struct('start', 0L, 'end', 0L)), x -> false)"))
+    )
+    counted = joined.withColumn("__n", _counts(F.col("__text"), F.col("spans")))
     return counted.select(
-        *[column(counted, c) for c in kept], parts[0]["n_words"].alias("n_words"),
-        F.col("__n").alias("n_hit"), ids.alias("item_ids"), F.col("__spans").alias("spans"),
+        *[F.col(n).alias(c) for c, n in names.items()], F.col("__n.n_words").alias("n_words"), F.col("__n.n_hit").alias("n_hit"),
+        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"), "spans",
     )
 
 
-def _hit_words(text: Column, spans: Column) -> Column:
-    @F.arrow_udf(LongType())
+def _counts(text: Column, spans: Column) -> Column:
+    """Words of a text, and of its spans."""
+
+    @F.arrow_udf("struct<n_words:bigint,n_hit:bigint>")
     def count(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        rows = zip(texts.to_pylist(), spans.to_pylist(), strict=True)
-        return pa.array([sum(len(words(t[s["start"] : s["end"]])) for s in own) for t, own in rows], pa.int64())
+        rows = [
+            {"n_words": len(words(t)), "n_hit": sum(len(words(t[s["start"] : s["end"]])) for s in own)}
+            for t, own in zip(texts.to_pylist(), spans.to_pylist(), strict=True)
+        ]
+        return pa.array(rows, pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64())]))
 
     return count(text, spans)
 
