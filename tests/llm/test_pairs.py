@@ -79,6 +79,20 @@ def test_many_rows_of_one_near_id(spark, step):
     assert [r["distance"] for r in got] == pytest.approx(list(best.values())[:10])
 
 
+def test_vectors_of_each_length_are_searched(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.standard_normal(2).tolist()) for i in range(30)] + [(100, [1.0, 2.0, 3.0]), (101, [1.0, 2.0, 4.0]), (200, [5.0])]
+    rows += [(0, [1.0, 2.0, 3.5])]  # an id with vectors of two lengths
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(table, F.col("id") % 100 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["id"], r["distance"]))
+    assert got[100] == [(0, 0.5), (101, 1.0)] and 200 not in got
+    plain = [(i, v) for i, v in rows if len(v) == 2 and i]
+    near = [(float(np.linalg.norm(np.array(v) - rows[0][1])), i) for i, v in plain] + [(0.5, 100), (0.5, 101)]
+    assert [i for i, _ in got[0]] == [i for _, i in sorted(near)[:10]]
+
+
 def test_components(spark):
     rng = random.Random(5)
     chain = [(i, i + 1) for i in range(60)]

@@ -11,10 +11,11 @@ hypothesis test on the rotated coordinates, that it lies beyond the bound (chanc
 rejection falls as exp(-c * EPSILON^2)). The best of all blocks are ranked by the exact distance on
 original vectors.
 
-Defined cases: NULL, empty and zero vectors, those with NULL or non-finite components, rows
-without id, and vectors whose length is not the most common one, take no part; equal distances go to the smaller id; a
+Defined cases: NULL, empty and zero vectors, those with NULL or non-finite components, and rows
+without id take no part; vectors of one length are near to none of another; equal distances go to the smaller id; a
 query gets all candidates if there are fewer than ``k``; repeated ids count once, at their
-smallest distance; a query excludes its own id; an empty table gives an empty result.
+smallest distance; a query excludes its own id; an empty table gives an empty result; only ids come along, other
+columns may have any names.
 """
 
 from __future__ import annotations
@@ -155,17 +156,27 @@ def search(
 ) -> DataFrame:
     """``query_id``, ``rank``, ``id``, ``distance`` of the ``k`` nearest rows found for each query.
 
-    ``is_query``: a column over ``id``.
+    ``is_query``: a column over ``id``. Vectors of each length are searched among themselves.
     """
     spark = vectors.sparkSession
     visible(spark)
     rows = usable(vectors, id_col, vector_col)
-    schema = "query_id bigint, rank int, id bigint, distance double"
-    sizes = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
-    if sizes is None:
-        return spark.createDataFrame([], schema)
-    dim = sizes["dim"]
-    rows = stored(rows.where(F.size("v") == dim).dropDuplicates(["id", "v"]))
+    # One row for each length that queries have.
+    lengths = rows.groupBy(F.size("v").alias("dim")).agg(F.count_if(is_query).alias("n")).where("n > 0").orderBy("dim").collect()
+    found = None
+    for r in lengths:
+        own = stored(rows.where(F.size("v") == r["dim"]).dropDuplicates(["id", "v"]))
+        part = _search(own, is_query, r["dim"], k, target, sample_rows)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        return spark.createDataFrame([], "query_id bigint, rank int, id bigint, distance double")
+    # An id may have vectors of several lengths: its nearest ids over all of them.
+    return _ranked(found.groupBy("query_id", "id").agg(F.min("distance").alias("distance")), k) if len(lengths) > 1 else found
+
+
+def _search(rows: DataFrame, is_query, dim: int, k: int, target: float, sample_rows: int) -> DataFrame:
+    """The search among stored rows of one length."""
+    spark = rows.sparkSession
     total = rows.count()
     draw = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 30)) / float(1 << 30)
     sample = rows.where(draw < min(1.0, sample_rows / total)).toPandas()
@@ -235,7 +246,10 @@ def exact(pairs: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     near = pairs.distinct().join(rows, "id").join(q, "query_id")
     parts = F.zip_with("v", "qv", lambda a, b: (a - b) * (a - b))
     distance = F.sqrt(F.aggregate(parts, F.lit(0.0), lambda s, x: s + x))
-    best = near.groupBy("query_id", "id").agg(F.min(distance).alias("distance"))
+    return _ranked(near.groupBy("query_id", "id").agg(F.min(distance).alias("distance")), k)
+
+
+def _ranked(best: DataFrame, k: int) -> DataFrame:
     top = F.slice(F.array_sort(F.collect_list(F.struct("distance", "id"))), 1, k)
     ranked = best.groupBy("query_id").agg(top.alias("top"))
     return ranked.select("query_id", F.posexplode("top").alias("p", "t")).select(
