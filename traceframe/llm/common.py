@@ -61,6 +61,12 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Remove a folder of this run, by the file system that Spark uses."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def give_back() -> None:
     """Return what this Python worker has freed to the system, where the C library can."""
     gc.collect()
