@@ -1,7 +1,8 @@
 """A corpus through five operators, each stage written as Parquet and read again by the next.
 
-Repeated ids, NULLs and empty texts: a stage judges rows as its operator defines. Documents with
-NULL id are never duplicates. Near duplicates are judged by id and text, so of the rows of one id
+Repeated ids, NULLs, empty and very long texts: a stage judges rows, and whole texts, as its operator defines.
+An empty table stays empty. Columns named like an operator's outputs keep their own values. Ties in quality stay
+(the bound belongs to the kept). Documents with NULL id are never duplicates. Near duplicates are judged by id and text, so of the rows of one id
 those stay whose texts are like no other; of equal rows one stays.
 """
 
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from traceframe.llm import bpe, decontaminate, jaccard, line_dedup, quality
-from traceframe.llm.common import column, crc_mod, read, shared_folder
+from traceframe.llm.common import column, crc_mod, read, removed, shared_folder
 
 #: Documents with a lower probability of label 1 are rejected.
 QUALITY = 0.3
@@ -97,11 +98,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn, each written under ``spark.checkpoint.dir``; the last one's rows."""
+    """All stages in turn, each written under ``spark.checkpoint.dir``; the last one's rows.
+
+    A stage's table is removed when the next one's is whole.
+    """
     docs = read(spark, sf_dir, "documents")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder, before = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}", None
     for name, stage in STAGES:
         path = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            removed(spark, before)
+        before = path
     return docs
