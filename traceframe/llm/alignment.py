@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traceframe.llm.common import column, visible, written
+from traceframe.llm.common import column, lean, visible, written
 from traceframe.llm.units import Units, parts
 
 BYTES = "byte_bpe_50k.json"
@@ -324,6 +324,7 @@ def statistics(
     corpus says of its links: ``n_best`` have the highest count of their A id, ``count_sum`` adds counts."""
     given, byte_path, piece_path, kind = _given(docs, id_col, text_col, byte_path, piece_path)
 
+    @lean
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(byte_path, piece_path)
         chunk, links = TaskContext.get().partitionId() << 32, 0

@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traceframe.llm.common import column, give_back, visible, without
+from traceframe.llm.common import column, lean, visible, without
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Bounds of what a worker remembers: about 60 MB of states, 90 MB of pieces, 50 MB of pairs.
@@ -320,6 +320,7 @@ def encode_checked(
     given = docs.select(*[column(docs, c).alias(n) for c, n in zip(kept, names, strict=True)], column(docs, text_col).cast("string").alias("t"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields if f.name != "t")
 
+    @lean
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = Codec(path, pattern, share)
         for batch in batches:
@@ -338,8 +339,6 @@ def encode_checked(
             gc.freeze()  # what is remembered is not worth scanning again
         gc.unfreeze()
         c.transducer.clear()
-        del c
-        give_back()
 
     made = given.mapInArrow(tasks, ", ".join(x for x in (kinds, "token_ids array<int>", "lossless boolean") if x))
     return made.select(*[F.col(n).alias(c) for c, n in zip(kept, names, strict=True)], *CHECKED)

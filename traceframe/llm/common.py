@@ -8,9 +8,11 @@ import gc
 import os
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,12 +70,26 @@ def removed(spark: SparkSession, path: str) -> None:
 
 
 def give_back() -> None:
-    """Return what this Python worker has freed to the system, where the C library can."""
+    """Return what this Python worker has freed to the system: workers live on, beside those of later stages."""
     gc.collect()
-    with contextlib.suppress(OSError, AttributeError):
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library can
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def lean(tasks: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The function of a task's batches, which gives memory back at the end."""
+
+    @wraps(tasks)
+    def run(batches):
+        try:
+            yield from tasks(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def crc_mod(column: str, n: int) -> Column:
     """crc32 of the column as text, modulo ``n``; NULL counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from traceframe.llm.common import column, merged_spans, visible, without, written
+from traceframe.llm.common import column, lean, merged_spans, visible, without, written
 
 #: Bytes to words: A-Z lower-cased, ASCII other than digits and letters to a space.
 FOLD = bytes(
@@ -101,6 +101,7 @@ def spans_of(text: str, hit: np.ndarray) -> list[dict[str, int]]:
 
 def _scanner(items: tuple[tuple[str, str], ...], window: int, spans: bool):
     @F.arrow_udf(RESULT)
+    @lean
     def scanned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         machine = automaton(items, window)
         for texts in batches:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from traceframe.llm.common import column, stored, visible
+from traceframe.llm.common import column, lean, stored, visible
 from traceframe.llm.components import components
 
 WORDS = 5
@@ -83,6 +83,7 @@ def profile(text: Column, words: int) -> Column:
     """struct(n, c): size and hash of the set."""
 
     @F.arrow_udf("struct<n:bigint,c:bigint>")
+    @lean
     def made(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             n, c = [], []
@@ -170,6 +171,7 @@ def alone(rows: DataFrame, read, grams: int, share: float = SHARE) -> DataFrame:
     """
     fragments = max(1, round(grams * share / FRAGMENT))
 
+    @lean
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
@@ -351,6 +353,7 @@ def _sets(base: DataFrame, left: DataFrame, words: int) -> DataFrame:
         ids = F.broadcast(ids)
     texts = base.join(ids, "id", "left_semi").select("text")
 
+    @lean
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng = np.random.default_rng(1)
         odd = rng.integers(0, 1 << 62, HUBS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

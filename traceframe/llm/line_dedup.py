@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from traceframe.llm.common import column, merged_spans, stored, visible, without
+from traceframe.llm.common import column, lean, merged_spans, stored, visible, without
 
 MIN_WORDS = 50
 #: Line ranges, at most as many documents, that may be broadcast; beyond, texts are shuffled to them.
@@ -212,6 +212,7 @@ def hashed(text: str) -> tuple[list[int], list[int], list[int]]:
 def _runs(docs: DataFrame, min_words: int) -> DataFrame:
     """One row a run: document ``k``, hash ``h``, first and last line ``a`` and ``b``."""
 
+    @lean
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, h, a, b = [], [], [], []
@@ -276,6 +277,7 @@ def deletions(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     pairs = marks.select("k", F.explode("firsts").alias("k2")).where("k2 < k")
     both = pairs.join(sketches, "k").join(sketches.select(F.col("k").alias("k2"), F.col("lines").alias("lines2")), "k2")
 
+    @lean
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, cuts = [], []

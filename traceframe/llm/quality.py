@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traceframe.llm.common import column, visible, without
+from traceframe.llm.common import column, lean, visible, without
 
 BITS = 18
 BUCKETS = 1 << BITS
@@ -168,6 +168,7 @@ def fit(
     texts = docs.select(column(docs, id_col).alias("i"), column(docs, text_col).cast("string").alias("t"))
     sample = texts.join(F.broadcast(picked), "i").select("i", "t", "y")
 
+    @lean
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
         for batch in batches:
@@ -202,6 +203,7 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame
     sent = spark.sparkContext.broadcast((model.margin, model.offset))
 
     @F.arrow_udf("double")
+    @lean
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         margin, offset = sent.value
         for texts in batches:
