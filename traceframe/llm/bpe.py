@@ -11,7 +11,9 @@ Decoding joins the tokens' bytes and runs them through an incremental UTF-8 deco
 be decoded token by token although tokens may end inside a character.
 
 Defined cases: NULL text counts as empty and has no tokens; a lone surrogate cannot occur in a
-Spark string; unknown ids on decoding raise ``KeyError``. Input columns named like an output are
+Spark string; unknown ids on decoding raise ``KeyError``; very long texts, also
+without any blank, are encoded whole within the same bounds; repeated rows are each encoded; an empty
+table gives no rows. Input columns named like an output are
 replaced.
 """
 

@@ -19,7 +19,8 @@ So no link between different components is lost, and no pairs inside one are mad
 
 Defined cases: NULL and wordless text has an empty set and links with nothing; a document of fewer
 words than ``words`` has them as its one n-gram; documents with NULL id link nothing but
-get the component of an equal document; repeated rows are members of one class. Two n-grams count as equal if their 64-bit
+get the component of an equal document; repeated rows are members of one class; very long
+texts count whole; an empty table gives no rows; only the id comes along, other columns may have any names. Two n-grams count as equal if their 64-bit
 hashes are.
 """
 

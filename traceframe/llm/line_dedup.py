@@ -19,7 +19,7 @@ around them.
 Defined cases: NULL and empty text stays as it is; rows with NULL id are left alone; rows of the
 same id and text are one document, so nothing is deleted between them; rows of the same id but
 other texts are documents in the order of a hash of their text; a document whose lines all go
-keeps an empty text. Input columns named like an output are replaced.
+keeps an empty text; very long texts are compared whole; an empty table stays empty. Input columns named like an output are replaced.
 """
 
 from __future__ import annotations

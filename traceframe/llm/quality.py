@@ -12,7 +12,8 @@ already multiplied by the layer, ``Model.margin``: one number a feature, of fixe
 Defined cases: NULL and blank texts have no features and get the layer's bias as score; NULL
 labels and labels other than 0 and 1 teach nothing; several labels of one document all count;
 without any label every score is 0.5; texts are read in runs of ``RUN`` characters, cut at white
-space, or inside a longer word. Input columns named like an output are replaced.
+space, or inside a longer word; repeated documents are each scored, and teach as often as they are drawn with a label; equal
+scores mean nothing more; an empty table gives no rows. Input columns named like an output are replaced.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ slashes and tracking parameters (``utm_*``, ``ref``, ``gclid``, ``fbclid``) drop
 parameters sorted.
 
 Defined cases: NULL and URLs without ``://`` have empty host and path, no rule and no listing, so
-they are allowed; an empty list blocks nothing; repeated URLs are each judged. Input columns named
+they are allowed; an empty list blocks nothing; an empty table gives no rows; URLs of any length are judged whole; of rules
+that fit, the longest wins, of equally long ones the one that sorts first; repeated URLs are each judged. Input columns named
 like an output are replaced.
 """
 
