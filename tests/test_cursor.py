@@ -193,6 +193,29 @@ def test_a_thousand_strings_in_linear_time(spark):
     assert took[1_000] - took[25] < 8 * max(took[250] - took[25], 0.2), took
 
 
+def test_slices_of_a_batch_change_nothing(monkeypatch):
+    """Places of a batch in slices of a few bytes, of a sliced array with empty and missing payloads."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    prop_row = {"hidden": False, "reader": "string", "form": None, "width": None, "unit": 2, "conversion": None, "kind": "plain", "length": 0,
+                "length_ref": None, "count": 1, "count_ref": None, "fixed_count": False, "carries": False, "is_bitmap": False, "entries": [],
+                "struct_start": None, "struct_members": None, "top_level": True}
+    rows = [{**prop_row, "ordinal": i, "name": f"S{i}"} for i in range(3)]
+    payloads = [random_payload(rng) for _ in range(200)] + [None, b""]
+    array = pa.array([b"skip", *payloads], pa.binary()).slice(1)
+    ids, pointer = np.zeros(len(array), np.int64), np.full(len(array), 8)
+    whole = cursor._find({0: rows}, array, ids, pointer)
+    for size in (1, 50, 1 << 20):
+        monkeypatch.setattr(cursor, "SLICE", size)
+        cuts = cursor._slices(array)
+        assert cuts[0][0] == 0 and cuts[-1][1] == len(array) and (size > 1 or len(cuts) > 100)
+        parts = [cursor._find({0: rows}, array.slice(a, b - a), ids[a:b], pointer[a:b]) for a, b in cuts]
+        assert pa.concat_arrays(parts).to_pylist() == whole.to_pylist()
+    assert cursor._slices(array.slice(0, 0)) == [(0, 0)]
+
+
 def test_header_filters_still_reach_the_scan(spark, manifest, raw):
     out = raw.transform(decode_payload(manifest, table_driven=True)).where("Level <= 3 AND ProcessId = 4")
     plan = out._jdf.queryExecution().executedPlan().toString()

@@ -150,13 +150,9 @@ IN_HEXDUMP = 309
 IN_WBEMSID = 310
 
 # --- payload out-types ------------------------------------------------------------
-OUT_NULL = 0
 OUT_STRING = 1
 OUT_DATETIME = 2
 OUT_BYTE = 3
-OUT_UNSIGNEDBYTE = 4
-OUT_SHORT = 5
-OUT_UNSIGNEDSHORT = 6
 OUT_INT = 7
 OUT_UNSIGNEDINT = 8
 OUT_LONG = 9
@@ -183,8 +179,6 @@ OUT_WIN32ERROR = 30
 OUT_NTSTATUS = 31
 OUT_HRESULT = 32
 OUT_CULTURE_INSENSITIVE_DATETIME = 33
-OUT_JSON = 34
-OUT_REDUCEDSTRING = 300
 OUT_NOPRINT = 301
 
 # Out-types whose formatted text is converted to a number or a truth value.

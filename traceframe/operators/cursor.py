@@ -22,11 +22,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 #: A carried or referenced length above this cannot fit any payload.
 LENGTH_LIMIT = 1 << 27
 
+#: Bytes of payload whose places are found at a time, give or take one record.
+SLICE = 4 << 20
 # ``spans``: property, place and size of every field and member in their order; at -1 has no value.
 # ``entries``: shown fields, each with its span, or with the spans of its elements' members.
 PLACES = (
@@ -87,7 +90,8 @@ class Batch:
             _, ends, values = payloads.buffers()
             offsets = np.frombuffer(ends, kind)[payloads.offset : payloads.offset + len(payloads) + 1].astype(np.int64)
             if values is not None:
-                self.data = np.frombuffer(values, np.uint8)
+                self.data = np.frombuffer(values, np.uint8)[offsets[0] : offsets[-1]]
+            offsets = offsets - offsets[0]
         self.start = offsets[:-1]
         self.size = offsets[1:] - offsets[:-1]
         self._zeros: dict[tuple[int, int], np.ndarray] = {}
@@ -511,15 +515,30 @@ def places(layouts: dict[int, list[dict]]):
     @F.arrow_udf(PLACES)
     def find(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for payloads, layout_ids, pointers in batches:
-            batch, found = Batch(payloads), Places(len(payloads))
             ids = layout_ids.fill_null(-1).to_numpy(zero_copy_only=False)
             pointer = pointers.to_numpy(zero_copy_only=False).astype(np.int64)
-            order = np.argsort(ids, kind="stable")
-            kinds, begins = np.unique(ids[order], return_index=True)
-            for kind, rows in zip(kinds.tolist(), np.split(order, begins[1:]), strict=True):
-                rows = rows[batch.size[rows] > 0]
-                if kind in layouts and len(rows):
-                    found.layout(batch, layouts[kind], rows, pointer)
-            yield found.column()
+            parts = [
+                _find(layouts, payloads.slice(a, b - a), ids[a:b], pointer[a:b]) for a, b in _slices(payloads)
+            ]
+            yield parts[0] if len(parts) == 1 else pa.concat_arrays(parts)
 
     return find
+
+
+def _slices(payloads: pa.Array) -> list[tuple[int, int]]:
+    """Runs of rows with about ``SLICE`` bytes of payload."""
+    sizes = pc.fill_null(pc.binary_length(payloads), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(sizes) - sizes) // SLICE
+    cuts = (np.flatnonzero(part[1:] != part[:-1]) + 1).tolist()
+    return list(zip([0, *cuts], [*cuts, len(payloads)], strict=True))
+
+
+def _find(layouts: dict[int, list[dict]], payloads: pa.Array, ids: np.ndarray, pointer: np.ndarray) -> pa.StructArray:
+    batch, found = Batch(payloads), Places(len(payloads))
+    order = np.argsort(ids, kind="stable")
+    kinds, begins = np.unique(ids[order], return_index=True)
+    for kind, rows in zip(kinds.tolist(), np.split(order, begins[1:]), strict=True):
+        rows = rows[batch.size[rows] > 0]
+        if kind in layouts and len(rows):
+            found.layout(batch, layouts[kind], rows, pointer)
+    return found.column()

@@ -27,6 +27,8 @@ ROWS_PER_KIND = 20
 # At most this many layouts become generated code; see decode.py.
 MAX_COMPILED_LAYOUTS = 24
 MAX_COMPILED_FIELDS = 40
+# Each string that ends with a terminator is searched for in all that is left of the payload.
+MAX_COMPILED_STRINGS = 8
 
 
 def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
@@ -96,7 +98,8 @@ class Layout:
     @property
     def compilable(self) -> bool:
         """Only plain fields of known types, and few enough of them."""
-        if len(self.top) > MAX_COMPILED_FIELDS:
+        strings = sum(p.in_type in (C.IN_UNICODESTRING, C.IN_ANSISTRING) and not p.length for p in self.top)
+        if len(self.top) > MAX_COMPILED_FIELDS or strings > MAX_COMPILED_STRINGS:
             return False
         return all(
             not p.is_struct and not p.is_array and fields.known(p.in_type)
