@@ -174,7 +174,8 @@ def fit(
         found = []
         for batch in batches:
             for i, t, y in zip(*(batch[c].to_pylist() for c in ("i", "t", "y")), strict=True):
-                found.append((str(i), y, np.unique(features(t), return_counts=True)))
+                at, counts = np.unique(features(t), return_counts=True)
+                found.append((str(i), y, (at.astype(np.int32), counts.astype(np.int32))))
         found.sort(key=lambda x: (x[0], x[1], x[2][0].tobytes()))  # the order in which rows came is chance
         model = train([x[2] for x in found], [x[1] for x in found])
         yield pa.RecordBatch.from_pydict(
