@@ -9,6 +9,7 @@ those stay whose texts are like no other; of equal rows one stays.
 from __future__ import annotations
 
 import uuid
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +21,29 @@ from traceframe.llm.common import column, crc_mod, read, removed, shared_folder
 QUALITY = 0.3
 #: Share of the encoder's usual tables that a task of the last stage holds beside what earlier stages left.
 REMEMBERED = 0.3
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
 #: Texts, by id and hash, that may be broadcast, 32 MB; more are joined by shuffle.
 TEXTS = 2_000_000
 
 
+def small_batches(stage):
+    """The stage with at most ``BATCH_ROWS`` rows in an Arrow batch, for its session from then on.
+
+    Whole texts travel in such batches, several at a time in each task and on both sides, beside all
+    that earlier stages have left in the workers. A smaller setting of the session stays.
+    """
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        rows = int(spark.conf.get(ARROW_ROWS, "10000"))
+        if rows <= 0 or rows > BATCH_ROWS:
+            spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     labels = read(spark, sf_dir, "labels").select("doc_id", "quality").where(crc_mod("doc_id", 5) != 0)
@@ -87,11 +107,11 @@ def _other(name: str) -> str:
 
 
 STAGES = [
-    ("quality", good),
-    ("line_dedup", lines),
-    ("near_duplicates", distinct),
-    ("decontaminate", clean),
-    ("tokens", tokens),
+    ("quality", small_batches(good)),
+    ("line_dedup", small_batches(lines)),
+    ("near_duplicates", small_batches(distinct)),
+    ("decontaminate", small_batches(clean)),
+    ("tokens", small_batches(tokens)),
 ]
 #: Neither the classifier nor the tokenizer can be put in SQL; tests/llm compares with plain Python.
 ORACLE_SQL = None
