@@ -78,7 +78,8 @@ class Capture:
     again by its name, so that a new start goes on where the last one ended.
 
     A batch that ``on_batch`` fails on ends the capture, to be run again at the next start;
-    with ``dead_letters`` it is stored in that folder and the capture goes on.
+    with ``dead_letters`` it is stored in that folder and the capture goes on. Counters of all batches are
+    kept beside the checkpoint, or at ``counters_path``.
     """
 
     def __init__(
@@ -100,7 +101,7 @@ class Capture:
         self.trigger = trigger or {"processingTime": "1 second"}
         self.batch_filter, self.reuse = batch_filter, reuse
         self.dead_letters = dead_letters
-        self.counters_path = counters_path or shared_folder(records.sparkSession, "counters", name)
+        self.counters_path = counters_path or f"{self.checkpoint}-counters"
         self.progress = ProgressLog(records.sparkSession, self.counters_path)
         self.query: StreamingQuery | None = None
         self.started_here = False
