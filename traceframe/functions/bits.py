@@ -95,16 +95,13 @@ def hex_text(value: Column) -> Column:
 
 
 def le_bytes(value: Column, width: int) -> Column:
-    """Encode the low ``width`` bytes of an integer, least significant byte first."""
-    v = value.cast("bigint")
-    return F.unhex(
-        F.concat(
-            *[
-                F.lpad(F.hex(F.shiftrightunsigned(v, 8 * i).bitwiseAND(F.lit(255))), 2, "0")
-                for i in range(width)
-            ]
-        )
-    )
+    """Encode the low ``width`` bytes of an integer, least significant byte first.
+
+    The reverse of :func:`le_uint`: the digits of each byte change places, then all digits are reversed.
+    """
+    v, mask = value.cast("bigint"), F.lit(LOW_DIGITS)
+    swapped = F.shiftleft(v.bitwiseAND(mask), 4).bitwiseOR(F.shiftrightunsigned(v, 4).bitwiseAND(mask))
+    return F.unhex(F.substring(F.reverse(F.lpad(F.hex(swapped), 16, "0")), 1, 2 * width))
 
 
 def ieee_double(bits: Column) -> Column:
