@@ -59,6 +59,9 @@ def lost_numbers(held: DataFrame) -> DataFrame:
     all_ = together(held)
     ends = all_.groupBy("session").agg(F.min("first").alias("begin"), F.max("last").alias("end"))
     some = all_.where(F.expr("bitmap_count(bits)") < BITS).join(ends, "session")
+    # A bitmap is small and gives many rows: by their size all of them would be one task.
+    parts = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    some = some.repartition(parts, "session", "bucket")
     number = F.explode(
         F.sequence(
             F.greatest(F.col("bucket") * BITS, F.col("begin")), F.least(F.col("bucket") * BITS + (BITS - 1), F.col("end"))
