@@ -24,7 +24,7 @@ from traceframe.operators.decode import decode_payload, declared_fields, event_v
 from traceframe.operators.extended import decode_extended
 from traceframe.operators.manifest import Manifest, keyword_mask_value, local_table
 from traceframe.plans.trace import Trace, preset
-from traceframe.schema import PROVIDERS
+from traceframe.schema import PROVIDERS, RAW_EVENTS
 from traceframe.sources import record_log, sample
 from traceframe.sources.records import merge_sessions, read_events, read_events_stream, write_events
 from traceframe.sources.text import (
@@ -34,6 +34,7 @@ from traceframe.sources.text import (
     read_field_catalog,
 )
 from traceframe.streaming import capture as live
+from traceframe.streaming import files
 from traceframe.streaming.callback import Delivery
 from traceframe.streaming.losses import LossLog
 from traceframe.streaming.order import Reorder
@@ -1234,7 +1235,7 @@ def log_file(spark, sf_dir):
 def log_of_batches(spark, sf_dir):
     """A log by batch: the second batch fails after it was logged, and is run again."""
     folder = live.shared_folder(spark, "batch-log")
-    path, log, fails = _arrivals(spark, sf_dir, F.col("record_id") % 4, 4), sinks.BatchLog(f"{folder}/log"), [True]
+    (path, n), log, fails = _arrivals(spark, sf_dir, F.col("record_id") % 4, 4), sinks.BatchLog(f"{folder}/log"), [True]
 
     def save(batch: DataFrame, batch_id: int) -> None:
         log(batch, batch_id)
@@ -1244,7 +1245,7 @@ def log_of_batches(spark, sf_dir):
 
     for _ in range(2):
         session = live.Capture(
-            read_events_stream(spark, path, 1), Trace(_manifest(spark)), save, checkpoint=f"{folder}/checkpoint",
+            read_events_stream(spark, path, n), Trace(_manifest(spark)), save, checkpoint=f"{folder}/checkpoint",
             trigger={"availableNow": True},
         )
         session.start()
@@ -1292,7 +1293,8 @@ def chronological_order(spark, sf_dir):
 def _stream(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     """The ``events`` table as a file-drop stream of raw records."""
     reader = spark.readStream.schema(sample.EVENTS).option("pathGlobFilter", "events.parquet")
-    return sample.raw_events(reader.options(**options).parquet(sf_dir))
+    parts = sample.tasks(sample.read_source(spark, sf_dir, 1))
+    return sample.raw_events(sample.spread(reader.options(**options).parquet(sf_dir), parts))
 
 
 def _run(spark, records, transform, **more) -> DataFrame:
@@ -1325,17 +1327,33 @@ def live_capture(spark, sf_dir):
     return _streamed(_run(spark, _stream(spark, sf_dir), Trace(_manifest(spark), event_ids=(1, 3))))
 
 
-def _dropped(spark: SparkSession, sf_dir: str) -> str:
-    """The records in four files, each a batch of a throttled stream."""
+def _files(spark: SparkSession, sf_dir: str) -> int:
+    """Files in a batch of a throttled stream that takes the records in four."""
+    return -(-sample.tasks(sample.read_source(spark, sf_dir, 1)) // 4)
+
+
+def _dropped(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """The records in four times so many files, and how many of them are a batch of a throttled stream."""
     path = os.path.join(live.shared_folder(spark, "drop"), "raw_events")
-    _raw(spark, sf_dir).repartition(4).write.parquet(path)
-    return path
+    n = _files(spark, sf_dir)
+    if n == 1:
+        _raw(spark, sf_dir).repartition(4).write.parquet(path)
+    else:
+        sample.raw_events(sample.read_source(spark, sf_dir, 4 * n)).write.parquet(path)
+        _filled(spark, path, 4 * n)
+    return path, n
+
+
+def _filled(spark: SparkSession, path: str, n: int) -> None:
+    """Add files without records until there are ``n``: a task without rows writes none."""
+    there = sum(name.endswith(".parquet") for name in files.names(spark, path))
+    for _ in range(n - there):
+        local_table(spark, [], RAW_EVENTS).write.mode("append").parquet(path)
 
 
 @query("file_drop_stream", _STREAMED)
 def file_drop_stream(spark, sf_dir):
-    path = _dropped(spark, sf_dir)
-    return _streamed(_run(spark, read_events_stream(spark, path, 1), Trace(_manifest(spark))))
+    return _streamed(_run(spark, read_events_stream(spark, *_dropped(spark, sf_dir)), Trace(_manifest(spark))))
 
 
 @query(
@@ -1343,8 +1361,9 @@ def file_drop_stream(spark, sf_dir):
     "SELECT count(*) AS n, 4 AS batches, CAST(sum(record_id) AS BIGINT) AS ids, true AS paced FROM t",
 )
 def throttled_capture(spark, sf_dir):
-    """One file a trigger: as many batches as files, none sooner than the interval allows."""
-    options, trigger = live.throttle(1, "1 second")
+    """A fourth of the files a trigger: four batches, none sooner than the interval allows."""
+    path, n = _dropped(spark, sf_dir)
+    options, trigger = live.throttle(n, "1 second")
     folder = live.shared_folder(spark, "throttled")
     starts: list[float] = []
 
@@ -1352,7 +1371,7 @@ def throttled_capture(spark, sf_dir):
         starts.append(time.monotonic())
         batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
 
-    records = read_events_stream(spark, _dropped(spark, sf_dir), options["maxFilesPerTrigger"])
+    records = read_events_stream(spark, path, options["maxFilesPerTrigger"])
     with live.Capture(records, Trace(_manifest(spark)), save, trigger=trigger):
         pass
     done = spark.read.parquet(folder)
@@ -1377,7 +1396,7 @@ def rules_between_batches(spark, sf_dir):
         if batch_id == 0:
             rules.add("allow", 3)
 
-    records = read_events_stream(spark, _dropped(spark, sf_dir), 1)
+    records = read_events_stream(spark, *_dropped(spark, sf_dir))
     session = live.Capture(
         records, lambda raw: raw.select("record_id", "ProcessId"), save, trigger={"availableNow": True},
         batch_filter=live_rules(rules.path),
@@ -1415,7 +1434,7 @@ def capture_counters(spark, sf_dir):
     """Several batches, some rows dropped by a filter."""
     trace = Trace(_manifest(spark), event_ids=(1, 3))
     session = live.Capture(
-        read_events_stream(spark, _dropped(spark, sf_dir), 1),
+        read_events_stream(spark, *_dropped(spark, sf_dir)),
         lambda raw: live.observed(trace(raw)),
         lambda batch, _: batch.write.format("noop").mode("overwrite").save(),
         trigger={"availableNow": True},
@@ -1461,9 +1480,9 @@ def event_callback(spark, sf_dir):
             raise ValueError(f"not process {pid}")
         return f"{event_id}:{event['Task Name']}:{pid}"
 
-    folder, path = live.shared_folder(spark, "callback"), _dropped(spark, sf_dir)
+    folder, (path, n) = live.shared_folder(spark, "callback"), _dropped(spark, sf_dir)
     for _ in range(2):
-        events = Trace(_manifest(spark))(read_events_stream(spark, path, 1))
+        events = Trace(_manifest(spark))(read_events_stream(spark, path, n))
         live.to_event_callback(
             events, handle, f"{folder}/outcomes", f"{folder}/checkpoint", {"availableNow": True}
         ).awaitTermination()
@@ -1471,13 +1490,19 @@ def event_callback(spark, sf_dir):
     return done.select("record_id", "status", "result", "error")
 
 
-def _arrivals(spark: SparkSession, sf_dir: str, part, parts: int) -> str:
-    """The records in files that come one after the other: file ``i`` has those with ``part`` = i."""
+def _arrivals(spark: SparkSession, sf_dir: str, part, parts: int) -> tuple[str, int]:
+    """The records in ``parts`` arrivals that come one after the other, and the number of files of each.
+
+    Arrival ``i`` has the records with ``part`` = i.
+    """
     path = os.path.join(live.shared_folder(spark, "arrivals"), "raw_events")
-    raw = _raw(spark, sf_dir)
+    n = _files(spark, sf_dir)
+    raw = sample.raw_events(sample.read_source(spark, sf_dir, n))
     for i in range(parts):
-        raw.where(part == i).coalesce(1).write.mode("append").parquet(path)
-    return path
+        mine = raw.where(part == i)
+        (mine.coalesce(1) if n == 1 else mine).write.mode("append").parquet(path)
+        _filled(spark, path, n * (i + 1))
+    return path, n
 
 
 # Each third of the records is a session of its own, with numbers from 0 on.
@@ -1488,7 +1513,7 @@ _NUMBERED = """SELECT CAST(event_id % 3 AS VARCHAR) AS session, event_id // 3 AS
 def _losses(spark: SparkSession, sf_dir: str) -> LossLog:
     """Some records never come, some come twice; the capture is started again between batches."""
     folder = live.shared_folder(spark, "losses")
-    path = _arrivals(spark, sf_dir, F.col("record_id") % 4, 4)
+    path, n = _arrivals(spark, sf_dir, F.col("record_id") % 4, 4)
     lost = (F.col("record_id") % 7 == 3) | (F.col("record_id") % 1000).between(500, 520)
     log = LossLog(f"{folder}/bitmaps", F.col("record_id") % 3, "number")
     stops = [True]
@@ -1501,7 +1526,7 @@ def _losses(spark: SparkSession, sf_dir: str) -> LossLog:
 
     for _ in range(2):
         query_ = (
-            read_events_stream(spark, path, 1).writeStream.foreachBatch(note)
+            read_events_stream(spark, path, n).writeStream.foreachBatch(note)
             .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
         )
         try:
@@ -1546,11 +1571,13 @@ def lost_event_numbers(spark, sf_dir):
 def paced_by_records(spark, sf_dir):
     """A record log of two appends, read in five batches of equal size; the third fails once and comes again."""
     folder = live.shared_folder(spark, "record-log")
-    raw = _raw(spark, sf_dir)
+    source = sample.read_source(spark, sf_dir, 1)
+    n = max(3, sample.tasks(source))
     for half in range(2):
-        mine = raw.where(F.col("record_id") % 2 == half)
-        record_log.append(mine.repartitionByRange(3, "record_id").sortWithinPartitions("record_id"), f"{folder}/log")
-    size = -(-raw.count() // 5)
+        mine = source.where(F.col("event_id") % 2 == half)
+        mine = mine.repartitionByRange(n, "event_id").sortWithinPartitions("event_id")
+        record_log.append(sample.raw_events(mine), f"{folder}/log")
+    size = -(-source.count() // 5)
     runs: Counter[int] = Counter()
 
     def save(batch: DataFrame, batch_id: int) -> None:
@@ -1561,8 +1588,9 @@ def paced_by_records(spark, sf_dir):
 
     for _ in range(2):
         stream = record_log.read_log_stream(
-            spark, f"{folder}/log", progress=f"{folder}/progress", records_per_batch=size, records_per_task=-(-size // 4)
-        )
+            spark, f"{folder}/log", progress=f"{folder}/progress", records_per_batch=size,
+            records_per_task=min(-(-size // 4), sample.ROWS),
+        )
         query_ = (
             stream.writeStream.foreachBatch(save).option("checkpointLocation", f"{folder}/checkpoint")
             .trigger(processingTime="0 seconds").start()
@@ -1598,7 +1626,7 @@ def ordered_stream(spark, sf_dir):
     folder = live.shared_folder(spark, "ordered")
     top = sample.read_source(spark, sf_dir).agg(F.max("event_id")).first()[0] + 1
     part = F.least(F.lit(3), F.floor(F.col("record_id") * 4 / top))
-    path = _arrivals(spark, sf_dir, part, 4)
+    path, n = _arrivals(spark, sf_dir, part, 4)
 
     def save(batch: DataFrame, batch_id: int) -> None:
         placed = batch.select("record_id", "TimeStamp", F.monotonically_increasing_id().alias("place"))
@@ -1606,7 +1634,7 @@ def ordered_stream(spark, sf_dir):
 
     ordered = Reorder(save, f"{folder}/state", _DELAY)
     (
-        read_events_stream(spark, path, 1).writeStream.foreachBatch(ordered)
+        read_events_stream(spark, path, n).writeStream.foreachBatch(ordered)
         .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     )
     ordered.flush(spark)
@@ -1650,7 +1678,7 @@ def pinned_rules(spark, sf_dir):
     rules = PidRules(spark, f"{folder}/rules")
     pids = sorted(r.user_id for r in sample.read_source(spark, sf_dir).select("user_id").distinct().collect())
     rules.add("deny", *[p for p in pids if p % 5 == 1])
-    path = _arrivals(spark, sf_dir, F.col("record_id") % 4, 4)
+    path, n = _arrivals(spark, sf_dir, F.col("record_id") % 4, 4)
     runs: Counter[int] = Counter()
 
     def save(batch: DataFrame, batch_id: int) -> None:
@@ -1663,7 +1691,7 @@ def pinned_rules(spark, sf_dir):
 
     for _ in range(2):
         session = live.Capture(
-            read_events_stream(spark, path, 1), lambda raw: raw.select("record_id", "ProcessId"), save,
+            read_events_stream(spark, path, n), lambda raw: raw.select("record_id", "ProcessId"), save,
             checkpoint=f"{folder}/checkpoint", trigger={"availableNow": True}, batch_filter=live_rules(rules.path),
         )
         session.start()
