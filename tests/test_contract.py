@@ -1,5 +1,6 @@
 """The driver's contract: every query has SQL, and a sample of them agrees with it."""
 
+import duckdb
 import pytest
 
 import __spark_entry__ as contract
@@ -32,3 +33,13 @@ def db():
 @pytest.mark.parametrize("name", NAMES)
 def test_agrees_with_sql(spark, db, name):
     assert compare(spark, db, name, SF_DIR).startswith("OK")
+
+
+def test_lost_numbers_of_ids_with_a_wide_gap_agree_with_sql(spark, tmp_path):
+    """No record of any session's second bucket comes."""
+    db, path = duckdb.connect(), f"{tmp_path}/events.parquet"
+    db.execute(f"""COPY (
+      SELECT range + 200000 * (range // 200) AS event_id, TIMESTAMP '2024-01-01' + to_seconds(range) AS ts, range % 7 AS user_id,
+        'view' AS event_type, 1.5::DOUBLE AS value, '{{"k": 1}}' AS props FROM range(400)) TO '{path}' (FORMAT parquet)""")
+    db.execute(f"CREATE VIEW events AS SELECT * FROM '{path}'")
+    assert compare(spark, db, "lost_event_numbers", str(tmp_path)).startswith("OK")

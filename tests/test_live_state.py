@@ -117,6 +117,41 @@ def test_losses_across_batches(spark, tmp_path):
     assert [r.record_id for r in log.lost_numbers(spark).where("session = 'a'").collect()] == [8]
 
 
+def lost_of(held):
+    return sorted((r.session or "", r.record_id) for r in losses.lost_numbers(held).collect())
+
+
+def test_lost_numbers_of_buckets_of_which_nothing_came(spark, tmp_path):
+    n = losses.BITS
+    log = LossLog(str(tmp_path / "log"), F.col("who"))
+    assert log.lost_numbers(spark).count() == 0
+    log(numbers(spark, [5, 3 * n + 1]), 0)
+    log(numbers(spark, [n - 1, n, 5 * n], "b"), 1)
+    log(numbers(spark, [2 * n, 4 * n], None), 2)
+    log(numbers(spark, [7 * n + 7], "one"), 3)
+    want = {"a": range(6, 3 * n + 1), "b": range(n + 1, 5 * n), "": range(2 * n + 1, 4 * n)}
+    assert lost_of(log.held(spark)) == sorted((who, i) for who, ids in want.items() for i in ids)
+    # As many as the report says, with what comes late too.
+    log(numbers(spark, range(n, 3 * n)), 4)
+    counts = {r.session: r["count"] for r in log.lost_numbers(spark).groupBy("session").count().collect()}
+    assert counts == {r.session: r.lost for r in log.report(spark).collect() if r.lost}
+    assert counts["a"] == n - 5
+
+
+def test_buckets_between_numbers_far_apart(spark):
+    n, top = losses.BITS, 2**63 - 1
+    ends = spark.createDataFrame([("far", 3, 3 + n**2), ("high", top - n, top), (None, 7, 7)], "session string, first bigint, last bigint")
+    found = losses.between(ends)
+    assert found.where("session = 'far'").agg(F.count("*"), F.min("first"), F.max("last"), F.sum(F.expr("last - first + 1"))).first() == (
+        n + 1, 3, 3 + n**2, n**2 + 1
+    )
+    rest = found.where("session = 'high' OR session IS NULL").select("session", "bucket", "first", "last").collect()
+    assert sorted((r[0] or "", *r[1:]) for r in rest) == [
+        ("", 0, 7, 7), ("high", top // n - 1, top - n, top - n), ("high", top // n, top - n + 1, top)
+    ]
+    assert found.dtypes == losses.bitmaps(spark.range(1), number="id").dtypes
+
+
 def test_losses_are_spread_over_tasks(spark):
     held = losses.bitmaps(spark.range(200_000).withColumnRenamed("id", "record_id"))
     assert held.count() == 7 and held.agg(F.max(F.length("bits"))).first()[0] == 4096

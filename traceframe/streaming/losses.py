@@ -51,22 +51,33 @@ def report(held: DataFrame, since: int | None = None) -> DataFrame:
     return out.withColumn("lost", F.col("last") - begin + 1 - F.col("received"))
 
 
+def between(ends: DataFrame) -> DataFrame:
+    """``HELD`` with no bits: each bucket from ``first`` to ``last`` of a session, and its first and last number of these.
+
+    In three steps, so that no row makes a long list, however far the two are apart.
+    """
+    for size in (BITS**3, BITS**2, BITS):
+        piece = F.explode(F.expr(f"sequence(first div {size}, last div {size})")).alias("bucket")
+        low = F.greatest("first", F.col("bucket") * size).alias("first")
+        high = F.least("last", F.col("bucket") * size + (size - 1)).alias("last")
+        ends = ends.select("session", piece, "first", "last").select("session", "bucket", low, high)
+    bits, rows = F.lit(None).cast("binary").alias("bits"), F.lit(0).cast("bigint").alias("rows")
+    return ends.select("session", "bucket", bits, "first", "last", rows)
+
+
 def lost_numbers(held: DataFrame) -> DataFrame:
-    """``session`` and ``record_id`` of lost numbers between the first and last of each bitmap that has any.
+    """``session`` and ``record_id`` of all lost numbers between the first and last of each session.
 
-    Buckets of which nothing came have no bitmap: :func:`report` counts their numbers.
+    Also those of buckets of which nothing came, which have no bitmap.
     """
-    all_ = together(held)
-    ends = all_.groupBy("session").agg(F.min("first").alias("begin"), F.max("last").alias("end"))
-    some = all_.where(F.expr("bitmap_count(bits)") < BITS).join(ends, "session")
-    # A bitmap is small and gives many rows: by their size all of them would be one task.
+    ends = held.groupBy("session").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    every = between(ends)
+    # A bitmap is small and gives many rows: by their size all of them would be one task. A number of tasks given
+    # after the last grouping would not count, as that has the same keys.
     parts = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    some = some.repartition(parts, "session", "bucket")
-    number = F.explode(
-        F.sequence(
-            F.greatest(F.col("bucket") * BITS, F.col("begin")), F.least(F.col("bucket") * BITS + (BITS - 1), F.col("end"))
-        )
-    )
+    pieces = together(held).select(every.columns).union(every).repartition(parts, "session", "bucket")
+    some = together(pieces).where(F.expr("bitmap_count(bits)") < BITS)
+    number = F.explode(F.sequence("first", "last"))
     numbers = some.select("session", "bits", number.alias("record_id"))
     place = (F.col("record_id") % BITS).cast("int")
     byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
